@@ -63,8 +63,8 @@ def trailing_window(
     zero = F.lit(0).cast("decimal(28,2)")
     changes = moments.select(account, F.explode(F.array(
         F.struct(F.col("_at").alias("at"), F.lit(True).alias("enters"), F.col("n"), F.col("s"), F.col("b")),
-        F.struct((F.col("_at") + span + 1).alias("at"), F.lit(False).alias("enters"), -F.col("n"),
-                 (zero - F.col("s")).cast("decimal(28,2)"), -F.col("b")),
+        F.struct((F.col("_at") + span + 1).alias("at"), F.lit(False).alias("enters"), (-F.col("n")).alias("n"),
+                 (zero - F.col("s")).cast("decimal(28,2)").alias("s"), (-F.col("b")).alias("b")),
     )).alias("c")).select(account, "c.*")
     width = bucket_minutes * 60_000_000
     changes = changes.withColumn("_bucket", F.floor(F.col("at") / width))

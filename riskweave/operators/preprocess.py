@@ -85,11 +85,30 @@ def add_class_weights(df: DataFrame, target: str, name: str = "weight") -> DataF
         F.col(target).cast("int") == F.col("_class"), "left").drop("_class")
 
 
+def category_counts(df: DataFrame, columns: list[str]) -> dict[str, list[tuple[str | None, int]]]:
+    """Values of categorical columns with their counts, from one distributed count.
+
+    Refuses a column with more than ``MAX_CATEGORIES`` values: that is an identifier.
+    """
+    if not columns:
+        return {}
+    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+    counts = text.groupBy("column", "value").agg(F.count("*").alias("n"))
+    rows = counts.limit(MAX_CATEGORIES * len(columns) + 1).collect()
+    found: dict[str, list[tuple[str | None, int]]] = {c: [] for c in columns}
+    for r in rows:
+        found[r["column"]].append((r["value"], r["n"]))
+    for c, values in found.items():
+        if len(values) > MAX_CATEGORIES:
+            raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories; it is an identifier, not a category.")
+    return found
+
+
 def column_modes(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
     """Most frequent value per column, ties to the smallest; counted per value, not gathered."""
     if not columns:
         return {}
-    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot([], columns, "column", "value")
+    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
     counts = text.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
     best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("order"), "value")).alias("best"))
     found = {r["column"]: r["best"]["value"] for r in best.collect()}
@@ -173,8 +192,6 @@ def fit_columns(
     fitted = FittedColumns(list(numeric), list(categorical))
     if impute_missing:
         fitted.medians = column_medians(train, fitted.numeric)
-        if not missing_category:
-            fitted.modes = column_modes(train, fitted.categorical)
     filled = impute(train.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in fitted.numeric]), fitted.medians)
     if fitted.numeric:
         moments = filled.agg(
@@ -184,12 +201,11 @@ def fit_columns(
         for i, c in enumerate(fitted.numeric):
             fitted.means[c] = moments[f"m{i}"] or 0.0
             fitted.deviations[c] = moments[f"s{i}"] or 1.0
-    for c in fitted.categorical:
-        seen = train.select(F.col(f"`{c}`").cast("string").alias("v")).distinct().limit(MAX_CATEGORIES + 1).collect()
-        if len(seen) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories; it is an identifier, not a category.")
-        known = sorted(r["v"] for r in seen if r["v"] is not None)
-        if missing_category and any(r["v"] is None for r in seen):
-            known.append(None)
-        fitted.categories[c] = known
+    for c, counted in category_counts(train, fitted.categorical).items():
+        known = sorted(value for value, _ in counted if value is not None)
+        absent = any(value is None for value, _ in counted)
+        if impute_missing and not missing_category and known:
+            # most frequent, ties to the smallest
+            fitted.modes[c] = min(((-n, value) for value, n in counted if value is not None))[1]
+        fitted.categories[c] = known + ([None] if missing_category and absent else [])
     return fitted

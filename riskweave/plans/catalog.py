@@ -289,62 +289,63 @@ def _(v):
     return rules.alert_summary(v.alerts, v.existing_alerts)
 
 
-P = F.col("probability")
+def _p():
+    return F.col("probability")
 
 
 @query("credit_band")
 def _(v):
     return v.scored.select(
-        "event_id", F.round(P, 6).alias("default_probability"), bands.credit_segment(P).alias("risk_segment"),
-        bands.credit_decision(P).alias("credit_decision"),
-        bands.prediction_at(P, V.CREDIT_BUSINESS_THRESHOLD).alias("default_prediction"))
+        "event_id", F.round(_p(), 6).alias("default_probability"), bands.credit_segment(_p()).alias("risk_segment"),
+        bands.credit_decision(_p()).alias("credit_decision"),
+        bands.prediction_at(_p(), V.CREDIT_BUSINESS_THRESHOLD).alias("default_prediction"))
 
 
 @query("credit_band_cut")
 def _(v):
-    return v.scored.select("event_id", bands.credit_segment_closed_right(P).alias("risk_segment"))
+    return v.scored.select("event_id", bands.credit_segment_closed_right(_p()).alias("risk_segment"))
 
 
 @query("credit_band_explain")
 def _(v):
     return v.scored.select(
-        "event_id", bands.credit_explain_segment(P).alias("risk_segment"),
-        bands.credit_decision(P, label="HIGH_RISK").alias("decision"))
+        "event_id", bands.credit_explain_segment(_p()).alias("risk_segment"),
+        bands.credit_decision(_p(), label="HIGH_RISK").alias("decision"))
 
 
 @query("credit_category")
 def _(v):
-    return v.scored.select("event_id", bands.credit_category(P).alias("risk_category"))
+    return v.scored.select("event_id", bands.credit_category(_p()).alias("risk_category"))
 
 
 @query("fraud_band")
 def _(v):
     return v.scored.select(
-        "event_id", bands.fraud_segment(P).alias("risk_segment"), bands.fraud_decision(P).alias("fraud_decision"),
-        bands.fraud_decision(P, label="REVIEW_REQUIRED").alias("evaluation_decision"))
+        "event_id", bands.fraud_segment(_p()).alias("risk_segment"), bands.fraud_decision(_p()).alias("fraud_decision"),
+        bands.fraud_decision(_p(), label="REVIEW_REQUIRED").alias("evaluation_decision"))
 
 
 @query("txn_fraud_band")
 def _(v):
     return v.scored.select(
-        "event_id", bands.transaction_fraud_level(P).alias("risk_level"), bands.prediction_at(P, 0.45).alias("fraud_prediction"))
+        "event_id", bands.transaction_fraud_level(_p()).alias("risk_level"), bands.prediction_at(_p(), 0.45).alias("fraud_prediction"))
 
 
 @query("aml_band")
 def _(v):
-    return v.scored.select("event_id", bands.aml_assessment(P).alias("a")).select("event_id", "a.*")
+    return v.scored.select("event_id", bands.aml_assessment(_p()).alias("a")).select("event_id", "a.*")
 
 
 @query("aml_business_alert")
 def _(v):
     return v.scored.select(
-        "event_id", bands.aml_business_risk(P).alias("business_risk"), bands.aml_business_alert(P).alias("alert_status"),
-        (bands.aml_business_alert(P) == "AML_ALERT").alias("requires_review"))
+        "event_id", bands.aml_business_risk(_p()).alias("business_risk"), bands.aml_business_alert(_p()).alias("alert_status"),
+        (bands.aml_business_alert(_p()) == "AML_ALERT").alias("requires_review"))
 
 
 @query("threshold_lookup")
 def _(v):
-    text = P.cast("string")
+    text = _p().cast("string")
     metadata = F.when(F.col("label") == 1, F.concat(
         F.lit('{"model": {"type": "boosting"}, "thresholds": {"Business-Threshold": '), text, F.lit("}}"))) \
         .otherwise(F.concat(F.lit('{"best f1": "'), text, F.lit('"}')))
@@ -678,13 +679,13 @@ def _(v):
 
 @query("segment_distribution", digits=6)
 def _(v):
-    return metrics.segment_distribution(v.scored, bands.fraud_segment(P))
+    return metrics.segment_distribution(v.scored, bands.fraud_segment(_p()))
 
 
 @query("prediction_table")
 def _(v):
     return metrics.prediction_table(
-        v.scored, {"0_50": 0.50, "0_24": 0.24, "0_18": 0.18}, bands.credit_segment_closed_right(P), keep=["event_id"])
+        v.scored, {"0_50": 0.50, "0_24": 0.24, "0_18": 0.18}, bands.credit_segment_closed_right(_p()), keep=["event_id"])
 
 
 @query("probability_summary", digits=9)
@@ -715,7 +716,8 @@ def _(v):
 
 
 def _scored_transfers(v):
-    return v.aml_transfers.select("record_key", F.round(F.least(F.col("amount_received") / 100000.0, F.lit(1.0)), 6).alias("probability"))
+    share = F.least((F.col("amount_received") * 100).cast("decimal(18,0)").cast("long"), F.lit(10_000_000)) / F.lit(1e7)
+    return v.aml_transfers.select("record_key", share.alias("probability"))
 
 
 @query("aml_report", digits=8)

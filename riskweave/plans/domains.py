@@ -30,28 +30,34 @@ class DomainRun:
     preprocessing: preprocess.FittedColumns
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a result that many passes read.
+
+    With a checkpoint folder the rows are written there and survive lost executors; without one
+    (tests) they are kept on local memory and disk.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir():
+        return df.checkpoint()
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def run_domain(
     prepared: DataFrame, domain: str, target: str, key: str, numeric: list[str], categorical: list[str],
     grid: list[float], choose, segment, models: list[training.ModelSpec] | None, missing_category: bool = False,
     segment_order: list[str] = V.SEGMENTS,
 ) -> DomainRun:
-    """Train on the training side only and report on the validation side.
-
-    The encoded vectors are read by every training iteration, so they are kept on executors
-    (memory, then disk); a lost executor recomputes its share from the source.
-    """
+    """Train on the training side only and report on the validation side."""
     spark = prepared.sparkSession
-    split = preprocess.stratified_split(prepared, target, key)
+    split = materialise(preprocess.stratified_split(materialise(prepared), target, key))
     train, validation = split.where("split = 'train'"), split.where("split = 'validation'")
     fitted = preprocess.fit_columns(train, numeric, categorical, missing_category=missing_category)
 
     def encode(side: DataFrame) -> DataFrame:
-        vectors = fitted.vectors(side, [key, target]).withColumn("label", F.col(target).cast("double"))
-        return vectors.persist(StorageLevel.MEMORY_AND_DISK)
+        return materialise(fitted.vectors(side, [key, target]).withColumn("label", F.col(target).cast("double")))
 
     train_vectors, validation_vectors = encode(train), encode(validation)
     best, trained, table = training.train_and_select(train_vectors, validation_vectors, domain, models)
-    scored = training.score_batch(trained[best], validation_vectors, [key, "label"]).persist(StorageLevel.MEMORY_AND_DISK)
+    scored = materialise(training.score_batch(trained[best], validation_vectors, [key, "label"]))
     sweep = metrics.threshold_sweep(scored, grid)
     threshold = choose(sweep).first()["threshold"]
     label: Column = segment(F.col("probability"))
@@ -59,7 +65,6 @@ def run_domain(
         key, F.col("label").cast("int").alias("actual_class"), "probability",
         bands.prediction_at(F.col("probability"), threshold).alias("prediction"), label.alias("risk_segment"),
         F.lit(best).alias("model_name"), F.lit(threshold).alias("operating_threshold"))
-    train_vectors.unpersist()
     return DomainRun(
         best, trained, table, scored, sweep, threshold, decided,
         metrics.segment_distribution(scored, label, segment_order),

@@ -33,6 +33,20 @@ def _money(value: Column) -> Column:
     return value.cast("decimal(18,2)")
 
 
+def _cents(value: Column) -> Column:
+    return (_money(value) * 100).cast("long")
+
+
+def _whole(value: Column, divisor: int) -> Column:
+    """Integer division of a non-negative number, free of rounding."""
+    return ((value - value % divisor) / divisor).cast("long")
+
+
+def _value_probability() -> Column:
+    """An event's value as a share of 200, in steps of a thousandth."""
+    return F.least(_whole(_cents(F.col("value")), 20), F.lit(1000)) / F.lit(1000.0)
+
+
 class Views:
     """Lazy views over one folder of input tables."""
 
@@ -220,6 +234,13 @@ class Views:
         )
         line = F.col("l_orderkey") + F.col("l_linenumber")
         formats = dict(enumerate(V.PAYMENT_FORMATS))
+
+        def rate(name: str) -> Column:
+            return F.col(name).cast("decimal(4,2)")
+
+        def share(factor: Column) -> Column:
+            return F.round(_money(F.col("l_extendedprice")) * factor, 2).cast("double")
+
         return joined.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("record_key"),
             F.col("l_shipdate").cast("timestamp").alias("timestamp"),
@@ -229,9 +250,9 @@ class Views:
             (F.col("to_nation") % 10).cast("string").alias("to_bank"),
             F.col("l_suppkey").cast("string").alias("to_account"),
             "to_country",
-            F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2).alias("amount_received"),
+            share(1 - rate("l_discount")).alias("amount_received"),
             F.col("to_currency").alias("receiving_currency"),
-            F.round(F.col("l_extendedprice") * (1 + F.col("l_tax")), 2).alias("amount_paid"),
+            share(1 + rate("l_tax")).alias("amount_paid"),
             F.col("from_currency").alias("payment_currency"),
             _case(line % 7, formats).alias("payment_format"),
             ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 500 == 0).alias("is_laundering"),
@@ -257,14 +278,14 @@ class Views:
         """Events as a scored validation set."""
         return self.table("events").select(
             "event_id",
-            F.round(F.least(F.col("value") / 200.0, F.lit(1.0)), 3).alias("probability"),
+            _value_probability().alias("probability"),
             F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("label"))
 
     @cached_property
     def model_scores(self) -> DataFrame:
         """Three scores per event as three candidate models, in long form."""
         hour = F.hour(F.col("ts").cast("timestamp"))
-        p = F.round(F.least(F.col("value") / 200.0, F.lit(1.0)), 3)
+        p = _value_probability()
         return self.table("events").select(
             F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("label"),
             F.inline(F.array(*[
@@ -306,7 +327,7 @@ class Views:
             .select("c_custkey", F.col("n_name").alias("_from"))
         takers = self.table("supplier").join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")) \
             .select("s_suppkey", F.col("n_name").alias("_to"))
-        amount = F.round(F.col("o_totalprice") / 30, 2)
+        amount = _whole(_cents(F.col("o_totalprice")), 30) / F.lit(100.0)
         text = (
             F.when(key % 89 == 0, "invalid").when(key % 83 == 0, F.concat(F.lit("-"), amount.cast("string")))
             .when(key % 79 != 0, amount.cast("string"))

@@ -201,8 +201,8 @@ VIEWS = {
         SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS record_key, l_shipdate AS "timestamp",
           (f.n_nationkey % 10)::VARCHAR AS from_bank, o_custkey::VARCHAR AS from_account, f.n_name AS from_country,
           (t.n_nationkey % 10)::VARCHAR AS to_bank, l_suppkey::VARCHAR AS to_account, t.n_name AS to_country,
-          round(l_extendedprice * (1 - l_discount), 2) AS amount_received, t.currency AS receiving_currency,
-          round(l_extendedprice * (1 + l_tax), 2) AS amount_paid, f.currency AS payment_currency,
+          round(l_extendedprice::DECIMAL(18,2) * (1 - l_discount::DECIMAL(4,2)), 2)::DOUBLE AS amount_received, t.currency AS receiving_currency,
+          round(l_extendedprice::DECIMAL(18,2) * (1 + l_tax::DECIMAL(4,2)), 2)::DOUBLE AS amount_paid, f.currency AS payment_currency,
           CASE (l_orderkey + l_linenumber) % 7 """
         + " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(FORMATS)) + """ END AS payment_format,
           (l_orderkey * 7 + l_linenumber) % 500 = 0 AS is_laundering
@@ -227,14 +227,14 @@ VIEWS = {
           FROM aml_transfers)"""),
     "scored": (
         [], """
-        SELECT event_id, round(least(value / 200.0::DOUBLE, 1.0::DOUBLE), 3) AS probability,
+        SELECT event_id, least((value::DECIMAL(18,2) * 100)::BIGINT // 20, 1000) / 1000.0::DOUBLE AS probability,
           CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END::BIGINT AS label
         FROM events"""),
     "model_scores": (
         [], """
         SELECT label, model, probability FROM (
           SELECT CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END::BIGINT AS label,
-            round(least(value / 200.0::DOUBLE, 1.0::DOUBLE), 3) AS p, hour(ts) AS h FROM events),
+            least((value::DECIMAL(18,2) * 100)::BIGINT // 20, 1000) / 1000.0::DOUBLE AS p, hour(ts) AS h FROM events),
           LATERAL (SELECT 'logistic_regression' AS model, p AS probability UNION ALL
                    SELECT 'random_forest', round(1 - p, 3) UNION ALL
                    SELECT 'gradient_boosting', round(h / 23.0::DOUBLE, 3))"""),
@@ -270,8 +270,8 @@ VIEWS = {
     "raw_requests": (
         [], """
         SELECT o_orderkey AS request_id, o_custkey::VARCHAR AS customer_id,
-          CASE WHEN o_orderkey % 89 = 0 THEN 'invalid' WHEN o_orderkey % 83 = 0 THEN '-' || round(o_totalprice / 30, 2)::VARCHAR
-               WHEN o_orderkey % 79 <> 0 THEN round(o_totalprice / 30, 2)::VARCHAR END AS transaction_amount,
+          CASE WHEN o_orderkey % 89 = 0 THEN 'invalid' WHEN o_orderkey % 83 = 0 THEN '-' || ((o_totalprice::DECIMAL(18,2) * 100)::BIGINT // 30 / 100.0::DOUBLE)::VARCHAR
+               WHEN o_orderkey % 79 <> 0 THEN ((o_totalprice::DECIMAL(18,2) * 100)::BIGINT // 30 / 100.0::DOUBLE)::VARCHAR END AS transaction_amount,
           ' ' || lower(f.n_name) || ' ' AS country_from,
           CASE WHEN o_orderkey % 73 <> 0 THEN t.n_name END AS country_to,
           CASE WHEN o_orderkey % 71 <> 0 THEN 'usd' END AS currency
