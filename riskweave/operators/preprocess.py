@@ -118,8 +118,7 @@ def column_modes(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
 def column_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
     if not columns:
         return {}
-    found = {r["column"]: r["quantile"] for r in exact_quantiles(df, columns, [0.5]).collect()}
-    return {c: found.get(c) for c in columns}
+    return {c: found[0.5] for c, found in exact_quantiles(df, columns, [0.5]).items()}
 
 
 def impute(df: DataFrame, values: dict[str, object]) -> DataFrame:

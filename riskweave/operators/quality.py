@@ -343,11 +343,13 @@ def describe_amounts(df: DataFrame, columns: list[str]) -> DataFrame:
             F.max("value").alias("max"),
         )
     )
-    quartiles = exact_quantiles(df, columns, [0.25, 0.50, 0.75]).groupBy("column").agg(*[
-        F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name)
-        for p, name in ((0.25, "q25"), (0.50, "q50"), (0.75, "q75"))
-    ])
-    return basics.join(quartiles, "column", "left")
+    quartiles = exact_quantiles(df, columns, [0.25, 0.50, 0.75])
+
+    def quartile(p: float) -> Column:
+        known = [F.struct(F.lit(c), F.lit(quartiles[c][p]).cast("double")) for c in columns]
+        return F.map_from_entries(F.array(*known))[F.col("column")]
+
+    return basics.withColumns({"q25": quartile(0.25), "q50": quartile(0.50), "q75": quartile(0.75)})
 
 
 def entity_cardinality(df: DataFrame, columns: list[str]) -> DataFrame:

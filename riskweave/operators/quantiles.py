@@ -1,106 +1,155 @@
 """Exact quantiles without gathering a column in one task.
 
 The built-in ``percentile`` keeps every distinct value of a column in one aggregation buffer.
-Here the wanted ranks are located in narrowing steps: count values per coarse logarithmic
-bucket, count values per linear slice of the buckets that hold a wanted rank, then count
-the distinct values of those slices. Every step is a partial aggregation, equal values
-collapse into a count before they are shuffled, and only bucket counts are ever ordered
-in one place.
+Here the wanted ranks are located in narrowing passes, each a partial aggregation in which
+equal values collapse before they are shuffled. The first pass counts logarithmic buckets; a
+crowded bucket is counted again in linear slices, as often as needed; when few enough rows are
+left around a rank, their distinct values are counted. Between passes only the bounds of the
+hit buckets travel to the driver, at most two per column and quantile, and they return as
+range filters the scan can use. Like every fit, this runs when it is called.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.functions.conditions import is_missing
-
 BUCKETS_PER_E_FOLD = 256  # at most 2 * 256 * ln(1.8e308) = 363,000 buckets per column
 SLICES = 4096
+FEW_ROWS = 2_000_000
 
 
-def _coarse_bucket(value: Column) -> Column:
-    bounded = F.greatest(F.lit(-1.7e308), F.least(F.lit(1.7e308), value))
-    return F.floor(F.signum(bounded) * F.log1p(F.abs(bounded)) * BUCKETS_PER_E_FOLD)
+@dataclass
+class _Range:
+    """Rows of a column between two values, those before them, and the ranks wanted among them."""
 
+    column: str
+    low: float
+    high: float
+    before: int
+    rows: int
+    ranks: set[int] = field(default_factory=set)
 
-def _slice(value: Column) -> Column:
-    """Position of a value between the smallest and the largest value of its bucket."""
-    span = F.col("bucket_max") - F.col("bucket_min")
-    share = F.try_divide(value - F.col("bucket_min"), span)
-    return F.coalesce(F.when(span < float("inf"), F.least(F.floor(share * SLICES), F.lit(SLICES - 1))), F.lit(0))
 
+def _known(df: DataFrame, column: str) -> Column:
+    value = F.col(f"`{column}`")
+    known = value.isNotNull()
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        known = known & ~F.isnan(value)
+    return known
 
-def _ranks_before(keys: list[str], order: str) -> Column:
-    """Number of rows in earlier groups; the window runs over group counts, not over rows."""
-    window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("n").over(window), F.lit(0))
 
+def _values(df: DataFrame, columns: list[str], ranges: list[_Range] | None = None) -> DataFrame:
+    """Long form (column, value) of the known values, restricted to the given ranges."""
 
-def _wanted_inside(wanted: Column) -> Column:
-    first, after = F.col("before"), F.col("before") + F.col("n")
-    return F.filter(wanted, lambda w: (w["rank"] >= first) & (w["rank"] < after))
+    def number(c: str) -> Column:
+        return F.col(f"`{c}`").cast("double")
 
+    if ranges is not None:
+        wanted = [number(r.column).between(r.low, r.high) for r in ranges]
+        df = df.where(reduce(lambda a, b: a | b, wanted))
+    if len(columns) == 1:
+        column = columns[0]
+        long = df.where(_known(df, column)).select(F.lit(column).alias("column"), number(column).alias("value"))
+    else:
+        known = df.select(*[F.when(_known(df, c), number(c)).alias(c) for c in columns])
+        long = known.unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
+    if ranges is None:
+        return long
+    place = F.lit(None).cast("int")
+    for i, r in enumerate(ranges):
+        inside = (F.col("column") == r.column) & F.col("value").between(r.low, r.high)
+        place = F.when(inside, i).otherwise(place)
+    return long.withColumn("range", place).where(F.col("range").isNotNull())
 
-def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
-    """Rows (column, probability, quantile) with linear interpolation between neighbouring ranks.
 
-    Missing values are skipped, as NaN is. Columns without values yield no row.
-    """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    numbers = df.select(
-        *[F.when(~is_missing(F.col(f"`{c}`"), types[c]), F.col(f"`{c}`").cast("double")).alias(c) for c in columns]
-    )
-    values = numbers.unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
-    values = values.withColumn("bucket", _coarse_bucket(F.col("value")))
+def _coarse_bucket(value: Column) -> Column:
+    bounded = F.greatest(F.lit(-1.7e308), F.least(F.lit(1.7e308), value))
+    return F.floor(F.signum(bounded) * F.log1p(F.abs(bounded)) * BUCKETS_PER_E_FOLD)
 
-    coarse = values.groupBy("column", "bucket").agg(
-        F.count("*").alias("n"), F.min("value").alias("bucket_min"), F.max("value").alias("bucket_max")
-    )
-    total = F.sum("n").over(Window.partitionBy("column"))
-    positions = [(F.lit(float(p)), F.lit(float(p)) * (F.col("total") - 1)) for p in probabilities]
-    wanted = F.array(*[
-        F.struct(p.alias("probability"), F.lit(side).alias("side"), rounding(position).alias("rank"),
-                 (position - F.floor(position)).alias("fraction"))
-        for p, position in positions
-        for side, rounding in (("low", F.floor), ("high", F.ceil))
-    ])
-    coarse_hits = (
-        coarse.withColumn("before", _ranks_before(["column"], "bucket"))
-        .withColumn("total", total)
-        .withColumn("wanted", _wanted_inside(wanted))
-        .where(F.size("wanted") > 0)
-        .select("column", "bucket", "bucket_min", "bucket_max", F.col("before").alias("base"), "wanted")
-    )
 
-    # hits hold at most two ranks per column and probability, so broadcasting them is bounded
-    sliced = values.join(F.broadcast(coarse_hits), ["column", "bucket"]).withColumn("slice", _slice(F.col("value")))
-    slice_hits = (
-        sliced.groupBy("column", "bucket", "slice")
-        .agg(F.count("*").alias("n"), F.first("base").alias("base"), F.first("wanted").alias("wanted"))
-        .withColumn("before", F.col("base") + _ranks_before(["column", "bucket"], "slice"))
-        .withColumn("wanted", _wanted_inside(F.col("wanted")))
-        .where(F.size("wanted") > 0)
-        .select("column", "bucket", "slice", F.col("before").alias("base"), "wanted")
-    )
+def _slice(ranges: list[_Range]) -> Column:
+    """Linear position of a value inside its range."""
+    position = F.lit(0).cast("long")
+    for i, r in enumerate(ranges):
+        scale = SLICES / (r.high - r.low)
+        place = F.least(F.floor((F.col("value") - r.low) * scale), F.lit(SLICES - 1))
+        position = F.when(F.col("range") == i, place).otherwise(position)
+    return position
+
+
+def _earlier(keys: list[str], order: str) -> Column:
+    """Rows in earlier groups; the window runs over group counts, not over rows."""
+    window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("n").over(window), F.lit(0))
+
 
-    hit_values = (
-        sliced.select("column", "bucket", "slice", "value")
-        .join(F.broadcast(slice_hits), ["column", "bucket", "slice"])
-        .groupBy("column", "bucket", "slice", "value")
-        .agg(F.count("*").alias("n"), F.first("base").alias("base"), F.first("wanted").alias("wanted"))
-        .withColumn("before", F.col("base") + _ranks_before(["column", "bucket", "slice"], "value"))
-        .select("column", "value", F.explode(_wanted_inside(F.col("wanted"))).alias("hit"))
+def _narrow(df: DataFrame, columns: list[str], ranges: list[_Range]) -> list[_Range]:
+    """Replace every range by the slices, or the single values, that hold its wanted ranks."""
+    few = max(r.rows for r in ranges) <= FEW_ROWS
+    group = F.col("value") if few else _slice(ranges)
+    counted = (
+        _values(df, columns, ranges).withColumn("group", group).groupBy("range", "group")
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .withColumn("before", _earlier(["range"], "group"))
     )
-    low = F.max(F.when(F.col("hit.side") == "low", F.col("value")))
-    high = F.max(F.when(F.col("hit.side") == "high", F.col("value")))
-    fraction = F.max("hit.fraction")
-    return hit_values.groupBy("column", F.col("hit.probability").alias("probability")).agg(
-        F.when(low == high, low).otherwise(low + (high - low) * fraction).alias("quantile")
+    holds = F.lit(False)
+    for i, r in enumerate(ranges):
+        for rank in r.ranks:
+            inside = (F.col("before") <= rank - r.before) & (F.col("before") + F.col("n") > rank - r.before)
+            holds = holds | ((F.col("range") == i) & inside)
+    found = []
+    for row in counted.where(holds).select("range", "n", "low", "high", "before").collect():
+        outer = ranges[row["range"]]
+        before = outer.before + row["before"]
+        ranks = {k for k in outer.ranks if before <= k < before + row["n"]}
+        found.append(_Range(outer.column, row["low"], row["high"], before, row["n"], ranks))
+    return found
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, dict[float, float | None]]:
+    """Quantiles per column with linear interpolation between ranks; missing values are skipped."""
+    columns = list(columns)
+    coarse = (
+        _values(df, columns).groupBy("column", _coarse_bucket(F.col("value")).alias("bucket"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .withColumns({
+            "before": _earlier(["column"], "bucket"),
+            "total": F.sum("n").over(Window.partitionBy("column")),
+        })
     )
+    sides = [side(F.lit(float(p)) * (F.col("total") - 1)) for p in probabilities for side in (F.floor, F.ceil)]
+    inside = [(F.col("before") <= k) & (F.col("before") + F.col("n") > k) for k in sides]
+    ranks = F.array_compact(F.array(*[F.when(hit, k) for hit, k in zip(inside, sides)]))
+    hits = coarse.withColumn("ranks", ranks).where(F.size("ranks") > 0)
+    ranges, totals = [], {}
+    for row in hits.select("column", "low", "high", "before", "n", "total", "ranks").collect():
+        totals[row["column"]] = row["total"]
+        ranges.append(_Range(row["column"], row["low"], row["high"], row["before"], row["n"], set(row["ranks"])))
+
+    found: dict[tuple[str, int], float] = {}
+    while ranges:
+        for r in ranges:
+            if r.low == r.high:
+                found.update({(r.column, k): r.low for k in r.ranks})
+        ranges = [r for r in ranges if r.low != r.high]
+        if ranges:
+            ranges = _narrow(df, columns, ranges)
+
+    def interpolated(column: str, probability: float) -> float | None:
+        if column not in totals:
+            return None
+        position = probability * (totals[column] - 1)
+        low, high = found[column, int(position // 1)], found[column, int(-(-position // 1))]
+        return low if low == high else low + (high - low) * (position - position // 1)
+
+    return {c: {p: interpolated(c, p) for p in probabilities} for c in columns}
 
 
 def quantile_value(df: DataFrame, column: str, probability: float) -> Column:
-    """One exact quantile as a scalar subquery, ready to be used next to row columns."""
-    return exact_quantiles(df, [column], [probability]).select("quantile").scalar()
+    """One exact quantile as a literal, ready to be used next to row columns."""
+    return F.lit(exact_quantiles(df, [column], [probability])[column][probability]).cast("double")

@@ -33,18 +33,19 @@ def _money(value: Column) -> Column:
     return value.cast("decimal(18,2)")
 
 
-def _cents(value: Column) -> Column:
-    return (_money(value) * 100).cast("long")
+def _hundredths(value: Column) -> Column:
+    """A number with two decimals as a whole number of hundredths."""
+    return F.floor(value * 100 + 0.5)
 
 
 def _whole(value: Column, divisor: int) -> Column:
-    """Integer division of a non-negative number, free of rounding."""
-    return ((value - value % divisor) / divisor).cast("long")
+    """Integer division of a non-negative whole number."""
+    return F.floor(value / divisor)
 
 
 def _value_probability() -> Column:
     """An event's value as a share of 200, in steps of a thousandth."""
-    return F.least(_whole(_cents(F.col("value")), 20), F.lit(1000)) / F.lit(1000.0)
+    return F.least(_whole(_hundredths(F.col("value")), 20), F.lit(1000)) / F.lit(1000.0)
 
 
 class Views:
@@ -235,11 +236,9 @@ class Views:
         line = F.col("l_orderkey") + F.col("l_linenumber")
         formats = dict(enumerate(V.PAYMENT_FORMATS))
 
-        def rate(name: str) -> Column:
-            return F.col(name).cast("decimal(4,2)")
-
-        def share(factor: Column) -> Column:
-            return F.round(_money(F.col("l_extendedprice")) * factor, 2).cast("double")
+        def share(percent: Column) -> Column:
+            """Price times a percentage, rounded half up to the cent in whole numbers."""
+            return _whole(_hundredths(F.col("l_extendedprice")) * percent + 50, 100) / F.lit(100.0)
 
         return joined.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("record_key"),
@@ -250,9 +249,9 @@ class Views:
             (F.col("to_nation") % 10).cast("string").alias("to_bank"),
             F.col("l_suppkey").cast("string").alias("to_account"),
             "to_country",
-            share(1 - rate("l_discount")).alias("amount_received"),
+            share(100 - _hundredths(F.col("l_discount"))).alias("amount_received"),
             F.col("to_currency").alias("receiving_currency"),
-            share(1 + rate("l_tax")).alias("amount_paid"),
+            share(100 + _hundredths(F.col("l_tax"))).alias("amount_paid"),
             F.col("from_currency").alias("payment_currency"),
             _case(line % 7, formats).alias("payment_format"),
             ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 500 == 0).alias("is_laundering"),
@@ -327,7 +326,7 @@ class Views:
             .select("c_custkey", F.col("n_name").alias("_from"))
         takers = self.table("supplier").join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")) \
             .select("s_suppkey", F.col("n_name").alias("_to"))
-        amount = _whole(_cents(F.col("o_totalprice")), 30) / F.lit(100.0)
+        amount = _whole(_hundredths(F.col("o_totalprice")), 30) / F.lit(100.0)
         text = (
             F.when(key % 89 == 0, "invalid").when(key % 83 == 0, F.concat(F.lit("-"), amount.cast("string")))
             .when(key % 79 != 0, amount.cast("string"))

@@ -201,8 +201,8 @@ VIEWS = {
         SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS record_key, l_shipdate AS "timestamp",
           (f.n_nationkey % 10)::VARCHAR AS from_bank, o_custkey::VARCHAR AS from_account, f.n_name AS from_country,
           (t.n_nationkey % 10)::VARCHAR AS to_bank, l_suppkey::VARCHAR AS to_account, t.n_name AS to_country,
-          round(l_extendedprice::DECIMAL(18,2) * (1 - l_discount::DECIMAL(4,2)), 2)::DOUBLE AS amount_received, t.currency AS receiving_currency,
-          round(l_extendedprice::DECIMAL(18,2) * (1 + l_tax::DECIMAL(4,2)), 2)::DOUBLE AS amount_paid, f.currency AS payment_currency,
+          (floor(l_extendedprice * 100 + 0.5)::BIGINT * (100 - floor(l_discount * 100 + 0.5)::BIGINT) + 50) // 100 / 100.0::DOUBLE AS amount_received, t.currency AS receiving_currency,
+          (floor(l_extendedprice * 100 + 0.5)::BIGINT * (100 + floor(l_tax * 100 + 0.5)::BIGINT) + 50) // 100 / 100.0::DOUBLE AS amount_paid, f.currency AS payment_currency,
           CASE (l_orderkey + l_linenumber) % 7 """
         + " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(FORMATS)) + """ END AS payment_format,
           (l_orderkey * 7 + l_linenumber) % 500 = 0 AS is_laundering
