@@ -19,7 +19,7 @@ def credit_features(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame
     Missing income takes the exact median of ``fit_on`` (default: of the data itself).
     """
     median = quantile_value(df if fit_on is None else fit_on, "MonthlyIncome", 0.5)
-    filled = quality.drop_identifiers(df).withColumns({
+    filled = quality.nan_to_null(quality.drop_identifiers(df)).withColumns({
         "MonthlyIncome": F.coalesce(F.col("MonthlyIncome"), median),
         V.DEPENDENTS: F.coalesce(F.col(V.DEPENDENTS), F.lit(0.0)),
     })
@@ -47,7 +47,7 @@ def fraud_features(df: DataFrame) -> DataFrame:
         return F.coalesce(F.col(name), F.lit(0))
 
     dependents = F.greatest(F.coalesce(F.col(V.DEPENDENTS), F.lit(0.0)), F.lit(0.0))
-    counts = quality.drop_identifiers(df).withColumn(
+    counts = quality.nan_to_null(quality.drop_identifiers(df)).withColumn(
         "TotalDelinquencyEvents", counted(V.LATE_30_59) + counted(V.LATE_60_89) + counted(V.LATE_90))
     flagged = counts.withColumns({
         "HasDelinquency": flag(F.col("TotalDelinquencyEvents") > 0),
@@ -122,6 +122,7 @@ def payment_onehot(df: DataFrame, formats: list[str] = V.PAYMENT_FORMATS) -> Dat
 
 def aml_features(df: DataFrame, fit_on: DataFrame | None = None, formats: list[str] = V.PAYMENT_FORMATS) -> DataFrame:
     """The whole transfer feature set, cleaned of leakage, without missing or infinite numbers."""
+    df = quality.nan_to_null(df)
     return (
         df.transform(time_features)
         .transform(amount_features)

@@ -278,6 +278,11 @@ def infinite_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~is_infinite(_c(c)), _c(c)) for c in floating_columns(df)})
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN means missing here; left alone, Spark would order it above every number."""
+    return df.withColumns({c: F.when(~F.isnan(_c(c)), _c(c)) for c in floating_columns(df)})
+
+
 def numeric_gate(df: DataFrame) -> DataFrame:
     """Raise when a missing or infinite value is left after feature engineering."""
     fields = df.schema.fields
@@ -331,7 +336,7 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
 
 def describe_amounts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
-    numbers = df.select(*[_c(c).cast("double").alias(c) for c in columns])
+    numbers = nan_to_null(df.select(*[_c(c).cast("double").alias(c) for c in columns]))
     basics = (
         numbers.unpivot([], columns, "column", "value")
         .groupBy("column")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.operators.quality import require_columns
+from riskweave.operators.quality import nan_to_null, require_columns
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
@@ -25,6 +25,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, required: lis
     ])
     df = spark.read.schema(found).option("header", True).csv(path)
     df = df.select(*[F.col(f"`{f.name}`") for f in found.fields if f.name.lower() in known])
+    df = nan_to_null(df)
     return require_columns(df, required if required is not None else schema.fieldNames())
 
 
