@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_RULES = 500
@@ -45,75 +46,93 @@ def active_rules(rules: DataFrame) -> list[AmlRule]:
 
 
 def trailing_window(
-    events: DataFrame, minutes: int, threshold: Decimal | float | None = None,
+    events: DataFrame, minutes: int, thresholds: list[Decimal] = (),
     account: str = "account_id", ts: str = "ts", amount: str = "amount", bucket_minutes: int = 60,
 ) -> DataFrame:
-    """Events with count, sum and count of large amounts over the trailing window of their account.
+    """Events with count and sum over the trailing window of their account.
 
-    The window includes both ends and every event of the same instant.
+    The window includes both ends and every event of the same instant. ``window_large`` counts,
+    per threshold, the amounts in the window that reach it.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     exact = F.col(amount).cast("decimal(18,2)")
-    large = F.when(exact >= F.lit(threshold).cast("decimal(18,2)"), 1).otherwise(0) if threshold is not None else F.lit(0)
+    large = {f"b{i}": F.when(exact >= F.lit(t).cast("decimal(18,2)"), 1).otherwise(0) for i, t in enumerate(thresholds)}
     keyed = events.withColumn("_at", micros)
     # events of one account in one instant collapse before anything is shuffled
     moments = keyed.groupBy(account, "_at").agg(
-        F.count("*").alias("n"), F.sum(exact).cast("decimal(28,2)").alias("s"), F.sum(large).alias("b"))
+        F.count("*").alias("n"), F.coalesce(F.sum(exact), F.lit(0)).cast("decimal(28,2)").alias("s"),
+        *[F.sum(reached).alias(b) for b, reached in large.items()])
     span = minutes * 60_000_000
     zero = F.lit(0).cast("decimal(28,2)")
     changes = moments.select(account, F.explode(F.array(
-        F.struct(F.col("_at").alias("at"), F.lit(True).alias("enters"), F.col("n"), F.col("s"), F.col("b")),
+        F.struct(F.col("_at").alias("at"), F.lit(True).alias("enters"), F.col("n"), F.col("s"),
+                 *[F.col(b) for b in large]),
         F.struct((F.col("_at") + span + 1).alias("at"), F.lit(False).alias("enters"), (-F.col("n")).alias("n"),
-                 (zero - F.col("s")).cast("decimal(28,2)").alias("s"), (-F.col("b")).alias("b")),
+                 (zero - F.col("s")).cast("decimal(28,2)").alias("s"),
+                 *[(-F.col(b)).alias(b) for b in large]),
     )).alias("c")).select(account, "c.*")
     width = bucket_minutes * 60_000_000
     changes = changes.withColumn("_bucket", F.floor(F.col("at") / width))
 
     net = changes.groupBy(account, "_bucket").agg(
-        F.sum("n").alias("dn"), F.sum("s").cast("decimal(28,2)").alias("ds"), F.sum("b").alias("db"))
+        F.sum("n").alias("dn"), F.sum("s").cast("decimal(28,2)").alias("ds"),
+        *[F.sum(b).alias(f"d{b}") for b in large])
     earlier = Window.partitionBy(account).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = net.select(
         account, "_bucket",
         F.coalesce(F.sum("dn").over(earlier), F.lit(0)).alias("on"),
         F.coalesce(F.sum("ds").over(earlier), zero).alias("os"),
-        F.coalesce(F.sum("db").over(earlier), F.lit(0)).alias("ob"),
+        *[F.coalesce(F.sum(f"d{b}").over(earlier), F.lit(0)).alias(f"o{b}") for b in large],
     )
     running = Window.partitionBy(account, "_bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     totals = (
-        changes.withColumns({"rn": F.sum("n").over(running), "rs": F.sum("s").over(running), "rb": F.sum("b").over(running)})
+        changes.withColumns({f"r{c}": F.sum(c).over(running) for c in ("n", "s", *large)})
         .where("enters")
         .join(offsets, [account, "_bucket"])
         .select(
             account, F.col("at").alias("_at"),
             (F.col("rn") + F.col("on")).alias("window_count"),
             (F.col("rs") + F.col("os")).cast("decimal(28,2)").alias("window_sum"),
-            (F.col("rb") + F.col("ob")).alias("window_large"),
+            F.array(*[F.col(f"r{b}") + F.col(f"o{b}") for b in large]).alias("window_large"),
         )
     )
     return keyed.join(totals, [account, "_at"]).drop("_at")
 
 
-def evaluate_rule(events: DataFrame, rule: AmlRule, **columns) -> DataFrame:
-    """Events on which the rule fires, with the window values that made it fire."""
-    amount = F.col(columns.get("amount", "amount")).cast("decimal(18,2)")
-    if rule.kind == "high_value":
-        fired = events.where(amount >= F.lit(rule.threshold_amount)).withColumns(
-            {"window_count": F.lit(1).cast("long"), "window_sum": amount.cast("decimal(28,2)")})
-    else:
-        seen = trailing_window(events, rule.time_window_minutes, rule.threshold_amount, **columns)
-        hit = F.col("window_count") >= rule.threshold_count
-        if rule.kind == "structuring":
-            hit = hit & (F.col("window_large") == 0) & (F.col("window_sum") >= F.lit(rule.threshold_amount))
-        fired = seen.where(hit).drop("window_large")
-    return fired.withColumns({"rule_code": F.lit(rule.rule_code), "severity": F.lit(rule.severity)})
-
-
 def evaluate_rules(events: DataFrame, rules: list[AmlRule], kind: str | None = None, **columns) -> DataFrame:
-    """All rules, or those of one kind, as one set of hits."""
-    hits = [evaluate_rule(events, rule, **columns) for rule in rules if kind is None or rule.kind == kind]
-    if not hits:
+    """Events on which rules fire, one row per event and rule, with the window that made it fire.
+
+    Rules that share a window length share one pass over the events.
+    """
+    chosen = [rule for rule in rules if kind is None or rule.kind == kind]
+    if not chosen:
         raise ValueError(f"No active rule of kind {kind!r}.")
-    result = hits[0]
-    for more in hits[1:]:
-        result = result.unionByName(more)
-    return result
+    amount = F.col(columns.get("amount", "amount")).cast("decimal(18,2)")
+
+    def hit(rule: AmlRule, fires: Column, count: Column, total: Column) -> Column:
+        return F.when(fires, F.struct(
+            F.lit(rule.rule_code).alias("rule_code"), F.lit(rule.severity).alias("severity"),
+            count.cast("long").alias("window_count"), total.cast("decimal(28,2)").alias("window_sum")))
+
+    def collect(seen: DataFrame, hits: list[Column]) -> DataFrame:
+        return seen.select(*[F.col(f"`{c}`") for c in events.columns], F.inline(F.array_compact(F.array(*hits))))
+
+    parts = []
+    single = [rule for rule in chosen if rule.kind == "high_value"]
+    if single:
+        parts.append(collect(events, [
+            hit(r, amount >= F.lit(r.threshold_amount).cast("decimal(18,2)"), F.lit(1), amount) for r in single]))
+    windowed = [rule for rule in chosen if rule.kind != "high_value"]
+    for minutes in sorted({rule.time_window_minutes for rule in windowed}):
+        group = [rule for rule in windowed if rule.time_window_minutes == minutes]
+        limits = sorted({rule.threshold_amount for rule in group if rule.threshold_amount is not None})
+        seen = trailing_window(events, minutes, limits, **columns)
+        hits = []
+        for rule in group:
+            fires = F.col("window_count") >= rule.threshold_count
+            if rule.kind == "structuring":
+                none_large = F.col("window_large")[limits.index(rule.threshold_amount)] == 0
+                fires = fires & none_large & (F.col("window_sum") >= F.lit(rule.threshold_amount).cast("decimal(18,2)"))
+            hits.append(hit(rule, fires, F.col("window_count"), F.col("window_sum")))
+        parts.append(collect(seen, hits))
+    return reduce(DataFrame.unionByName, parts)

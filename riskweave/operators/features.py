@@ -10,6 +10,7 @@ from riskweave import fixed_values as V
 from riskweave.functions.bands import age_band
 from riskweave.functions.conditions import differs, finite_or_null, flag, safe_divide, same
 from riskweave.operators import quality
+from riskweave.operators.preprocess import category_counts
 from riskweave.operators.quantiles import quantile_value
 
 
@@ -114,26 +115,44 @@ def mismatch_flags(df: DataFrame) -> DataFrame:
     })
 
 
-def payment_onehot(df: DataFrame, formats: list[str] = V.PAYMENT_FORMATS) -> DataFrame:
-    return df.withColumns({
-        f"payment_format_{name}": flag(F.col("payment_format") == name) for name in sorted(formats)
-    })
+def observed_formats(df: DataFrame) -> list[str]:
+    """Payment formats of the data, sorted; refuses a column that is no category."""
+    return sorted(value for value, _ in category_counts(df, ["payment_format"])["payment_format"] if value is not None)
+
+
+def payment_onehot(df: DataFrame, formats: list[str] | None = None) -> DataFrame:
+    """One column per payment format of the data, or per given format as at scoring time."""
+    names = observed_formats(df) if formats is None else sorted(formats)
+    return df.withColumns({f"payment_format_{name}": flag(F.col("payment_format") == name) for name in names})
 
 
-def aml_features(df: DataFrame, fit_on: DataFrame | None = None, formats: list[str] = V.PAYMENT_FORMATS) -> DataFrame:
-    """The whole transfer feature set, cleaned of leakage, without missing or infinite numbers."""
+def aml_features(
+    df: DataFrame, fit_on: DataFrame | None = None, formats: list[str] | None = None, strict: bool = False,
+    high_value_limit: float | None = None,
+) -> DataFrame:
+    """The whole transfer feature set, cleaned of leakage, without missing or infinite numbers.
+
+    ``strict`` makes any value that is still missing an error. Scoring passes the formats and the
+    high-value limit of the training data.
+    """
     df = quality.nan_to_null(df)
-    return (
-        df.transform(time_features)
+    if formats is None:
+        formats = observed_formats(df)
+    if high_value_limit is None:
+        marked = high_value_flag(df, fit_on)
+    else:
+        marked = df.withColumn("high_value_transaction", flag(F.col("amount_received") > high_value_limit))
+    built = (
+        marked.transform(time_features)
         .transform(amount_features)
         .transform(relation_flags)
-        .transform(high_value_flag, df if fit_on is None else fit_on)
         .transform(mismatch_flags)
         .transform(payment_onehot, formats)
         .withColumn("is_laundering", flag(F.col("is_laundering").cast("int") == 1))
         .transform(quality.drop_leakage)
         .transform(quality.fill_numeric)
     )
+    return quality.numeric_gate(built) if strict else built
 
 
 def feature_summary(df: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -21,35 +23,38 @@ def stratified_split(df: DataFrame, target: str, key: str, share: float = 0.2, s
 
     Rows are ranked by a hash of their unique key. The rank is not computed over a whole
     class: hash prefixes are counted, the prefix with the cut is found, and only the rows
-    under that prefix are ordered. A class of two rows or more is on both sides.
+    under that prefix are ordered. One cut per class reaches the driver, when called; the
+    result is then a plain projection. A class of two rows or more is on both sides.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    marked = df.withColumns({"_digest": digest, "_class": F.col(target).cast("int")})
-    prefixed = marked.select("_class", "_digest", F.col(key).alias("_key"), F.substring("_digest", 1, 4).alias("_prefix"))
+    label = F.col(target).cast("int")
+    hashed = df.select(label.alias("class"), F.col(key).alias("key"), digest.alias("digest")).where(F.col("class").isNotNull())
+    prefixed = hashed.withColumn("prefix", F.substring("digest", 1, 4))
 
-    counts = prefixed.groupBy("_class", "_prefix").agg(F.count("*").alias("n"))  # 65,536 prefixes per class
-    upto = Window.partitionBy("_class").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
+    counts = prefixed.groupBy("class", "prefix").agg(F.count("*").alias("n"))  # 65,536 prefixes per class
+    upto = Window.partitionBy("class").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
     wanted = F.least(F.greatest(F.round(F.col("total") * share).cast("long"), F.lit(1)), F.col("total") - 1)
     cut_prefix = (
-        counts.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(Window.partitionBy("_class"))})
+        counts.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(Window.partitionBy("class"))})
         .withColumn("wanted", wanted)
         .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
-        .select("_class", "_prefix", (F.col("wanted") - F.col("upto") + F.col("n")).alias("_position"))
-    )
-    inside = Window.partitionBy("_class").orderBy("_digest", "_key")
-    cut = (
-        prefixed.join(F.broadcast(cut_prefix), ["_class", "_prefix"])  # one row per class
-        .withColumn("_rank", F.row_number().over(inside))
-        .where(F.col("_rank") == F.col("_position"))
-        .select("_class", F.col("_digest").alias("_cut_digest"), F.col("_key").alias("_cut_key"))
-    )
-    before = (F.col("_digest") < F.col("_cut_digest")) | (
-        (F.col("_digest") == F.col("_cut_digest")) & (F.col(key) <= F.col("_cut_key")))
-    return (
-        marked.join(F.broadcast(cut), "_class", "left")
-        .withColumn("split", F.when(before, "validation").otherwise("train"))
-        .drop("_digest", "_class", "_cut_digest", "_cut_key")
+        .select("class", "prefix", (F.col("wanted") - F.col("upto") + F.col("n")).alias("position"))
     )
+    cuts = cut_prefix.limit(MAX_CATEGORIES + 1).collect()
+    if len(cuts) > MAX_CATEGORIES:
+        raise ValueError(f"{target} has more than {MAX_CATEGORIES} classes.")
+    in_validation = F.lit(False)
+    if cuts:
+        near = reduce(lambda a, b: a | b, [(F.col("class") == c["class"]) & (F.col("prefix") == c["prefix"]) for c in cuts])
+        at = F.lit(None).cast("long")
+        for c in cuts:
+            at = F.when(F.col("class") == c["class"], c["position"]).otherwise(at)
+        ordered = Window.partitionBy("class").orderBy("digest", "key")
+        edges = prefixed.where(near).withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") == at)
+        for edge in edges.select("class", "digest", "key").collect():
+            before = (digest < edge["digest"]) | ((digest == edge["digest"]) & (F.col(key) <= F.lit(edge["key"])))
+            in_validation = in_validation | ((label == edge["class"]) & before)
+    return df.withColumn("split", F.when(in_validation, "validation").otherwise("train"))
 
 
 def split_summary(split: DataFrame, target: str) -> DataFrame:
@@ -141,6 +146,13 @@ class FittedColumns:
     deviations: dict[str, float] = field(default_factory=dict)
     categories: dict[str, list[str | None]] = field(default_factory=dict)
 
+    def save(self, spark, path: str) -> None:
+        spark.createDataFrame([(json.dumps(asdict(self)),)], "value string").write.mode("overwrite").text(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> FittedColumns:
+        return cls(**json.loads(spark.read.text(path).first()["value"]))
+
     @property
     def feature_names(self) -> list[str]:
         """Numeric block first, then one column per category, as the model sees them."""

@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 from riskweave import fixed_values as V
 from riskweave.functions import bands, normalise, privacy
 from riskweave.operators import (
-    aml_rules, explain, features, integrated, joins, metrics, preprocess, quality, reports, rules, seeds, training,
+    aml_rules, explain, features, integrated, joins, lineage, metrics, preprocess, quality, reports, rules, seeds, training,
 )
-from riskweave.plans import domains
+from riskweave.plans import domains, inference
 from riskweave.sources import files, schemas, sinks
 from riskweave.sources.views import Views
 
@@ -505,13 +505,13 @@ def _split(v):
 
 
 def _kept_split(v):
-    """Several fits read the split, so it is computed once."""
-    return domains.materialise(_split(v))
+    """Several fits read the split's source, so it is computed once."""
+    return preprocess.stratified_split(lineage.materialise(v.applicants), V.APPLICANT_TARGET, "applicant_id")
 
 
 def _fraud_split(v):
-    split = preprocess.stratified_split(features.fraud_features(v.applicants), V.APPLICANT_TARGET, "applicant_id")
-    return domains.materialise(split)
+    prepared = lineage.materialise(features.fraud_features(v.applicants))
+    return preprocess.stratified_split(prepared, V.APPLICANT_TARGET, "applicant_id")
 
 
 @query("stratified_split")
@@ -593,7 +593,14 @@ def _(v):
 @query("batch_score")
 def _(v):
     run = domains.transaction_fraud_run(v.card_transactions, "vec_id", models=_quick_models("transaction_fraud")[:1])
-    return run.decided
+    return inference.transaction_fraud_inference(
+        v.card_transactions, run.preprocessing, run.models[run.best_model], "vec_id", run.threshold)
+
+
+@query("credit_inference")
+def _(v):
+    run = domains.credit_run(v.applicants, models=_quick_models("credit")[:1])
+    return inference.credit_inference(v.applicants, run.preprocessing, run.models[run.best_model])[0]
 
 
 @query("feature_importance")

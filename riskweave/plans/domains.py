@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from riskweave import fixed_values as V
 from riskweave.functions import bands
 from riskweave.operators import features, metrics, preprocess, quality, training
+from riskweave.operators.lineage import materialise
 
 
 @dataclass
@@ -30,17 +30,6 @@ class DomainRun:
     preprocessing: preprocess.FittedColumns
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a result that many passes read.
-
-    With a checkpoint folder the rows are written there and survive lost executors; without one
-    (tests) they are kept on local memory and disk.
-    """
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint()
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def run_domain(
     prepared: DataFrame, domain: str, target: str, key: str, numeric: list[str], categorical: list[str],
     grid: list[float], choose, segment, models: list[training.ModelSpec] | None, missing_category: bool = False,
@@ -48,7 +37,7 @@ def run_domain(
 ) -> DomainRun:
     """Train on the training side only and report on the validation side."""
     spark = prepared.sparkSession
-    split = materialise(preprocess.stratified_split(materialise(prepared), target, key))
+    split = preprocess.stratified_split(materialise(prepared), target, key)
     train, validation = split.where("split = 'train'"), split.where("split = 'validation'")
     fitted = preprocess.fit_columns(train, numeric, categorical, missing_category=missing_category)
 
@@ -99,7 +88,7 @@ def transaction_fraud_run(cards: DataFrame, key: str, models=None) -> DomainRun:
 
 
 def aml_run(transfers: DataFrame, key: str = "record_key", models=None) -> DomainRun:
-    prepared = features.aml_features(quality.require_columns(transfers, V.AML_COLUMNS))
+    prepared = features.aml_features(quality.require_columns(transfers, V.AML_COLUMNS), strict=True)
     identifiers = [c for c in V.AML_IDENTIFIERS if c != key]
     prepared = preprocess.require_positives(prepared.drop(*identifiers), "is_laundering")
     numeric = [c for c in quality.numeric_columns(prepared) if c != "is_laundering"]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.operators.lineage import materialise
 from riskweave.operators.quality import quarantine_audit, quarantine_split
 from riskweave.operators.rules import ALERT_KEY, new_alerts
 
@@ -30,7 +31,7 @@ def append_alerts(alerts: DataFrame, path: str) -> dict[str, int]:
     """
     spark = alerts.sparkSession
     existing = table_or_empty(spark, path, alerts.schema)
-    once = alerts.dropDuplicates(ALERT_KEY)
+    once = materialise(alerts.dropDuplicates(ALERT_KEY))
     fresh = new_alerts(once, existing)
     before = existing.count()
     offered = once.count()
@@ -75,5 +76,4 @@ def insert_ignoring_conflicts(rows: DataFrame, existing: DataFrame, unique_keys:
         remaining = remaining.join(winners.select(order_by), order_by, "left_anti").select(*rows.columns)
         if remaining.isEmpty():
             return inserted
-        if rows.sparkSession.sparkContext.getCheckpointDir():
-            remaining = remaining.checkpoint()
+        remaining = materialise(remaining)

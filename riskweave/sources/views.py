@@ -6,6 +6,7 @@ tables lack an attribute it is derived from a key by a fixed rule.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -266,8 +267,8 @@ class Views:
     @property
     def aml_rules(self) -> list[AmlRule]:
         return [
-            AmlRule("HIV01", "Medium", threshold_amount=150),
-            AmlRule("STR01", "Critical", threshold_amount=100, threshold_count=4, time_window_minutes=1440),
+            AmlRule("HIV01", "Medium", threshold_amount=Decimal(150)),
+            AmlRule("STR01", "Critical", threshold_amount=Decimal(100), threshold_count=4, time_window_minutes=1440),
             AmlRule("VEL01", "High", threshold_count=5, time_window_minutes=1440),
         ]
 

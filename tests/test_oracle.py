@@ -29,5 +29,5 @@ def test_entry_lists_alerts_with_reasons(spark):
 
 def test_only_models_and_file_hashes_lack_sql():
     assert set(queries()) - set(oracle_sql()) == {
-        "source_fingerprint", "credit_risk_run", "fraud_risk_run", "transaction_fraud_run", "aml_run", "batch_score",
+        "source_fingerprint", "credit_risk_run", "fraud_risk_run", "transaction_fraud_run", "aml_run", "batch_score", "credit_inference",
         "feature_importance", "top_features", "explain_features"}

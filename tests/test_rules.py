@@ -83,8 +83,8 @@ def test_trailing_window_equals_brute_force_with_a_hot_account(spark, bucket_min
         account = 1 if i % 3 == 0 else rng.randrange(2, 12)
         events.append((i, account, start + dt.timedelta(minutes=rng.randrange(0, 300)), Decimal(rng.randrange(1, 20000)) / 100))
     df = spark.createDataFrame(events, "event_id long, account_id long, ts timestamp, amount decimal(18,2)")
-    seen = aml_rules.trailing_window(df, 30, Decimal("100"), bucket_minutes=bucket_minutes)
-    found = {r["event_id"]: (r["window_count"], r["window_sum"], r["window_large"]) for r in seen.collect()}
+    seen = aml_rules.trailing_window(df, 30, [Decimal("100")], bucket_minutes=bucket_minutes)
+    found = {r["event_id"]: (r["window_count"], r["window_sum"], r["window_large"][0]) for r in seen.collect()}
     assert found == brute_windows(events, 30, Decimal("100"))
 
 
@@ -108,4 +108,4 @@ def test_structuring_needs_only_small_amounts(spark):
     amounts = {1: [40.0, 40.0, 40.0], 2: [40.0, 40.0, 100.0], 3: [10.0, 10.0, 10.0]}
     rows = [(a * 10 + i, a, t0 + dt.timedelta(minutes=i), v) for a, vs in amounts.items() for i, v in enumerate(vs)]
     df = spark.createDataFrame(rows, "event_id long, account_id long, ts timestamp, amount double")
-    assert [r["event_id"] for r in aml_rules.evaluate_rule(df, rule).collect()] == [12]
+    assert [r["event_id"] for r in aml_rules.evaluate_rules(df, [rule]).collect()] == [12]

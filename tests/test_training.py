@@ -4,8 +4,9 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from riskweave.operators import explain, metrics, training
-from riskweave.plans import domains
+from riskweave.operators import explain, features, metrics, training
+from riskweave.operators.preprocess import FittedColumns
+from riskweave.plans import domains, inference
 from riskweave.plans.catalog import _quick_models
 from riskweave.sources.views import Views
 
@@ -60,6 +61,27 @@ def test_models_can_be_saved_and_loaded(spark, run, tmp_path):
     assert loaded.uid == model.uid
 
 
+def test_new_rows_are_scored_with_the_saved_preprocessing(spark, run, tmp_path):
+    run.preprocessing.save(spark, str(tmp_path / "columns"))
+    fitted = FittedColumns.load(spark, str(tmp_path / "columns"))
+    assert fitted == run.preprocessing
+    rows = Views(spark, FOLDER).applicants
+    scored, rejected = inference.credit_inference(rows, fitted, run.models[run.best_model])
+    assert scored.count() + rejected.count() == rows.count()
+    assert rejected.count() == rows.where("age < 18 or age > 120").count()
+    with pytest.raises(ValueError, match="missing: DebtRatio"):
+        inference.predict(features.fraud_features(rows).drop("DebtRatio"), fitted, run.models[run.best_model], ["applicant_id"])
+
+
+def test_transfers_are_scored_with_training_formats(spark):
+    transfers = Views(spark, "/root/testdata/sf0.001").aml_transfers
+    trained = domains.aml_run(transfers, models=_quick_models("aml")[:1])
+    cash = transfers.where("payment_format = 'Cash'")
+    scored = inference.aml_inference(cash, trained.preprocessing, trained.models[trained.best_model], 80000.0)
+    assert scored.count() == cash.count()
+    assert set(scored.columns) == {"record_key", "aml_probability", "risk_segment", "aml_decision", "aml_prediction", "explanation"}
+
+
 def test_published_candidates():
     credit = {m.name: m for m in training.default_models("credit")}
     assert credit["random_forest"].params["numTrees"] == 300 and credit["gradient_boosting"].params["stepSize"] == 0.05
