@@ -40,8 +40,13 @@ def score_transactions(enriched: DataFrame) -> DataFrame:
 
 
 def rule_alerts(scored: DataFrame) -> DataFrame:
-    """Alert rows of the transactions rated Critical or High."""
-    return scored.where(F.col("risk_level").isin(V.ALERT_LEVELS)).select(
+    """Alert rows of the transactions rated Critical or High.
+
+    The filter asks for the score those levels start at: pushed below the projection, it
+    evaluates the rules once, where a filter on the level would repeat them per band.
+    """
+    least_score = min(edge for edge, level in V.RULE_LEVELS if level in V.ALERT_LEVELS)
+    return scored.where(F.col("risk_score") >= least_score).select(
         "transaction_id",
         F.lit(V.ALERT_SOURCE).alias("detection_source"),
         F.least(F.col("risk_score") / F.lit(100.0), F.lit(1.0)).cast("decimal(5,4)").alias("fraud_score"),

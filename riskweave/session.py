@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # building a plan should not record the Python call site of every expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

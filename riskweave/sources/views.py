@@ -55,9 +55,13 @@ class Views:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.as_of = F.lit(AS_OF).cast("date")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """Input table; its footer is read once per instance."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # --- banking tables ----------------------------------------------------------------------
     @cached_property

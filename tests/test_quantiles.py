@@ -38,7 +38,8 @@ def test_crowded_range_with_a_hot_value(spark, monkeypatch, few):
     """A third of all rows share one value, the rest crowd next to it; slicing is forced at 50."""
     monkeypatch.setattr(quantiles, "FEW_ROWS", few)
     rng = np.random.default_rng(7)
-    check(spark, [1000.0] * 1000 + list(1000.0 + rng.random(1500) * 1e-3) + list(rng.random(500) * 1e-9))
+    crowd = (1000.0 + rng.random(1500) * 1e-3).tolist()
+    check(spark, [1000.0] * 1000 + crowd + (rng.random(500) * 1e-9).tolist())
 
 
 def test_several_columns(spark):
