@@ -480,7 +480,7 @@ def _(v):
 
 @query("aml_features", digits=6)
 def _(v):
-    return features.aml_features(v.aml_transfers)
+    return features.aml_features(v.aml_transfers, formats=V.PAYMENT_FORMATS)
 
 
 @query("feature_summary")
@@ -725,7 +725,7 @@ def _(v):
 
 @query("aml_reasons")
 def _(v):
-    return explain.explain_aml(features.aml_features(v.aml_transfers)).select("record_key", "reasons")
+    return explain.explain_aml(features.aml_features(v.aml_transfers, formats=V.PAYMENT_FORMATS)).select("record_key", "reasons")
 
 
 def _scored_transfers(v):
