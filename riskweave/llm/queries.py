@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, simhash
+from riskweave.llm import bpe, langid, simhash, token_files, url_filter
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +19,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Host and path rules, and patterns for urls that none of them judges.
+URL_RULES = [
+    url_filter.path_rule("allow", "org/"),
+    url_filter.path_rule("block", "example.org/es/"),
+    url_filter.path_rule("block", "example.org/en/1"),
+    url_filter.path_rule("allow", "com/fr/"),
+    url_filter.path_rule("block", "com/de/"),
+    url_filter.pattern("block", r"(?s)^([^/]*\.)?spam-farm\.", "spam-farm"),
+    url_filter.pattern("block", r"(?s)^([^/]*\.)?cheap-pills\.", "cheap-pills"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -26,7 +43,34 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs, langid.learn(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred",
+                        F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_bpe_round_trip, op8_simhash_groups)
+    f.__name__: f for f in (op1_url_filter, op6_bpe_round_trip, op8_simhash_groups, op9_language_id, op10_token_files)
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_url_filter": r"""
+WITH parts AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+  FROM pages),
+rules(name, host_rule, path_rule, decision) AS (VALUES
+  ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'), ('example.org/en/1', 'example.org', '/en/1', 'block'),
+  ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+judged AS (
+  SELECT page_id, host, path,
+    (SELECT arg_max(name, length(name)) FROM rules
+     WHERE (host = host_rule OR ends_with(host, '.' || host_rule)) AND starts_with(path, path_rule)) AS rule
+  FROM parts)
+SELECT page_id, host, path, rule, coalesce((SELECT max(decision) FROM rules WHERE name = rule),
+  CASE WHEN regexp_matches('.' || host || path, '^[^/]*\.(spam-farm|cheap-pills)\.') THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged"""}
