@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, langid, simhash, token_files, url_filter
+from riskweave.llm import bpe, decontaminate, html_text, langid, simhash, token_counts, token_files, url_filter
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -35,10 +35,25 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """section_tokens are those of the text's lines."""
+    counts = token_counts.token_counts(_table(spark, sf_dir, "documents"), BYTE_RANKS, ("source", "lang", "text"))
+    fields = [F.col("field_tokens")[n].alias(f"{name}_tokens") for n, name in enumerate(("source", "lang", "text"))]
+    return counts.select("doc_id", "n_tokens", "n_crossing", "separator_tokens", *fields, F.col("section_tokens")[2].alias("section_tokens"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
@@ -55,7 +70,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op6_bpe_round_trip, op8_simhash_groups, op9_language_id, op10_token_files)
+    f.__name__: f for f in (
+        op1_url_filter, op4_html_text, op5_token_counts, op6_bpe_round_trip, op7_decontaminate, op8_simhash_groups, op9_language_id,
+        op10_token_files)
 }
 SQL: dict[str, str] = {"op1_url_filter": r"""
 WITH parts AS (
