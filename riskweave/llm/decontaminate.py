@@ -20,6 +20,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -278,20 +279,21 @@ def _finders(benchmark: DataFrame, share: float, target: float) -> list[Finder]:
     return found
 
 
+def _search(shared: Broadcast):
+    @F.pandas_udf("array<struct<item_id:long,edits:int,n_words:int,end_word:int>>")
+    def search(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = shared.value
+        for series in texts:
+            yield pd.Series([
+                [{"item_id": i, "edits": edits, "n_words": len(own.items[item]), "end_word": end}
+                 for item, edits, end in found for i in own.ids[item]] for found in own.find(series.tolist())], dtype=object)
+
+    return search
+
+
 def _matches(docs: DataFrame, benchmark: DataFrame, share: float, target: float) -> Column:
-    columns = []
-    for finder in _finders(benchmark, share, target):
-        shared = docs.sparkSession.sparkContext.broadcast(finder)
-
-        @F.pandas_udf("array<struct<item_id:long,edits:int,n_words:int,end_word:int>>")
-        def search(texts: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            own = shared.value
-            for series in texts:
-                yield pd.Series([
-                    [{"item_id": i, "edits": edits, "n_words": len(own.items[item]), "end_word": end}
-                     for item, edits, end in found for i in own.ids[item]] for found in own.find(series.tolist())], dtype=object)
-
-        columns.append(search(F.col("text").cast("string")))
+    context = docs.sparkSession.sparkContext
+    columns = [_search(context.broadcast(finder))(F.col("text").cast("string")) for finder in _finders(benchmark, share, target)]
     return F.concat(*columns) if len(columns) > 1 else columns[0]
 
 
