@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, decontaminate, html_text, langid, simhash, token_counts, token_files, url_filter
+from riskweave.llm import bpe, chat, decontaminate, embedding_dedup, html_text, langid, simhash, token_counts, token_files, url_filter
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -35,6 +35,20 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roles of one fifth of the conversations, by crc32 of conv_id, are neither learned from nor seen."""
+    turns = _table(spark, sf_dir, "conversations")
+    held_out = F.coalesce(F.crc32(F.col("conv_id").cast("string")) % 5 == 0, F.lit(False))
+    model = chat.learn(turns.where(~held_out))
+    found = chat.recover_roles(turns.withColumn("role", F.when(~held_out, F.col("role"))), model)
+    return found.select("conv_id", "turn", held_out.alias("held_out"), F.col("role_found").alias("role"),
+                        chat.rendered(F.col("text"), F.col("role_found")).alias("rendered"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -71,7 +85,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_url_filter, op4_html_text, op5_token_counts, op6_bpe_round_trip, op7_decontaminate, op8_simhash_groups, op9_language_id,
+        op1_url_filter, op2_embedding_dedup, op3_chat_format, op4_html_text, op5_token_counts, op6_bpe_round_trip, op7_decontaminate, op8_simhash_groups, op9_language_id,
         op10_token_files)
 }
 SQL: dict[str, str] = {"op1_url_filter": r"""
