@@ -27,7 +27,7 @@ HEADER, FOOTER = 12, 4
 #: Reflected polynomial of CRC-32C, and the mask of the record format (fixed values).
 POLYNOMIAL, MASK_DELTA = 0x82F63B78, 0xA282EAD8
 #: Chunks of white space remembered per Python worker, and the longest that is remembered.
-CACHE_CHUNKS, KEPT_CHARS = 700_000, 48
+CACHE_CHUNKS, KEPT_CHARS = 500_000, 48
 INDEX = "doc_id long, file string, offset long, size long, n_tokens long, shard int, position long"
 
 
@@ -116,13 +116,17 @@ class ChunkEncoder:
     """The library's ids for whole texts, remembered per chunk between white space.
 
     Only for vocabularies whose normaliser and splitter never look across white space (here: composed characters,
-    lower case, white space dropped). Unknown chunks of a batch go to the library as one text, parted by a marker
-    that the library turns into one known id.
+    lower case, white space dropped) and part letters from a full stop or comma. Unknown chunks of a batch go to the
+    library as one text, parted by a marker that the library turns into one known id.
     """
 
     MARK = "~"
-    #: White space, or what Python takes for it, that the two sides may see differently: such texts go whole to the library.
-    ODD = regex.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+    #: White space, or what Python takes for it, that the two sides may see differently, and marks and letters for
+    #: which lower case depends on what stands beside them, and what may start a special token: such texts go whole to
+    #: the library.
+    ODD = regex.compile(r"[\x1c-\x1f\x85\xa0\u0130\u0300-\u036f\u03a3\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]|<\|")
+    #: A full stop or comma that ends a chunk after a letter is a piece of its own.
+    STOP = regex.compile(r"(?<=\p{L})([.,])(?!\S)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -131,43 +135,47 @@ class ChunkEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.size = self.library.get_vocab_size(with_added_tokens=True)
-        mark = self._whole(self.MARK)
-        self.mark = mark[0] if len(mark) == 1 and self._whole(f"a {self.MARK} a")[1:-1] == mark else None
-        self.cache: dict[str, list[int]] = {}
+        self.kind = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        mark = self.library.encode(self.MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.cache: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self.cache) + len(chunks) > CACHE_CHUNKS:
-            self.cache.clear()
         plain = [c for c in chunks if self.MARK not in c] if self.mark is not None else []
         for at in range(0, len(plain), 5000):
             part = plain[at: at + 5000]
-            ids = np.array(self._whole(f" {self.MARK} ".join(part)))
-            for chunk, own in zip(part, np.split(ids, np.flatnonzero(ids == self.mark)), strict=True):
-                own = own.tolist()
-                self.cache[chunk] = own[1:] if own and own[0] == self.mark else own
+            ids = self._whole(f" {self.MARK} ".join(part))
+            data, width = ids.tobytes(), self.kind.itemsize
+            ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
+            starts = [0, *[e + 1 for e in ends[:-1]]]
+            for chunk, start, end in zip(part, starts, ends, strict=True):
+                self.cache[chunk] = data[start * width: end * width]
         for chunk in chunks:
             if chunk not in self.cache:
-                self.cache[chunk] = self._whole(chunk)
+                self.cache[chunk] = self._whole(chunk).tobytes()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        split = [None if self.ODD.search(t) else t.split() for t in texts]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, packed."""
+        split = [None if self.ODD.search(t) else self.STOP.sub(r" \1", t.lower()).split() for t in texts]
         known = self.cache
-        unknown = {c for chunks in split if chunks is not None for c in chunks if c not in known and len(c) <= KEPT_CHARS}
-        self._learn(sorted(unknown))
-        known, out = self.cache, []
+        unknown = {c for chunks in split if chunks is not None for c in chunks if c not in known}
+        if len(known) + len(unknown) > CACHE_CHUNKS:
+            known.clear()
+            unknown = {c for chunks in split if chunks is not None for c in chunks}
+        long = {c for c in unknown if len(c) > KEPT_CHARS}
+        self._learn(sorted(unknown - long))
+        out = []
         for text, chunks in zip(texts, split):
             if chunks is None:
-                out.append(self._whole(text))
+                out.append(self._whole(text).tobytes())
                 continue
-            ids: list[int] = []
-            for chunk in chunks:
-                own = known.get(chunk)
-                ids += self._whole(chunk) if own is None else own
-            out.append(ids)
+            try:
+                out.append(b"".join([known[c] for c in chunks]))
+            except KeyError:  # long chunks are not remembered
+                out.append(b"".join([known[c] if c in known else self._whole(c).tobytes() for c in chunks]))
         return out
 
 
@@ -196,10 +204,10 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = chunk_encoder(vocabulary)
-        kind = "<u2" if max(own.size, end_id + 1) <= 1 << 16 else "<u4"
+        end = np.array([end_id], own.kind).tobytes()
         context = TaskContext.get()
         shard, files, done = context.partitionId(), None, 0
-        name = f"tokens-{shard:06d}.{kind[1:]}"
+        name = f"tokens-{shard:06d}.{own.kind.str[1:]}"
         trial = f"_{name}.{context.taskAttemptId()}"
         position = 0
         for rows in frames:
@@ -211,11 +219,11 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
                 part = rows.iloc[at: at + batch]
                 sizes, offsets, counts = [], [], []
                 encoded = own.encode([t or "" for t in part["text"]])
-                for ids, record in zip(encoded, framed([np.array([*ids, end_id], kind).tobytes() for ids in encoded])):
+                for ids, record in zip(encoded, framed([ids + end for ids in encoded])):
                     out.write(record)
                     offsets.append(done)
                     sizes.append(len(record))
-                    counts.append(len(ids) + 1)
+                    counts.append(len(ids) // own.kind.itemsize + 1)
                     done += len(record)
                 yield pd.DataFrame({"doc_id": part["doc_id"], "file": name, "offset": offsets, "size": sizes, "n_tokens": counts,
                                     "shard": shard, "position": range(position, position + len(part))})
