@@ -23,14 +23,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest doc_id, of each group of near copies; of repeated rows one stays.
-
-    Rows without doc_id can't be told apart from their copies by it and stay only where no row of the group has one.
-    """
-    groups = simhash.simhash_groups(docs)
-    keepers = groups.where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(keepers, docs["doc_id"].eqNullSafe(keepers["doc_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One document, that with the smallest doc_id, of each group of near copies."""
+    return simhash.keep_one(docs.select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

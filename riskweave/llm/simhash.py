@@ -157,6 +157,16 @@ def near_links(fps: DataFrame, max_distance: int = 4, parts: int = 3, order: int
     return homes.union(visitors).repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long")
 
 
+def _lookup(rows: DataFrame, max_distance: int, parts: int, order: int, cell_rows: int) -> DataFrame:
+    """fp, component_id (smallest doc_id of the group), keeper (the fingerprint of the row that stands for the group)."""
+    different = store(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "different")
+    groups = connected_components(near_links(different, max_distance, parts, order, cell_rows)).withColumnRenamed("node", "fp")
+    named = store(different.join(groups, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component")), "named")
+    lowest = F.min(F.struct(F.col("first").isNull(), "first", "fp"))
+    names = store(named.groupBy("component").agg(lowest.alias("low")).select("component", "low.first", F.col("low.fp").alias("keeper")), "names")
+    return store(named.select("fp", "component").join(names, "component").select("fp", F.col("first").alias("component_id"), "keeper"), "components")
+
+
 def simhash_groups(docs: DataFrame, max_distance: int = 4, shingle: int = 4, parts: int = 3, order: int = 4,
                    cell_rows: int = CELL_ROWS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable), one row per row of ``docs``.
@@ -167,10 +177,24 @@ def simhash_groups(docs: DataFrame, max_distance: int = 4, shingle: int = 4, par
     beside doc_id and text are ignored. Empty tables give an empty result.
     """
     rows = store(fingerprints(docs, shingle), "fingerprints")
-    different = store(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "different")
-    groups = connected_components(near_links(different, max_distance, parts, order, cell_rows)).withColumnRenamed("node", "fp")
-    named = store(different.join(groups, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component")), "named")
-    names = store(named.groupBy("component").agg(F.min("first").alias("component_id")), "names")
-    lookup = store(named.select("fp", "component").join(names, "component").select("fp", "component_id"), "components")
+    lookup = _lookup(rows, max_distance, parts, order, cell_rows)
     return rows.join(lookup, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, max_distance: int = 4, shingle: int = 4, parts: int = 3, order: int = 4,
+             cell_rows: int = CELL_ROWS) -> DataFrame:
+    """The row with the smallest doc_id of each group of :func:`simhash_groups`, all columns of ``docs``.
+
+    Of rows with this doc_id and its fingerprint one stays, and so it is with groups where no row has a doc_id.
+    """
+    lookup = _lookup(store(fingerprints(docs, shingle), "fingerprints"), max_distance, parts, order, cell_rows)
+    keepers = lookup.where("fp = keeper").select(F.col("component_id").alias("_id"), F.col("fp").alias("_fp"))
+
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
+
+    marked = docs.withColumn("_own_fp", fp(F.col("text").cast("string")))
+    found = marked.join(keepers, marked["doc_id"].eqNullSafe(keepers["_id"]) & (marked["_own_fp"] == keepers["_fp"]), "left_semi")
+    return found.dropDuplicates(["doc_id", "_own_fp"]).drop("_own_fp")
