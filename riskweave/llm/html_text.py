@@ -46,13 +46,24 @@ CORE_SHARE, HELD_SHARE = 0.2, 0.9
 
 @dataclass
 class Block:
-    path: tuple[str, ...]
-    elements: tuple[int, ...]  # numbers of the elements on the path, outermost first
+    path: int  # number of the tag path, equal for equal paths
+    element: int  # number of the element it ends in, 0 for the page
     text: str
     linked: int
     aside: bool
 
 
+@dataclass
+class Element:
+    """An open element: tag, number, path, and whether it or one around it is set aside or an article."""
+
+    tag: str
+    number: int
+    path: int
+    aside: bool
+    article: bool
+
+
 def _part_names(attributes: str) -> tuple[str, bool]:
     """First class as part of the path, and whether class, id, role or hidden set the element aside."""
     label, aside = "", False
@@ -67,20 +78,25 @@ def _part_names(attributes: str) -> tuple[str, bool]:
     return label, aside
 
 
-def blocks(page: str) -> list[Block]:
-    """Blocks of text in page order; script, style, markup and comments are gone, references decoded."""
-    stack: list[tuple[str, str, int, bool]] = []  # tag, label, number, aside
+def blocks(page: str) -> tuple[list[Block], list[int], list[int]]:
+    """Blocks of text in page order, and for every element its parent and the outermost article around it (0: none).
+
+    Script, style, markup and comments are gone, references decoded.
+    """
+    stack = [Element("", 0, 0, False, False)]
+    parents, articles = [0], [0]
+    paths: dict[tuple[int, str], int] = {}
+    opened: dict[str, int] = {}
     found: list[Block] = []
     held: list[str] = []
-    linked, links, number, at = 0, 0, 0, 0
+    linked, links, at = 0, 0, 0
 
     def close_block() -> None:
         nonlocal held, linked
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                found.append(Block(tuple(t + ("." + c if c else "") for t, c, _, _ in stack), tuple(n for _, _, n, _ in stack), text,
-                                   min(linked, len(text)), any(a for *_, a in stack)))
+                found.append(Block(stack[-1].path, stack[-1].number, text, min(linked, len(text)), stack[-1].aside))
         held, linked = [], 0
 
     def add(text: str) -> None:
@@ -89,6 +105,11 @@ def blocks(page: str) -> list[Block]:
         if links:
             linked += len(text)
 
+    def close(depth: int) -> None:
+        for element in stack[depth:]:
+            opened[element.tag] -= 1
+        del stack[depth:]
+
     while at < len(page):
         tag = TAG.search(page, at)
         if not tag:
@@ -115,33 +136,37 @@ def blocks(page: str) -> list[Block]:
         if name in VOID:
             continue
         if closing:
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name), None)
-            if depth is not None:
-                del stack[depth:]
+            if opened.get(name):
+                close(next(d for d in range(len(stack) - 1, 0, -1) if stack[d].tag == name))
             links = 0
             continue
-        if stack and stack[-1][0] == "p":
-            stack.pop()
-        for depth in range(len(stack) - 1, -1, -1):
-            if stack[depth][0] in CLOSES.get(name, ()):
-                del stack[depth:]
-            elif stack[depth][0] in SCOPE:
+        if stack[-1].tag == "p":
+            close(len(stack) - 1)
+        for depth in range(len(stack) - 1, 0, -1):
+            if stack[depth].tag in CLOSES.get(name, ()):
+                close(depth)
+            elif stack[depth].tag in SCOPE:
                 break
+        around = stack[-1]
         label, aside = _part_names(tag.group(3)) if tag.group(3).strip() else ("", False)
-        inside = any(t in ("article", "main") for t, *_ in stack)
-        aside = (aside and name not in ("html", "body", "article", "main")) or name in ASIDE or (name == "header" and not inside)
-        number += 1
-        stack.append((name, label, number, aside))
+        article = name in ("article", "main")
+        aside = (aside and not article and name not in ("html", "body")) or name in ASIDE or (name == "header" and not around.article)
+        path = paths.setdefault((around.path, f"{name}.{label}"), len(paths) + 1)
+        parents.append(around.number)
+        articles.append(articles[around.number] or (len(parents) - 1 if article else 0))
+        opened[name] = opened.get(name, 0) + 1
+        stack.append(Element(name, len(parents) - 1, path, around.aside or aside, around.article or article))
     close_block()
-    return found
+    return found, parents, articles
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks joined by one space; empty for null and for pages without one."""
-    own = [b for b in blocks(page or "") if not b.aside]
+    found, parents, articles = blocks(page or "")
+    own = [b for b in found if not b.aside]
     if not own:
         return ""
-    sums: dict[tuple[str, ...], list[float]] = {}
+    sums: dict[int, list[float]] = {}
     for block in own:
         total = sums.setdefault(block.path, [0.0, 0.0, 0.0])
         total[0] += len(block.text) - block.linked
@@ -153,21 +178,25 @@ def main_text(page: str | None) -> str:
     fused = smooth[:, 0] * (1 + smooth[:, 1])
     if fused.max() <= 0:
         return ""
-    core = fused >= CORE_SHARE * fused.max()
-    sizes = np.array([len(b.text) for b in own])
-    held: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    for block, size in zip([b for b, c in zip(own, core) if c], sizes[core].tolist()):
-        for level, element in enumerate(block.elements):
-            held[element] = held.get(element, 0) + size
-            depth[element] = level
-    enough = [e for e, size in held.items() if size >= HELD_SHARE * sizes[core].sum()]
-    if not enough:
-        return " ".join(b.text for b in own)
-    leaves = {b.elements[-1] for b in own if b.elements}
-    # a paragraph alone is no container: its parent holds it with its headings
-    article = max(enough, key=lambda e: (e not in leaves, depth[e]))
-    return " ".join(b.text for b in own if article in b.elements)
+    core = [b for b, high in zip(own, fused >= CORE_SHARE * fused.max()) if high]
+    held = [0] * len(parents)
+    for block in core:
+        held[block.element] += len(block.text)
+    for element in range(len(parents) - 1, 0, -1):  # children have higher numbers than their parents
+        held[parents[element]] += held[element]
+    leaves = {b.element for b in own}
+    enough = HELD_SHARE * held[0]
+    # the deepest element with enough of the core: going down, at most one child has it. A paragraph alone is no
+    # container, its parent holds it with its headings; a marked article is one as a whole
+    article = 0
+    for element in range(1, len(parents)):
+        if parents[element] == article and held[element] >= enough and element not in leaves:
+            article = element
+    article = articles[article] or article
+    inside = [article == 0] * len(parents)
+    for element in range(1, len(parents)):
+        inside[element] = element == article or inside[parents[element]]
+    return " ".join(b.text for b in own if inside[b.element])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -33,13 +33,14 @@ def test_pages(name):
 def test_broken_markup_and_long_pages_end():
     main_text(PAGES["broken"][0])
     long = "<article>" + f"<div><p>{P}" * 20_000
-    assert len(main_text(long)) > 20_000 * len(P) * 0.99
+    assert len(main_text(long)) == 20_000 * len(P) - 1
+    assert len(main_text("<div>" * 20_000 + P + "</p>" * 20_000)) == len(P) - 1
     main_text("<a '" * 50_000)
     main_text('<p x="' + "y" * 100_000)
 
 
 def test_references_are_decoded_once():
-    assert [b.text for b in blocks("<p>&amp;amp; &eacute;&#233;&nbsp;x</p>")] == ["&amp; éé x"]
+    assert [b.text for b in blocks("<p>&amp;amp; &eacute;&#233;&nbsp;x</p>")[0]] == ["&amp; éé x"]
 
 
 def test_rows_pass_through(spark):
