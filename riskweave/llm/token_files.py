@@ -161,10 +161,11 @@ class ChunkEncoder:
         """Ids of each text, packed."""
         split = [None if self.ODD.search(t) else self.STOP.sub(r" \1", t.lower()).split() for t in texts]
         known = self.cache
-        unknown = {c for chunks in split if chunks is not None for c in chunks if c not in known}
+        seen = set().union(*[chunks for chunks in split if chunks is not None])
+        unknown = seen.difference(known)
         if len(known) + len(unknown) > CACHE_CHUNKS:
             known.clear()
-            unknown = {c for chunks in split if chunks is not None for c in chunks}
+            unknown = seen
         long = {c for c in unknown if len(c) > KEPT_CHARS}
         self._learn(sorted(unknown - long))
         out = []
@@ -173,7 +174,7 @@ class ChunkEncoder:
                 out.append(self._whole(text).tobytes())
                 continue
             try:
-                out.append(b"".join([known[c] for c in chunks]))
+                out.append(b"".join(map(known.__getitem__, chunks)))
             except KeyError:  # long chunks are not remembered
                 out.append(b"".join([known[c] if c in known else self._whole(c).tobytes() for c in chunks]))
         return out
