@@ -64,3 +64,8 @@ def threshold_in(metadata: Column, names: list[str], default: float) -> Column:
     keys = "|".join("[-_ ]".join(name.split("_")) for name in names)
     pattern = rf'(?i)"\s*(?:{keys})\s*"\s*:\s*"?\s*([+-]?[0-9]*\.?[0-9]+(?:e[+-]?[0-9]+)?)\s*"?\s*[,}}\]]'
     return F.coalesce(F.regexp_extract(metadata, pattern, 1).try_cast("double"), F.lit(default))
+
+
+def padded(text: Column, width: int) -> Column:
+    """Zeros in front up to ``width``; longer texts stay whole, so different keys stay different."""
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)

@@ -1,9 +1,10 @@
 """Event-time rules over an account's trailing window: velocity, structuring, high value.
 
 A trailing window is a difference of running totals: an event enters at its time and leaves
-one microsecond after its window has passed. Running totals are computed per account and time
-bucket and shifted by the net of the earlier buckets, so a single very busy account is
-spread over many tasks and no frame is re-evaluated row by row.
+one microsecond after its window has passed. Running totals are computed on fixed levels of
+time (instant in second, second in hour, hour in account), each shifted by the net of what came
+before, so a single very busy account is spread over many tasks and no frame is re-evaluated
+row by row.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_RULES = 500
+from riskweave.operators.metrics import same_keys
 
 
 @dataclass(frozen=True)
@@ -28,75 +29,79 @@ class AmlRule:
 
     @property
     def kind(self) -> str:
-        """Count alone is velocity, count and amount is structuring, amount alone is high value."""
-        if self.threshold_count is not None and self.time_window_minutes is not None:
+        """Count alone is velocity, count and amount is structuring, amount alone is high value; nothing else is a rule."""
+        if (self.threshold_count is None) != (self.time_window_minutes is None):
+            raise ValueError(f"{self.rule_code}: a count needs a window and a window needs a count.")
+        if self.threshold_count is not None:
             return "structuring" if self.threshold_amount is not None else "velocity"
+        if self.threshold_amount is None:
+            raise ValueError(f"{self.rule_code}: neither a count nor an amount to reach.")
         return "high_value"
 
 
 def active_rules(rules: DataFrame) -> list[AmlRule]:
-    """The rule table is configuration: read once, refused when it is not small."""
-    rows = rules.where("is_active").limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"More than {MAX_RULES} active rules; this is not a rule table.")
-    return [
+    """The active rows of the rule table, which is configuration; malformed rules raise."""
+    found = [
         AmlRule(r["rule_code"], r["severity"], r["threshold_amount"], r["threshold_count"], r["time_window_minutes"])
-        for r in sorted(rows, key=lambda r: r["rule_code"])
-    ]
+        for r in sorted(rules.where("is_active").collect(), key=lambda r: r["rule_code"])]
+    for rule in found:
+        rule.kind  # noqa: B018  raises
+    return found
 
 
 def trailing_window(
     events: DataFrame, minutes: int, thresholds: list[Decimal] = (),
-    account: str = "account_id", ts: str = "ts", amount: str = "amount", bucket_minutes: int = 60,
+    account: str = "account_id", ts: str = "ts", amount: str = "amount",
 ) -> DataFrame:
-    """Events with count and sum over the trailing window of their account.
+    """Events with count and sum over the trailing window of their account; events without account share one.
 
-    The window includes both ends and every event of the same instant. ``window_large`` counts,
-    per threshold, the amounts in the window that reach it.
+    The window includes both ends and every event of the same instant. ``window_large`` counts, per threshold, the
+    amounts in the window that reach it. Events without a time have no window: their window columns are null.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     exact = F.col(amount).cast("decimal(18,2)")
     large = {f"b{i}": F.when(exact >= F.lit(t).cast("decimal(18,2)"), 1).otherwise(0) for i, t in enumerate(thresholds)}
     keyed = events.withColumn("_at", micros)
     # events of one account in one instant collapse before anything is shuffled
-    moments = keyed.groupBy(account, "_at").agg(
+    moments = keyed.where("_at IS NOT NULL").groupBy(account, "_at").agg(
         F.count("*").alias("n"), F.coalesce(F.sum(exact), F.lit(0)).cast("decimal(28,2)").alias("s"),
         *[F.sum(reached).alias(b) for b, reached in large.items()])
     span = minutes * 60_000_000
     zero = F.lit(0).cast("decimal(28,2)")
+    measures = ["n", "s", *large]
     changes = moments.select(account, F.explode(F.array(
-        F.struct(F.col("_at").alias("at"), F.lit(True).alias("enters"), F.col("n"), F.col("s"),
-                 *[F.col(b) for b in large]),
+        F.struct(F.col("_at").alias("at"), F.lit(True).alias("enters"), *[F.col(m) for m in measures]),
         F.struct((F.col("_at") + span + 1).alias("at"), F.lit(False).alias("enters"), (-F.col("n")).alias("n"),
-                 (zero - F.col("s")).cast("decimal(28,2)").alias("s"),
-                 *[(-F.col(b)).alias(b) for b in large]),
-    )).alias("c")).select(account, "c.*")
-    width = bucket_minutes * 60_000_000
-    changes = changes.withColumn("_bucket", F.floor(F.col("at") / width))
-
-    net = changes.groupBy(account, "_bucket").agg(
-        F.sum("n").alias("dn"), F.sum("s").cast("decimal(28,2)").alias("ds"),
-        *[F.sum(b).alias(f"d{b}") for b in large])
-    earlier = Window.partitionBy(account).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = net.select(
-        account, "_bucket",
-        F.coalesce(F.sum("dn").over(earlier), F.lit(0)).alias("on"),
-        F.coalesce(F.sum("ds").over(earlier), zero).alias("os"),
-        *[F.coalesce(F.sum(f"d{b}").over(earlier), F.lit(0)).alias(f"o{b}") for b in large],
-    )
-    running = Window.partitionBy(account, "_bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = (
-        changes.withColumns({f"r{c}": F.sum(c).over(running) for c in ("n", "s", *large)})
-        .where("enters")
-        .join(offsets, [account, "_bucket"])
-        .select(
-            account, F.col("at").alias("_at"),
-            (F.col("rn") + F.col("on")).alias("window_count"),
-            (F.col("rs") + F.col("os")).cast("decimal(28,2)").alias("window_sum"),
-            F.array(*[F.col(f"r{b}") + F.col(f"o{b}") for b in large]).alias("window_large"),
-        )
-    )
-    return keyed.join(totals, [account, "_at"]).drop("_at")
+                 (zero - F.col("s")).cast("decimal(28,2)").alias("s"), *[(-F.col(b)).alias(b) for b in large]),
+    )).alias("c")).select(account, "c.*").withColumns({
+        "_hour": F.floor(F.col("at") / 3_600_000_000), "_second": F.floor(F.col("at") / 1_000_000)})
+
+    def sums(measure: str, over) -> Column:
+        total = F.coalesce(F.sum(measure).over(over), zero if measure == "s" else F.lit(0))
+        return total.cast("decimal(28,2)") if measure == "s" else total
+
+    def offsets(keys: list[str], place: str, level: int) -> DataFrame:
+        """What the earlier places under the same keys hold."""
+        net = changes.groupBy(*keys, place).agg(*[
+            (F.sum(m).cast("decimal(28,2)") if m == "s" else F.sum(m)).alias(m) for m in measures])
+        earlier = Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+        return net.select(*keys, place, *[sums(m, earlier).alias(f"{m}_{level}") for m in measures])
+
+    # an instant in its second, a second in its hour, an hour in the account: no window has more than a million places
+    # but that over the hours of an account's whole history
+    running = Window.partitionBy(account, "_hour", "_second").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = changes.withColumns({f"{m}_2": sums(m, running) for m in measures}).where("enters")
+    totals = same_keys(totals, offsets([account, "_hour"], "_second", 1), [account, "_hour", "_second"])
+    totals = same_keys(totals, offsets([account], "_hour", 0), [account, "_hour"])
+
+    def whole(measure: str) -> Column:
+        return F.col(f"{measure}_0") + F.col(f"{measure}_1") + F.col(f"{measure}_2")
+
+    windows = totals.select(
+        F.col(account).alias("_account"), F.col("at").alias("_moment"), whole("n").alias("window_count"),
+        whole("s").cast("decimal(28,2)").alias("window_sum"), F.array(*[whole(b) for b in large]).alias("window_large"))
+    same = keyed[account].eqNullSafe(windows["_account"]) & (keyed["_at"] == windows["_moment"])
+    return keyed.join(windows, same, "left").drop("_at", "_account", "_moment")
 
 
 def evaluate_rules(events: DataFrame, rules: list[AmlRule], kind: str | None = None, **columns) -> DataFrame:

@@ -10,6 +10,7 @@ from riskweave import fixed_values as V
 from riskweave.functions.bands import age_band
 from riskweave.functions.conditions import differs, finite_or_null, flag, safe_divide, same
 from riskweave.operators import quality
+from riskweave.operators.lineage import materialise
 from riskweave.operators.preprocess import category_counts
 from riskweave.operators.quantiles import quantile_value
 
@@ -104,7 +105,8 @@ def relation_flags(df: DataFrame) -> DataFrame:
 
 def high_value_flag(df: DataFrame, fit_on: DataFrame | None = None, quantile: float = V.AML_HIGH_VALUE_QUANTILE) -> DataFrame:
     """Received amount above an exact quantile of ``fit_on`` (default: of the data itself)."""
-    limit = quantile_value(df if fit_on is None else fit_on, "amount_received", quantile)
+    amounts = materialise((df if fit_on is None else fit_on).select("amount_received"))  # read by every narrowing pass
+    limit = quantile_value(amounts, "amount_received", quantile)
     return df.withColumn("high_value_transaction", flag(F.col("amount_received") > limit))
 
 

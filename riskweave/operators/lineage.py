@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from riskweave.session import ensure_checkpoint_dir
+
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute once, read often.
+    """Compute once, read often: the rows are written to the checkpoint folder and survive lost executors.
 
-    With a checkpoint folder (``spark.checkpoint.dir`` on a cluster) the rows are written there
-    and survive lost executors; without one (tests) they are kept on local memory and disk.
+    They go when nothing refers to them any more (``spark.cleaner.referenceTracking.cleanCheckpoints``).
     """
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        return df.checkpoint()
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -6,6 +6,8 @@ run over those counts. ``by`` evaluates several models or segments in the same p
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from riskweave.functions.conditions import flag, grid_position, rate
 
 ODDS_BUCKETS_PER_E_FOLD = 1000
 ODDS_BUCKET_LIMIT = 1_000_000
+SLICES = 4096
 METRICS = ["accuracy", "precision", "recall", "f1_score"]
 
 
@@ -28,10 +31,16 @@ def with_metrics(counts: DataFrame) -> DataFrame:
     })
 
 
+def known(column: str) -> Column:
+    """A label or score that must be there: a row without it raises instead of counting as a negative or vanishing."""
+    value = F.col(column)
+    return F.when(value.isNull(), F.raise_error(F.lit(f"rows without {column} cannot be evaluated"))).otherwise(value)
+
+
 def confusion_at(df: DataFrame, threshold: float | Column, label: str = "label", probability: str = "probability",
                  by: list[str] = ()) -> DataFrame:
     """Confusion counts and metrics for predictions at one threshold."""
-    positive, predicted = flag(F.col(label) == 1), flag(F.col(probability) >= threshold)
+    positive, predicted = flag(known(label) == 1), flag(known(probability) >= threshold)
     counts = df.groupBy(*by).agg(*[
         F.coalesce(F.sum(cell), F.lit(0)).alias(name)
         for name, cell in (
@@ -50,8 +59,8 @@ def threshold_sweep(df: DataFrame, grid: list[float] = V.FINE_GRID, label: str =
     counts of a threshold are sums over those few counts.
     """
     ascending = sorted(grid)
-    positive = flag(F.col(label) == 1)
-    reached = df.groupBy(grid_position(F.col(probability), ascending).alias("reached")).agg(
+    positive = flag(known(label) == 1)
+    reached = df.groupBy(grid_position(known(probability), ascending).alias("reached")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
     collected = reached.agg(F.collect_list(F.struct("reached", "pos", "neg")).alias("cells"))  # len(grid) + 1 entries
 
@@ -116,33 +125,44 @@ def _odds_bucket(p: Column) -> Column:
     return F.when(p <= 0, -ODDS_BUCKET_LIMIT).when(p >= 1, ODDS_BUCKET_LIMIT).otherwise(inner)
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` in which missing keys are equal; the left side's keys stay."""
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_right_{k}"]) for k in keys], F.lit(True))
+    return left.join(right, condition).drop(*[f"_right_{k}" for k in keys])
+
+
 def rank_metrics(df: DataFrame, label: str = "label", probability: str = "probability", by: list[str] = ()) -> DataFrame:
-    """ROC-AUC (ties count half) and average precision, exact, per group.
+    """ROC-AUC (ties count half) and average precision, exact, per group; rows without a group are one.
 
-    Scores are first counted, so ties collapse before the shuffle. The cumulative counts are
-    then taken inside log-odds buckets and shifted by the totals of the higher buckets: no
-    window ever spans all distinct scores. Both metrics are null when one class is missing.
+    Scores are first counted, so ties collapse before the shuffle. Cumulative counts are taken on three levels, each a
+    window over the totals of the one below: log-odds buckets, linear slices of a bucket, scores of a slice. Both
+    metrics are null when one class is missing.
     """
     by = list(by)
-    positive = flag(F.col(label) == 1)
-    per_score = df.groupBy(*by, F.col(probability).cast("double").alias("score")).agg(
+    positive = flag(known(label) == 1)
+    per_score = df.groupBy(*by, known(probability).cast("double").alias("score")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
     ).withColumn("bucket", _odds_bucket(F.col("score")))
 
-    higher = Window.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_score.groupBy(*by, "bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).select(
-        *by, "bucket",
-        F.coalesce(F.sum("pos").over(higher), F.lit(0)).alias("tp0"),
-        F.coalesce(F.sum("neg").over(higher), F.lit(0)).alias("fp0"),
-    )
-    inside = Window.partitionBy(*by, "bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        per_score.withColumns({"tp1": F.sum("pos").over(inside), "fp1": F.sum("neg").over(inside)})
-        .join(offsets, [*by, "bucket"])
-        .select(*by, "pos", "neg",
-                (F.col("tp0") + F.col("tp1")).cast("double").alias("tp"),
-                (F.col("fp0") + F.col("fp1")).cast("double").alias("fp"))
-    )
+    def offsets(totals: DataFrame, within: list[str], place: str, level: int) -> DataFrame:
+        """What the higher places hold, beside the totals of each place."""
+        higher = Window.partitionBy(*within).orderBy(F.desc(place)).rowsBetween(Window.unboundedPreceding, -1)
+        return totals.select(*within, place, *[c for c in ("low", "high") if c in totals.columns],
+                             F.coalesce(F.sum("pos").over(higher), F.lit(0)).alias(f"tp{level}"),
+                             F.coalesce(F.sum("neg").over(higher), F.lit(0)).alias(f"fp{level}"))
+
+    sums = [F.sum("pos").alias("pos"), F.sum("neg").alias("neg")]
+    buckets = offsets(per_score.groupBy(*by, "bucket").agg(*sums, F.min("score").alias("low"), F.max("score").alias("high")), by, "bucket", 0)
+    share = F.try_divide(F.col("score") - F.col("low"), F.col("high") - F.col("low"))
+    sliced = same_keys(per_score, buckets, [*by, "bucket"]).withColumn(
+        "slice", F.least(F.floor(F.coalesce(share, F.lit(0.0)) * SLICES), F.lit(SLICES - 1)))
+    slices = offsets(sliced.groupBy(*by, "bucket", "slice").agg(*sums), [*by, "bucket"], "slice", 1)
+    inside = Window.partitionBy(*by, "bucket", "slice").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = same_keys(
+        sliced.withColumns({"tp2": F.sum("pos").over(inside), "fp2": F.sum("neg").over(inside)}), slices, [*by, "bucket", "slice"]
+    ).select(*by, "pos", "neg", *[
+        (F.col(f"{c}0") + F.col(f"{c}1") + F.col(f"{c}2")).cast("double").alias(c) for c in ("tp", "fp")])
     beaten = F.col("neg") * (F.col("tp") - F.col("pos") / 2)
     precision_mass = F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))
     sums = ranked.groupBy(*by).agg(
@@ -224,8 +244,9 @@ def probability_summary(df: DataFrame, probability: str = "probability") -> Data
 def compare_models(df: DataFrame, threshold: float = V.DEFAULT_THRESHOLD, model: str = "model",
                    label: str = "label", probability: str = "probability") -> DataFrame:
     """Metric table with one row per model from scores in long form (model, label, probability)."""
-    return confusion_at(df, threshold, label, probability, [model]).join(
-        rank_metrics(df, label, probability, [model]).select(model, "roc_auc", "pr_auc"), model)
+    return same_keys(
+        confusion_at(df, threshold, label, probability, [model]),
+        rank_metrics(df, label, probability, [model]).select(model, "roc_auc", "pr_auc"), [model])
 
 
 def select_model(metrics: DataFrame, domain: str, model: str = "model") -> DataFrame:

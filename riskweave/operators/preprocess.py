@@ -6,55 +6,59 @@ import json
 from dataclasses import asdict, dataclass, field
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.conditions import is_missing
 from riskweave.operators import quality
 from riskweave.operators.quantiles import exact_quantiles
 
-MAX_CATEGORIES = 2000
 UNKNOWN = "(missing)"
 
 
 def stratified_split(df: DataFrame, target: str, key: str, share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds ``split`` so that ``validation`` holds the exact share of every class.
+    """Adds ``split`` so that ``validation`` holds the exact share of both classes (0 and 1) of ``target``.
 
-    Rows are ranked by a hash of their unique key. The rank is not computed over a whole
-    class: hash prefixes are counted, the prefix with the cut is found, and only the rows
-    under that prefix are ordered. One cut per class reaches the driver, when called; the
-    result is then a plain projection. A class of two rows or more is on both sides.
+    Rows are ranked by a hash of their unique key. No task ever orders a class: hash prefixes of four digits are
+    counted, then those of eight digits under the prefix that holds the cut, and only the rows under that one are
+    ordered. One cut per class reaches the driver, when called; the result is then a plain projection. A class of two
+    rows or more is on both sides. Rows without label or key, or with another label, belong to neither side.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     label = F.col(target).cast("int")
-    hashed = df.select(label.alias("class"), F.col(key).alias("key"), digest.alias("digest")).where(F.col("class").isNotNull())
-    prefixed = hashed.withColumn("prefix", F.substring("digest", 1, 4))
-
-    counts = prefixed.groupBy("class", "prefix").agg(F.count("*").alias("n"))  # 65,536 prefixes per class
-    upto = Window.partitionBy("class").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.least(F.greatest(F.round(F.col("total") * share).cast("long"), F.lit(1)), F.col("total") - 1)
-    cut_prefix = (
-        counts.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(Window.partitionBy("class"))})
-        .withColumn("wanted", wanted)
-        .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
-        .select("class", "prefix", (F.col("wanted") - F.col("upto") + F.col("n")).alias("position"))
-    )
-    cuts = cut_prefix.limit(MAX_CATEGORIES + 1).collect()
-    if len(cuts) > MAX_CATEGORIES:
-        raise ValueError(f"{target} has more than {MAX_CATEGORIES} classes.")
+    hashed = df.select(label.alias("class"), F.col(key).alias("key"), digest.alias("digest")).where(
+        F.col("class").isin(0, 1) & F.col("key").isNotNull())
+
+    def cut(rows: DataFrame, digits: int, wanted: Column) -> dict[int, tuple[str, int]]:
+        """Per class the prefix that holds the wanted row, and the row's position under it."""
+        counts = rows.groupBy("class", F.substring("digest", 1, digits).alias("prefix")).agg(F.count("*").alias("n"))
+        upto = Window.partitionBy("class").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+        found = (
+            counts.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(Window.partitionBy("class"))})
+            .withColumn("wanted", wanted)
+            .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
+            .select("class", "prefix", (F.col("wanted") - F.col("upto") + F.col("n")).alias("position")))
+        return {r["class"]: (r["prefix"], r["position"]) for r in found.collect()}
+
+    def under(cuts: dict[int, tuple[str, int]]) -> DataFrame:
+        return hashed.where(reduce(lambda a, b: a | b, [
+            (F.col("class") == c) & F.col("digest").startswith(prefix) for c, (prefix, _) in cuts.items()]))
+
+    def position(cuts: dict[int, tuple[str, int]]) -> Column:
+        return reduce(lambda a, c: F.when(F.col("class") == c, cuts[c][1]).otherwise(a), cuts, F.lit(None).cast("long"))
+
+    share_of_class = F.least(F.greatest(F.round(F.col("total") * share).cast("long"), F.lit(1)), F.col("total") - 1)
     in_validation = F.lit(False)
-    if cuts:
-        near = reduce(lambda a, b: a | b, [(F.col("class") == c["class"]) & (F.col("prefix") == c["prefix"]) for c in cuts])
-        at = F.lit(None).cast("long")
-        for c in cuts:
-            at = F.when(F.col("class") == c["class"], c["position"]).otherwise(at)
+    if cuts := cut(hashed, 4, share_of_class):
+        cuts = cut(under(cuts), 8, position(cuts))
         ordered = Window.partitionBy("class").orderBy("digest", "key")
-        edges = prefixed.where(near).withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") == at)
+        edges = under(cuts).withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") == position(cuts))
         for edge in edges.select("class", "digest", "key").collect():
             before = (digest < edge["digest"]) | ((digest == edge["digest"]) & (F.col(key) <= F.lit(edge["key"])))
             in_validation = in_validation | ((label == edge["class"]) & before)
-    return df.withColumn("split", F.when(in_validation, "validation").otherwise("train"))
+    known = label.isin(0, 1) & F.col(key).isNotNull()
+    return df.withColumn("split", F.when(known, F.when(in_validation, "validation").otherwise("train")))
 
 
 def split_summary(split: DataFrame, target: str) -> DataFrame:
@@ -90,22 +94,21 @@ def add_class_weights(df: DataFrame, target: str, name: str = "weight") -> DataF
         F.col(target).cast("int") == F.col("_class"), "left").drop("_class")
 
 
-def category_counts(df: DataFrame, columns: list[str]) -> dict[str, list[tuple[str | None, int]]]:
+def category_counts(df: DataFrame, columns: list[str], most: int | None = None) -> dict[str, list[tuple[str | None, int]]]:
     """Values of categorical columns with their counts, from one distributed count.
 
-    Refuses a column with more than ``MAX_CATEGORIES`` values: that is an identifier.
+    The caller may refuse columns with more than ``most`` values.
     """
     if not columns:
         return {}
     text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
     counts = text.groupBy("column", "value").agg(F.count("*").alias("n"))
-    rows = counts.limit(MAX_CATEGORIES * len(columns) + 1).collect()
     found: dict[str, list[tuple[str | None, int]]] = {c: [] for c in columns}
-    for r in rows:
+    for r in (counts if most is None else counts.limit(most * len(columns) + 1)).collect():
         found[r["column"]].append((r["value"], r["n"]))
     for c, values in found.items():
-        if len(values) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories; it is an identifier, not a category.")
+        if most is not None and len(values) > most:
+            raise ValueError(f"{c} has more than {most} categories; it is an identifier, not a category.")
     return found
 
 
@@ -185,20 +188,38 @@ class FittedColumns:
         )
 
     def vectors(self, df: DataFrame, keep: list[str]) -> DataFrame:
-        encoded = self.transform(df, keep)
-        plain = {name: f"_f{i}" for i, name in enumerate(self.feature_names)}
-        renamed = encoded.withColumnsRenamed(plain)
-        assembler = VectorAssembler(inputCols=list(plain.values()), outputCol="features", handleInvalid="error")
-        return assembler.transform(renamed).select(*[F.col(f"`{c}`") for c in keep], "features")
+        """Kept columns and one vector of all features; categories are sparse, however many there are."""
+        quality.require_columns(df, self.numeric + self.categorical)
+        known = {c: [UNKNOWN if v is None else v for v in self.categories[c]] for c in self.categorical if self.categories[c]}
+        row = df.select(
+            *[F.col(f"`{c}`") for c in keep], *[self._numeric(c).alias(f"_n{i}") for i, c in enumerate(self.numeric)],
+            *[self._filled(c).alias(f"_c{i}") for i, c in enumerate(known)])
+        inputs = [f"_n{i}" for i in range(len(self.numeric))]
+        for i, labels in enumerate(known.values()):
+            indexer = StringIndexerModel.from_labels(labels, inputCol=f"_c{i}", outputCol=f"_i{i}", handleInvalid="keep")
+            row = indexer.transform(row)
+            # the last index, that of unseen values, is dropped: they are zero everywhere
+            encoder = OneHotEncoder(inputCol=f"_i{i}", outputCol=f"_v{i}", dropLast=True).fit(row)
+            row = encoder.transform(row)
+            inputs.append(f"_v{i}")
+        assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
+        return assembler.transform(row).select(*[F.col(f"`{c}`") for c in keep], "features")
+
+    def _filled(self, column: str) -> Column:
+        value = F.col(f"`{column}`").cast("string")
+        if self.modes.get(column) is not None:
+            value = F.coalesce(value, F.lit(self.modes[column]))
+        return F.coalesce(value, F.lit(UNKNOWN)) if None in self.categories[column] else value
 
 
 def fit_columns(
     train: DataFrame, numeric: list[str], categorical: list[str], impute_missing: bool = True,
-    missing_category: bool = False,
+    missing_category: bool = False, most_categories: int | None = None,
 ) -> FittedColumns:
     """Learn medians, modes, means, population deviations and categories from training rows only.
 
-    ``missing_category`` keeps a missing value as a category of its own instead of imputing it.
+    ``missing_category`` keeps a missing value as a category of its own instead of imputing it; ``most_categories``
+    refuses columns with more values.
     """
     fitted = FittedColumns(list(numeric), list(categorical))
     if impute_missing:
@@ -212,7 +233,7 @@ def fit_columns(
         for i, c in enumerate(fitted.numeric):
             fitted.means[c] = moments[f"m{i}"] or 0.0
             fitted.deviations[c] = moments[f"s{i}"] or 1.0
-    for c, counted in category_counts(train, fitted.categorical).items():
+    for c, counted in category_counts(train, fitted.categorical, most_categories).items():
         known = sorted(value for value, _ in counted if value is not None)
         absent = any(value is None for value, _ in counted)
         if impute_missing and not missing_category and known:

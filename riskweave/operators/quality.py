@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from riskweave import fixed_values as V
 from riskweave.functions.conditions import finite_or_null, flag, is_infinite, is_missing, rate
 from riskweave.functions.normalise import to_number
+from riskweave.operators.lineage import materialise
 from riskweave.operators.quantiles import exact_quantiles
 
 
@@ -336,7 +337,7 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
 
 def describe_amounts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
-    numbers = nan_to_null(df.select(*[_c(c).cast("double").alias(c) for c in columns]))
+    numbers = materialise(nan_to_null(df.select(*[_c(c).cast("double").alias(c) for c in columns])))
     basics = (
         numbers.unpivot([], columns, "column", "value")
         .groupBy("column")
@@ -348,7 +349,7 @@ def describe_amounts(df: DataFrame, columns: list[str]) -> DataFrame:
             F.max("value").alias("max"),
         )
     )
-    quartiles = exact_quantiles(df, columns, [0.25, 0.50, 0.75])
+    quartiles = exact_quantiles(numbers, columns, [0.25, 0.50, 0.75])
 
     def quartile(p: float) -> Column:
         known = [F.struct(F.lit(c), F.lit(quartiles[c][p]).cast("double")) for c in columns]

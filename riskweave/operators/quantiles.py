@@ -2,9 +2,9 @@
 
 The built-in ``percentile`` keeps every distinct value of a column in one aggregation buffer.
 Here the wanted ranks are located in narrowing passes, each a partial aggregation in which
-equal values collapse before they are shuffled. The first pass counts logarithmic buckets; a
-crowded bucket is counted again in linear slices, as often as needed; when few enough rows are
-left around a rank, their distinct values are counted. Between passes only the bounds of the
+equal values collapse before they are shuffled. The first pass counts logarithmic buckets; the
+buckets that hold a rank are counted again in linear slices, until a slice holds one value.
+Between passes only the bounds of the
 hit buckets travel to the driver, at most two per column and quantile, and they return as
 range filters the scan can use. Like every fit, this runs when it is called.
 """
@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 BUCKETS_PER_E_FOLD = 256  # at most 2 * 256 * ln(1.8e308) = 363,000 buckets per column
 SLICES = 4096
-FEW_ROWS = 2_000_000
 
 
 @dataclass
@@ -89,11 +88,9 @@ def _earlier(keys: list[str], order: str) -> Column:
 
 
 def _narrow(df: DataFrame, columns: list[str], ranges: list[_Range]) -> list[_Range]:
-    """Replace every range by the slices, or the single values, that hold its wanted ranks."""
-    few = max(r.rows for r in ranges) <= FEW_ROWS
-    group = F.col("value") if few else _slice(ranges)
+    """Replace every range by the slices that hold its wanted ranks."""
     counted = (
-        _values(df, columns, ranges).withColumn("group", group).groupBy("range", "group")
+        _values(df, columns, ranges).withColumn("group", _slice(ranges)).groupBy("range", "group")
         .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         .withColumn("before", _earlier(["range"], "group"))
     )

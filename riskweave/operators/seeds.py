@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskweave import fixed_values as V
 from riskweave.functions.bands import modulo_risk
+from riskweave.functions.normalise import padded
 from riskweave.operators.joins import assign_branch
 
 
@@ -30,14 +31,14 @@ def customers_for(keys: DataFrame, mail_domain: str = "bank.example") -> DataFra
     text = key.cast("string")
     return keys.select(
         key,
-        F.concat(F.lit("CUST"), F.lpad(text, 6, "0")).alias("customer_code"),
+        F.concat(F.lit("CUST"), padded(text, 6)).alias("customer_code"),
         F.lit("Customer").alias("first_name"),
         F.concat(F.lit("Demo"), text).alias("last_name"),
         F.date_add(F.lit("1980-01-01").cast("date"), ((key * 137) % 12000).cast("int")).alias("date_of_birth"),
         F.when(key % 2 == 0, "Male").otherwise("Female").alias("gender"),
         F.concat(F.lit("customer"), text, F.lit(f"@{mail_domain}")).alias("email"),
-        F.concat(F.lit("9"), F.lpad(text, 9, "0")).alias("mobile_number"),
-        F.concat(F.lit("ABCDE"), F.lpad(text, 4, "0"), F.lit("F")).alias("pan_number"),
+        F.concat(F.lit("9"), padded(text, 9)).alias("mobile_number"),
+        F.concat(F.lit("ABCDE"), padded(text, 4), F.lit("F")).alias("pan_number"),
         F.when(key % 10 == 0, "Corporate").otherwise("Individual").alias("customer_type"),
         modulo_risk(key).alias("risk_category"),
         F.lit("Verified").alias("kyc_status"),
@@ -62,7 +63,7 @@ def addresses_for(customers: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("address_line_2"),
         _by_city(0).alias("city"),
         _by_city(1).alias("state"),
-        F.lpad((key + 100000).cast("string"), 6, "0").alias("postal_code"),
+        padded((key + 100000).cast("string"), 6).alias("postal_code"),
         F.lit("India").alias("country"),
     )
 
@@ -73,7 +74,7 @@ def kyc_for(customers: DataFrame, as_of: Column) -> DataFrame:
     return customers.where(F.col("customer_code").like("CUST%")).select(
         key,
         "pan_number",
-        F.lpad(key.cast("string"), 12, "0").alias("aadhaar_number"),
+        padded(key.cast("string"), 12).alias("aadhaar_number"),
         F.lit(True).alias("pan_verified"),
         F.lit(True).alias("aadhaar_verified"),
         F.date_sub(as_of, (key % 1000).cast("int")).alias("kyc_completion_date"),
@@ -89,7 +90,7 @@ def accounts_for(customers: DataFrame, branches: DataFrame, as_of: Column) -> Da
     placed = assign_branch(customers.where(F.col("customer_code").like("CUST%")), branches)
     balance = (F.lit("10000.00").cast("decimal(18,2)") + key * F.lit("125.50").cast("decimal(5,2)")).cast("decimal(18,2)")
     return placed.select(
-        F.concat(F.lit("AC"), F.lpad(key.cast("string"), 10, "0")).alias("account_number"),
+        F.concat(F.lit("AC"), padded(key.cast("string"), 10)).alias("account_number"),
         key,
         "branch_id",
         F.when(key % 10 == 0, "Current").otherwise("Savings").alias("account_type"),

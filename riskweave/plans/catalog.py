@@ -7,6 +7,7 @@ fixes the output types: integers as long, decimals as double, dates as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,8 +59,10 @@ def query(name: str, digits: int | None = None):
 # --- sources and sinks ---------------------------------------------------------------------------
 @query("source_fingerprint")
 def _(v):
-    found = files.fingerprint(v.spark, f"{v.folder}/customer.parquet")
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "file_size_bytes", "sha256")
+    parts = {"customer": ["c_custkey", "c_name", "c_mktsegment"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"],
+             "documents": ["doc_id", "lang", "source", "text"]}
+    return reduce(DataFrame.unionByName, [
+        files.fingerprint(v.table(name), columns).withColumn("source_table", F.lit(name)) for name, columns in parts.items()])
 
 
 @query("alert_append_idempotent")
@@ -475,12 +478,12 @@ def _(v):
 @query("aml_payment_onehot")
 def _(v):
     return features.payment_onehot(v.aml_transfers).select(
-        "record_key", *[f"payment_format_{name}" for name in V.PAYMENT_FORMATS])
+        "record_key", *[f"payment_format_{name}" for name in features.observed_formats(v.aml_transfers)])
 
 
 @query("aml_features", digits=6)
 def _(v):
-    return features.aml_features(v.aml_transfers, formats=V.PAYMENT_FORMATS)
+    return features.aml_features(v.aml_transfers)
 
 
 @query("feature_summary")
@@ -490,7 +493,7 @@ def _(v):
 
 @query("mask_pii")
 def _(v):
-    return privacy.mask_personal_data(v.customers.join(v.accounts.select("customer_id", "account_number"), "customer_id"))
+    return privacy.mask_personal_data(v.customers.join(v.accounts.select("customer_id", "account_number"), "customer_id"), key="catalog")
 
 
 @query("model_title")
@@ -548,14 +551,14 @@ def _(v):
 def _(v):
     split = _fraud_split(v)
     fitted = preprocess.fit_columns(split.where("split = 'train'"), [], ["AgeBand"])
-    return fitted.transform(split.where("split = 'validation'"), ["applicant_id"])
+    return fitted.transform(split, ["applicant_id", "split"])
 
 
 @query("column_transform", digits=6)
 def _(v):
     split = _fraud_split(v)
     fitted = preprocess.fit_columns(split.where("split = 'train'"), NUMERIC_FEATURES, ["AgeBand"])
-    return fitted.transform(split.where("split = 'validation'"), ["applicant_id", V.APPLICANT_TARGET])
+    return fitted.transform(split, ["applicant_id", "split", V.APPLICANT_TARGET])
 
 
 # --- training ------------------------------------------------------------------------------------------------------
@@ -564,59 +567,74 @@ def _(v):
     return preprocess.class_weights(v.applicants, V.APPLICANT_TARGET)
 
 
-def _quick_models(domain: str) -> list[training.ModelSpec]:
-    """The published candidates with fewer iterations and trees."""
-    small = {"logistic": {"maxIter": 25}, "forest": {"numTrees": 10, "maxDepth": 5}, "boosting": {"maxIter": 5, "maxDepth": 3}}
-    return [training.ModelSpec(m.name, m.kind, {**m.params, **small[m.kind]}, m.balanced) for m in training.default_models(domain)]
+DOMAINS: dict[str, Callable[[Views], domains.DomainRun]] = {
+    "credit": lambda v: domains.credit_run(v.applicants),
+    "fraud": lambda v: domains.fraud_run(v.applicants),
+    "transaction_fraud": lambda v: domains.transaction_fraud_run(v.card_transactions, "vec_id"),
+    "aml": lambda v: domains.aml_run(v.aml_transfers),
+}
+_runs: dict[tuple[str, str, str], domains.DomainRun] = {}
+
+
+def domain_run(v: Views, domain: str) -> domains.DomainRun:
+    """The domain trained with all published candidates, once per application and input folder."""
+    key = (v.spark.sparkContext.applicationId, v.folder, domain)
+    if key not in _runs:
+        _runs[key] = DOMAINS[domain](v)
+    return _runs[key]
 
 
 @query("credit_risk_run")
 def _(v):
-    return domains.credit_run(v.applicants, models=_quick_models("credit")).metrics
+    return domain_run(v, "credit").metrics
 
 
 @query("fraud_risk_run")
 def _(v):
-    return domains.fraud_run(v.applicants, models=_quick_models("fraud")).metrics
+    return domain_run(v, "fraud").metrics
 
 
 @query("transaction_fraud_run")
 def _(v):
-    return domains.transaction_fraud_run(v.card_transactions, "vec_id", models=_quick_models("transaction_fraud")).metrics
+    return domain_run(v, "transaction_fraud").metrics
 
 
 @query("aml_run")
 def _(v):
-    return domains.aml_run(v.aml_transfers, models=_quick_models("aml")).metrics
+    return domain_run(v, "aml").metrics
 
 
 @query("batch_score")
 def _(v):
-    run = domains.transaction_fraud_run(v.card_transactions, "vec_id", models=_quick_models("transaction_fraud")[:1])
+    run = domain_run(v, "transaction_fraud")
     return inference.transaction_fraud_inference(
         v.card_transactions, run.preprocessing, run.models[run.best_model], "vec_id", run.threshold)
 
 
 @query("credit_inference")
 def _(v):
-    run = domains.credit_run(v.applicants, models=_quick_models("credit")[:1])
+    run = domain_run(v, "credit")
     return inference.credit_inference(v.applicants, run.preprocessing, run.models[run.best_model])[0]
 
 
+@query("rejected_applicants")
+def _(v):
+    return inference.rejected_applicants(v.applicants)
+
+
 @query("feature_importance")
 def _(v):
-    return domains.fraud_run(v.applicants, models=_quick_models("fraud")[1:2]).importance
+    return domain_run(v, "fraud").importance
 
 
 @query("top_features")
 def _(v):
-    return training.top_features(domains.aml_run(v.aml_transfers, models=_quick_models("aml")[:1]).importance, 10)
+    return training.top_features(domain_run(v, "aml").importance, 10)
 
 
 @query("explain_features")
 def _(v):
-    run = domains.fraud_run(v.applicants, models=_quick_models("fraud")[2:3])
-    return explain.explain_features(features.fraud_features(v.applicants), run.importance, "applicant_id")
+    return explain.explain_features(features.fraud_features(v.applicants), domain_run(v, "fraud").importance, "applicant_id")
 
 
 @query("select_model", digits=9)
@@ -725,7 +743,7 @@ def _(v):
 
 @query("aml_reasons")
 def _(v):
-    return explain.explain_aml(features.aml_features(v.aml_transfers, formats=V.PAYMENT_FORMATS)).select("record_key", "reasons")
+    return explain.explain_aml(features.aml_features(v.aml_transfers)).select("record_key", "reasons")
 
 
 def _scored_transfers(v):

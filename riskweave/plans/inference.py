@@ -21,14 +21,19 @@ def credit_inference(applicants: DataFrame, fitted: FittedColumns, model: Model,
                      fit_on: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(scored, rejected): valid applicants with segment and decision, the others with their reasons."""
     checked = quality.validate_applicants(features.credit_features(applicants, fit_on))
-    rejected = checked.where(~F.col("is_valid")).select(key, "rejection_reasons")
     scored = predict(checked.where("is_valid"), fitted, model, [key])
     p = F.col("probability")
     return scored.select(
         key, F.round(p, 6).alias("default_probability"), bands.credit_segment(p).alias("risk_segment"),
         bands.credit_decision(p).alias("credit_decision"), F.lit(V.CREDIT_BUSINESS_THRESHOLD).alias("business_threshold"),
         bands.prediction_at(p, V.CREDIT_BUSINESS_THRESHOLD).alias("default_prediction"),
-    ), rejected
+    ), rejected_applicants(applicants, key, fit_on)
+
+
+def rejected_applicants(applicants: DataFrame, key: str = "applicant_id", fit_on: DataFrame | None = None) -> DataFrame:
+    """Applicants that are not scored, with their reasons."""
+    checked = quality.validate_applicants(features.credit_features(applicants, fit_on))
+    return checked.where(~F.col("is_valid")).select(key, "rejection_reasons")
 
 
 def fraud_inference(applicants: DataFrame, fitted: FittedColumns, model: Model, key: str = "applicant_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -12,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # building a plan should not record the Python call site of every expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -29,9 +32,9 @@ def build_session(master: str | None = None, app: str = "riskweave", **extra: st
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Folder for ``DataFrame.checkpoint``: the cluster's setting wins, ``fallback`` serves tests."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None and fallback is not None:
-        spark.sparkContext.setCheckpointDir(fallback)
-    return configured or fallback
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Folder for ``DataFrame.checkpoint``: that of ``spark.checkpoint.dir``; one of this machine only where it is unset."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="riskweave-"))
+    return context.getCheckpointDir()

@@ -16,17 +16,34 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, required: list[str] | None = None) -> DataFrame:
-    """CSV in any column order; columns outside the schema are ignored, missing ones raise."""
-    names = csv_header(spark, path)
+    """CSV in any column order; columns outside the schema are ignored, missing ones raise.
+
+    Files of a folder may differ in their columns and the order of them: they are read in groups with the same header.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in csv_files(spark, path):
+        groups.setdefault(tuple(csv_header(spark, file)), []).append(file)
+    parts = [_with_header(spark, list(names), files, schema) for names, files in groups.items()]
+    df = parts[0]
+    for part in parts[1:]:
+        df = df.unionByName(part, allowMissingColumns=True)
+    return require_columns(nan_to_null(df), required if required is not None else schema.fieldNames())
+
+
+def csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The files below ``path``; only their names are read."""
+    return sorted(r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect())
+
+
+def _with_header(spark: SparkSession, names: list[str], files: list[str], schema: T.StructType) -> DataFrame:
+    """A header that turns out not to be the file's own fails the read."""
     known = {f.name.lower(): f for f in schema.fields}
     found = T.StructType([
         T.StructField(known[n.lower()].name, known[n.lower()].dataType) if n.lower() in known
         else T.StructField(n, T.StringType()) for n in names
     ])
-    df = spark.read.schema(found).option("header", True).csv(path)
-    df = df.select(*[F.col(f"`{f.name}`") for f in found.fields if f.name.lower() in known])
-    df = nan_to_null(df)
-    return require_columns(df, required if required is not None else schema.fieldNames())
+    df = spark.read.schema(found).option("header", True).option("enforceSchema", False).csv(files)
+    return df.select(*[F.col(f"`{f.name}`") for f in found.fields if f.name.lower() in known])
 
 
 def read_optional_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -57,10 +74,15 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
                            numPartitions=partitions, properties=properties)
 
 
-def fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 and size per source file, hashed where the file is read."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.col("length").alias("file_size_bytes"), F.sha2("content", 256).alias("sha256"))
+def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Row count and sum of row hashes: equal for equal contents in any order and partitioning.
+
+    A row's hash is the number in the first eight digits of the MD5 of its values as text, joined by a line break.
+    Meant for text, whole numbers and dates, whose text form is the same everywhere.
+    """
+    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in columns]
+    number = F.conv(F.substring(F.md5(F.concat_ws("\n", *values)), 1, 8), 16, 10).cast("long")
+    return df.agg(F.count("*").alias("row_count"), F.coalesce(F.sum(number), F.lit(0)).alias("hash_sum"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,21 +26,21 @@ def table_or_empty(spark, path: str, schema: T.StructType) -> DataFrame:
 def append_alerts(alerts: DataFrame, path: str) -> dict[str, int]:
     """Append the alerts that are not in the table yet and report created and skipped ones.
 
-    Running it twice, or again after a lost job, adds nothing twice: the append commits as a
-    whole, and whatever it committed is found by the next run's anti join.
+    Running it twice, or again after a lost job, adds nothing twice: whatever was committed is found by the next run's
+    anti join. One writer at a time is assumed; the committer decides whether a job that dies leaves part of an append,
+    which the next run completes. The table is read once, for the keys of the anti join; counts come from the write.
     """
-    spark = alerts.sparkSession
-    existing = table_or_empty(spark, path, alerts.schema)
+    existing = table_or_empty(alerts.sparkSession, path, alerts.schema)
     once = materialise(alerts.dropDuplicates(ALERT_KEY))
-    fresh = new_alerts(once, existing)
-    before = existing.count()
-    offered = once.count()
-    fresh.write.mode("append").parquet(path)
-    created = spark.read.schema(alerts.schema).parquet(path).count() - before
-    return {"created": created, "skipped": offered - created}
+    written = Observation("appended")
+    new_alerts(once, existing).observe(written, F.count("*").alias("n")).write.mode("append").parquet(path)
+    created = written.get["n"]
+    return {"created": created, "skipped": once.count() - created}
 
 
 def write_quarantine(df: DataFrame, clean_path: str, quarantine_path: str, audit_path: str, source_file: str) -> None:
+    """The input is evaluated once; the audit, written last, tells that the other two tables are complete."""
+    df = materialise(df)
     valid, quarantined = quarantine_split(df, source_file=source_file)
     valid.write.mode("overwrite").parquet(clean_path)
     quarantined.write.mode("overwrite").parquet(quarantine_path)

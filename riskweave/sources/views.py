@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from riskweave import fixed_values as V
 from riskweave.functions.bands import aml_assessment, credit_decision, credit_segment, fraud_decision, fraud_segment, modulo_risk
+from riskweave.functions.normalise import padded
 from riskweave.operators import seeds
 from riskweave.operators.aml_rules import AmlRule
 from riskweave.operators.joins import enrich_transactions
@@ -77,7 +78,7 @@ class Views:
         )
         return self.table("orders").select(
             key.alias("transaction_id"),
-            F.concat(F.lit("TXN"), F.lpad(key.cast("string"), 15, "0")).alias("transaction_reference"),
+            F.concat(F.lit("TXN"), padded(key.cast("string"), 15)).alias("transaction_reference"),
             F.col("o_custkey").alias("account_id"),
             F.when(key % 4 != 3, F.col("o_custkey")).alias("card_id"),
             F.when(key % 10 != 0, key % self.supplier_count).alias("merchant_id"),
@@ -101,7 +102,7 @@ class Views:
         region = F.col("r_regionkey")
         return self.table("region").select(
             (region + 1).cast("long").alias("branch_id"),
-            F.concat(F.lit("BR"), F.lpad((region + 1).cast("string"), 3, "0")).alias("branch_code"),
+            F.concat(F.lit("BR"), padded((region + 1).cast("string"), 3)).alias("branch_code"),
             F.concat(F.initcap("r_name"), F.lit(" Branch")).alias("branch_name"),
             F.col("r_name").alias("region"),
             F.lit("Active").alias("branch_status"),
@@ -112,7 +113,7 @@ class Views:
         key = F.col("c_custkey")
         return self.table("customer").select(
             key.alias("account_id"),
-            F.concat(F.lit("AC"), F.lpad(key.cast("string"), 10, "0")).alias("account_number"),
+            F.concat(F.lit("AC"), padded(key.cast("string"), 10)).alias("account_number"),
             key.alias("customer_id"),
             (F.pmod(key - 1, F.lit(5)) + 1).alias("branch_id"),
             F.when(key % 10 == 0, "Current").otherwise("Savings").alias("account_type"),
@@ -128,8 +129,8 @@ class Views:
         key = F.col("c_custkey")
         return self.table("customer").where(F.col("c_acctbal") >= 0).select(
             key.alias("customer_id"),
-            F.concat(F.lit("ABCDE"), F.lpad(key.cast("string"), 4, "0"), F.lit("F")).alias("pan_number"),
-            F.lpad(key.cast("string"), 12, "0").alias("aadhaar_number"),
+            F.concat(F.lit("ABCDE"), padded(key.cast("string"), 4), F.lit("F")).alias("pan_number"),
+            padded(key.cast("string"), 12).alias("aadhaar_number"),
             (key % 9 != 0).alias("pan_verified"),
             (key % 11 != 0).alias("aadhaar_verified"),
             modulo_risk(key).alias("risk_rating"),
@@ -142,7 +143,7 @@ class Views:
         key = F.col("c_custkey")
         return self.table("customer").select(
             key.alias("card_id"), key.alias("account_id"),
-            F.concat(F.lit("4"), F.lpad(key.cast("string"), 15, "0")).alias("card_number"),
+            F.concat(F.lit("4"), padded(key.cast("string"), 15)).alias("card_number"),
             F.when(key % 3 == 0, "Credit").otherwise("Debit").alias("card_type"),
             _case(key % 4, {0: "Visa", 1: "Mastercard", 2: "RuPay", 3: "Amex"}).alias("card_network"),
             F.when(key % 11 == 0, "Blocked").otherwise("Active").alias("card_status"),
@@ -155,7 +156,7 @@ class Views:
         nations = self.table("nation").select("n_nationkey", F.col("n_name").alias("country"))
         return self.table("supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
             key.alias("merchant_id"),
-            F.concat(F.lit("M"), F.lpad(key.cast("string"), 9, "0")).alias("merchant_code"),
+            F.concat(F.lit("M"), padded(key.cast("string"), 9)).alias("merchant_code"),
             F.col("s_name").alias("merchant_name"),
             F.when(key % 2 == 0, "Retail").otherwise("Services").alias("merchant_category"),
             "country",

@@ -75,7 +75,14 @@ def test_grid_position_counts_reached_entries(spark):
 def test_masking_shows_no_personal_data(spark):
     df = spark.createDataFrame([("Ann", "a@b", "ABCDE1234F", "AC0000001234", "Low")],
                                "first_name string, email string, pan_number string, account_number string, risk_category string")
-    masked = privacy.mask_personal_data(df)
+    masked = privacy.mask_personal_data(df, key="k")
     assert masked.columns == ["pan_number", "account_number", "risk_category"]
     row = masked.first()
     assert row["account_number"] == "****1234" and len(row["pan_number"]) == 64
+    assert privacy.mask_personal_data(df, key="k").first() == row != privacy.mask_personal_data(df, key="other").first()
+
+
+def test_padding_never_cuts(spark):
+    keys = [1, 9999, 10000, 999999, 1000000]
+    got = one(spark, [str(k) for k in keys], lambda v: normalise.padded(v, 4), "string")
+    assert got == ["0001", "9999", "10000", "999999", "1000000"]

@@ -53,10 +53,33 @@ def test_missing_can_be_a_category(spark):
     assert [tuple(r) for r in fitted.transform(train, []).collect()] == [(1.0, 0.0), (0.0, 1.0)]
 
 
-def test_identifiers_are_no_categories(spark, monkeypatch):
-    monkeypatch.setattr(preprocess, "MAX_CATEGORIES", 5)
+def test_callers_may_refuse_identifiers(spark):
     with pytest.raises(ValueError, match="identifier"):
-        preprocess.fit_columns(spark.range(20).select(F.col("id").cast("string").alias("c")), [], ["c"])
+        preprocess.fit_columns(spark.range(20).select(F.col("id").cast("string").alias("c")), [], ["c"], most_categories=5)
+
+
+def test_many_categories_make_sparse_vectors(spark):
+    train = spark.range(2500).select(F.col("id").cast("string").alias("c"), F.col("id").cast("double").alias("x"))
+    fitted = preprocess.fit_columns(train, ["x"], ["c"])
+    got = {r["c"]: r["features"] for r in fitted.vectors(train.union(spark.createDataFrame([("new", 1.0), (None, 2.0)], "c string, x double")), ["c"]).collect()}
+    names = fitted.feature_names
+    assert len(names) == 2501 and all(v.size == 2501 for v in got.values())
+    assert got["77"][names.index("categorical__c_77")] == 1.0 and sum(got["77"].toArray()[1:]) == 1.0
+    assert sum(got["new"].toArray()[1:]) == 0.0 and sum(got[None].toArray()[1:]) == 1.0  # null takes the mode
+
+
+def test_vectors_are_the_transformed_columns(spark):
+    train = spark.createDataFrame([("b", 1.0), (None, 3.0), ("a", None)], "c string, x double")
+    for missing in (True, False):
+        fitted = preprocess.fit_columns(train, ["x"], ["c"], missing_category=missing)
+        dense = sorted(tuple(float(v) for v in r) for r in fitted.transform(train, []).collect())
+        assert sorted(tuple(r["features"].toArray()) for r in fitted.vectors(train, []).collect()) == dense
+
+
+def test_rows_without_label_or_key_are_on_neither_side(spark):
+    rows = [(n, n % 2) for n in range(40)] + [(100, None), (None, 1), (None, None), (101, 7)]
+    split = preprocess.stratified_split(spark.createDataFrame(rows, "key long, y int"), "y", "key")
+    assert split.where("split IS NULL").count() == 4 and split.where("split = 'validation'").count() == 8
 
 
 def test_weights_balance_the_classes(spark):

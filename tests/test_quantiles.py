@@ -33,10 +33,10 @@ def test_published_example(spark):
     assert exact_quantiles(df, ["v"], [0.95])["v"][0.95] == pytest.approx(9.2)
 
 
-@pytest.mark.parametrize("few", [2_000_000, 50])
-def test_crowded_range_with_a_hot_value(spark, monkeypatch, few):
-    """A third of all rows share one value, the rest crowd next to it; slicing is forced at 50."""
-    monkeypatch.setattr(quantiles, "FEW_ROWS", few)
+@pytest.mark.parametrize("slices", [4096, 3])
+def test_crowded_range_with_a_hot_value(spark, monkeypatch, slices):
+    """A third of all rows share one value, the rest crowd next to it; few slices take many passes."""
+    monkeypatch.setattr(quantiles, "SLICES", slices)
     rng = np.random.default_rng(7)
     crowd = (1000.0 + rng.random(1500) * 1e-3).tolist()
     check(spark, [1000.0] * 1000 + crowd + (rng.random(500) * 1e-9).tolist())

@@ -44,10 +44,28 @@ def test_report_document(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "report")).first()["rules"][0]["rule"] == "r"
 
 
-def test_fingerprint(spark, tmp_path):
-    (tmp_path / "f.bin").write_bytes(b"abc")
-    row = files.fingerprint(spark, str(tmp_path / "f.bin")).first()
-    assert (row["file_size_bytes"], row["sha256"]) == (3, hashlib.sha256(b"abc").hexdigest())
+def test_fingerprint_is_that_of_the_rows(spark):
+    rows = [(1, "a"), (2, None), (2, None)]
+    df = spark.createDataFrame(rows, "n int, s string")
+    number = lambda *values: int(hashlib.md5("\n".join(values).encode()).hexdigest()[:8], 16)
+    want = (3, number("1", "a") + 2 * number("2", "\\N"))
+    assert tuple(files.fingerprint(df, ["n", "s"]).first()) == want == tuple(files.fingerprint(df.repartition(3).orderBy("s"), ["n", "s"]).first())
+    assert tuple(files.fingerprint(df.limit(0), ["n", "s"]).first()) == (0, 0)
+
+
+def test_csv_files_with_their_own_column_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n3,4\n")
+    (tmp_path / "b.csv").write_text("y,x\n20,10\n")
+    (tmp_path / "c.csv").write_text("extra,x\nz,100\n")
+    df = files.read_csv(spark, str(tmp_path), spark.createDataFrame([], "x int, y int").schema)
+    assert {tuple(r) for r in df.select("x", "y").collect()} == {(1, 2), (3, 4), (10, 20), (100, None)}
+
+
+def test_keys_of_any_length_stay_different(spark):
+    customers = seeds.customers_for(spark.createDataFrame([(9999,), (10000,), (100001,), (1000000,), (10000010,)], "customer_id long"))
+    for column in ("customer_code", "pan_number", "mobile_number"):
+        assert customers.select(column).distinct().count() == 5
+    assert seeds.kyc_for(customers, F.lit("2024-06-30").cast("date")).select("aadhaar_number").distinct().count() == 5
 
 
 def test_partitioned_sink_prunes_files(spark, tmp_path):
@@ -110,6 +128,10 @@ def test_alert_stream_equals_batch_and_is_idempotent(spark, tmp_path):
     stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
     alerts = stream_alerts(stream, v.accounts, v.customers, v.cards, v.merchants, v.devices, v.customer_kyc)
     out = str(tmp_path / "alerts")
+    cached = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
     for run in ("first", "again"):
         write_alert_stream(alerts, out, str(tmp_path / run), available_now=True).awaitTermination()
         assert spark.read.parquet(out).count() == v.alerts.count()
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= cached
+    again = sinks.append_alerts(v.alerts, out)
+    assert again["created"] == 0 and again["skipped"] == v.alerts.count()

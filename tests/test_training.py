@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 from riskweave.operators import explain, features, metrics, training
 from riskweave.operators.preprocess import FittedColumns
 from riskweave.plans import domains, inference
-from riskweave.plans.catalog import _quick_models
 from riskweave.sources.views import Views
 
 FOLDER = "/root/testdata/sf0.01"
+SMALL = {"logistic": {"maxIter": 25}, "forest": {"numTrees": 10, "maxDepth": 5}, "boosting": {"maxIter": 5, "maxDepth": 3}}
+
+
+def small_models(domain):
+    """Candidates with fewer iterations and trees, where a test is not about the model."""
+    return [training.ModelSpec(m.name, m.kind, {**m.params, **SMALL[m.kind]}, m.balanced) for m in training.default_models(domain)]
 
 
 @pytest.fixture(scope="module")
 def run(spark):
-    return domains.credit_run(Views(spark, FOLDER).applicants, models=_quick_models("credit"))
+    return domains.credit_run(Views(spark, FOLDER).applicants, models=small_models("credit"))
 
 
 def test_run_reports_every_candidate(run):
@@ -33,7 +38,7 @@ def test_scores_are_probabilities_and_beat_chance(run):
 
 
 def test_same_seed_same_scores(spark, run):
-    again = domains.credit_run(Views(spark, FOLDER).applicants, models=_quick_models("credit"))
+    again = domains.credit_run(Views(spark, FOLDER).applicants, models=small_models("credit"))
     assert again.best_model == run.best_model
     assert sorted(map(tuple, again.decided.select("applicant_id", "prediction").collect())) == sorted(
         map(tuple, run.decided.select("applicant_id", "prediction").collect()))
@@ -75,13 +80,24 @@ def test_new_rows_are_scored_with_the_saved_preprocessing(spark, run, tmp_path):
 
 def test_transfers_are_scored_with_training_formats(spark):
     transfers = Views(spark, "/root/testdata/sf0.001").aml_transfers
-    trained = domains.aml_run(transfers, models=_quick_models("aml")[:1])
+    trained = domains.aml_run(transfers, models=small_models("aml")[:1])
     cash = transfers.where("payment_format = 'Cash'")
     scored = inference.aml_inference(cash, trained.preprocessing, trained.models[trained.best_model], 80000.0)
     assert scored.count() == cash.count()
     assert set(scored.columns) == {"record_key", "aml_probability", "risk_segment", "aml_decision", "aml_prediction", "explanation"}
 
 
+def test_the_published_candidates_are_fitted_and_the_best_one_scores(spark):
+    v = Views(spark, "/root/testdata/sf0.001")
+    run = domains.transaction_fraud_run(v.card_transactions, "vec_id")
+    forest = run.models["random_forest"]
+    assert forest.getNumTrees == 300 and forest.getOrDefault("maxDepth") == 12
+    assert run.models["logistic_regression"].getOrDefault("maxIter") == 1000
+    assert run.best_model == metrics.select_model(run.metrics, "transaction_fraud").first()["model"]
+    scored = inference.transaction_fraud_inference(v.card_transactions, run.preprocessing, run.models[run.best_model], "vec_id", run.threshold)
+    assert scored.count() == v.card_transactions.count()
+
+
 def test_published_candidates():
     credit = {m.name: m for m in training.default_models("credit")}
     assert credit["random_forest"].params["numTrees"] == 300 and credit["gradient_boosting"].params["stepSize"] == 0.05

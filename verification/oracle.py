@@ -33,9 +33,9 @@ FROM alerts a WHERE NOT EXISTS (SELECT 1 FROM existing_alerts e
 sql("seed_customers", ["customers"], "SELECT * REPLACE (date_of_birth::DATE::VARCHAR AS date_of_birth) FROM customers")
 sql("seed_addresses", ["customers"], f"""
 SELECT customer_id, 'Permanent' AS address_type, 'Demo Address ' || customer_id AS address_line_1, NULL::VARCHAR AS address_line_2,
-  {place(0)} AS city, {place(1)} AS state, lpad((100000 + customer_id)::VARCHAR, 6, '0') AS postal_code, 'India' AS country
+  {place(0)} AS city, {place(1)} AS state, repeat('0', greatest(0, 6 - length((100000 + customer_id)::VARCHAR))) || (100000 + customer_id)::VARCHAR AS postal_code, 'India' AS country
 FROM customers WHERE customer_code LIKE 'CUST%'""")
-KYC = f"""SELECT customer_id, pan_number, lpad(customer_id::VARCHAR, 12, '0') AS aadhaar_number,
+KYC = f"""SELECT customer_id, pan_number, repeat('0', greatest(0, 12 - length(customer_id::VARCHAR))) || customer_id::VARCHAR AS aadhaar_number,
   true AS pan_verified, true AS aadhaar_verified,
   (DATE '2024-06-30' - (customer_id % 1000)::INTEGER)::DATE::VARCHAR AS kyc_completion_date,
   (DATE '2024-06-30' + 365)::DATE::VARCHAR AS kyc_expiry_date,
@@ -48,7 +48,7 @@ SELECT c.customer_id, b.branch_id FROM customers c
 LEFT JOIN (SELECT branch_id, row_number() OVER (ORDER BY branch_id) - 1 AS position FROM branches) b
   ON b.position = ((c.customer_id - 1) % 5 + 5) % 5""")
 sql("seed_accounts", ["customers", "branches"], """
-SELECT 'AC' || lpad(c.customer_id::VARCHAR, 10, '0') AS account_number, c.customer_id, b.branch_id,
+SELECT 'AC' || repeat('0', greatest(0, 10 - length(c.customer_id::VARCHAR))) || c.customer_id::VARCHAR AS account_number, c.customer_id, b.branch_id,
   CASE WHEN c.customer_id % 10 = 0 THEN 'Current' ELSE 'Savings' END AS account_type, 'Active' AS account_status,
   (10000.00 + c.customer_id * 125.50)::DOUBLE AS opening_balance, (10000.00 + c.customer_id * 125.50)::DOUBLE AS current_balance,
   'INR' AS currency_code, (DATE '2024-06-30' - (c.customer_id % 2000)::INTEGER)::DATE::VARCHAR AS opened_date
@@ -192,6 +192,13 @@ sql("apply_defaults", ["accounts"], """
 SELECT account_id, account_number, customer_id, branch_id, coalesce(account_type, 'Savings') AS account_type,
   coalesce(account_status, 'Active') AS account_status, coalesce(opening_balance, 0)::DOUBLE AS opening_balance,
   coalesce(current_balance, 0)::DOUBLE AS current_balance, coalesce(currency_code, 'INR') AS currency_code FROM accounts""")
+sql("rejected_applicants", ["credit"], """
+SELECT applicant_id, rejection_reasons FROM (
+  SELECT applicant_id, concat_ws(' | ', CASE WHEN age < 18 OR age > 120 THEN 'Invalid age: ' || age || '. Expected range: 18-120.' END,
+    CASE WHEN "MonthlyIncome" < 0 THEN 'MonthlyIncome cannot be negative.' END,
+    CASE WHEN "DebtRatio" < 0 THEN 'DebtRatio cannot be negative.' END,
+    CASE WHEN "RevolvingUtilizationOfUnsecuredLines" < 0 THEN 'Revolving utilization cannot be negative.' END) AS rejection_reasons
+  FROM credit) WHERE rejection_reasons <> ''""")
 sql("validate_applicants", ["credit"], """
 SELECT applicant_id, age BETWEEN 18 AND 120 AND "MonthlyIncome" >= 0 AND "DebtRatio" >= 0 AND "RevolvingUtilizationOfUnsecuredLines" >= 0 AS is_valid,
   concat_ws(' | ', CASE WHEN age < 18 OR age > 120 THEN 'Invalid age: ' || age || '. Expected range: 18-120.' END,
@@ -356,11 +363,18 @@ sql("feature_summary", ["fraud"], """
 SELECT 'AgeBand' AS feature, coalesce("AgeBand", '(missing)') AS value, count(*) AS "count" FROM fraud GROUP BY 2
 UNION ALL SELECT 'RiskIndicator', "RiskIndicator"::VARCHAR, count(*) FROM fraud GROUP BY 2""")
 sql("mask_pii", ["customers", "accounts"], """
-SELECT customer_id, customer_code, gender, sha256(pan_number) AS pan_number, customer_type, risk_category, kyc_status, record_status,
+SELECT customer_id, customer_code, gender, sha256('catalog:out:' || sha256('catalog:in:' || pan_number)) AS pan_number, customer_type, risk_category, kyc_status, record_status,
   '****' || right(account_number, 4) AS account_number FROM customers JOIN accounts USING (customer_id)""")
 sql("model_title", [], """SELECT title, count(*) AS scores FROM events,
 (VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting')) AS m(title) GROUP BY title""")
 
+FINGERPRINTS = {"customer": ["c_custkey", "c_name", "c_mktsegment"], "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"],
+                "documents": ["doc_id", "lang", "source", "text"]}
+sql("source_fingerprint", [], " UNION ALL ".join(
+    f"SELECT '{table}' AS source_table, count(*) AS row_count, coalesce(sum(('0x' || md5(" + " || chr(10) || ".join(
+        f"coalesce({c}::VARCHAR, chr(92) || 'N')" for c in columns) + f")[1:8])::BIGINT), 0)::BIGINT AS hash_sum FROM {table}"
+    for table, columns in FINGERPRINTS.items()))
+
 # --- split and encode ------------------------------------------------------------------------------------------
 SPLIT = """split AS (SELECT *, CASE WHEN position <= wanted THEN 'validation' ELSE 'train' END AS split FROM (
   SELECT *, least(greatest(round(0.2::DOUBLE * count(*) OVER (PARTITION BY "SeriousDlqin2yrs"))::BIGINT, 1),
@@ -403,10 +417,10 @@ MODE_BAND = """(SELECT "AgeBand" FROM split WHERE split = 'train' AND "AgeBand"
 BANDS = ["18-25", "26-35", "36-50", "51-65", "66+"]
 ENCODED = ", ".join(
     f"""CASE WHEN coalesce("AgeBand", {MODE_BAND}) = '{b}' THEN 1.0 ELSE 0.0 END::DOUBLE AS "categorical__AgeBand_{b}" """ for b in BANDS)
-split_sql("onehot_ignore", "fraud", f"SELECT applicant_id, {ENCODED} FROM split WHERE split = 'validation'")
-split_sql("column_transform", "fraud", 'SELECT applicant_id, "SeriousDlqin2yrs", ' + ", ".join(scaled(c) for c in (
+split_sql("onehot_ignore", "fraud", f"SELECT applicant_id, split, {ENCODED} FROM split")
+split_sql("column_transform", "fraud", 'SELECT applicant_id, split, "SeriousDlqin2yrs", ' + ", ".join(scaled(c) for c in (
     "RevolvingUtilizationOfUnsecuredLines", "age", "DebtRatio", "MonthlyIncome", "NumberOfDependents", "IncomePerDependent"))
-    + f", {ENCODED} FROM split WHERE split = 'validation'")
+    + f", {ENCODED} FROM split")
 sql("class_weights", ["applicants"], """
 SELECT "SeriousDlqin2yrs" AS target, count(*) AS "count", round((SELECT count(*) FROM applicants) / (2.0::DOUBLE * count(*)), 9) AS weight
 FROM applicants GROUP BY 1""")

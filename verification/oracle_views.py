@@ -11,7 +11,7 @@ VIEWS = {
     "transactions": (
         [], """
         SELECT o_orderkey AS transaction_id,
-          'TXN' || lpad(o_orderkey::VARCHAR, 15, '0') AS transaction_reference,
+          'TXN' || repeat('0', greatest(0, 15 - length(o_orderkey::VARCHAR))) || o_orderkey::VARCHAR AS transaction_reference,
           o_custkey AS account_id,
           CASE WHEN o_orderkey % 4 <> 3 THEN o_custkey END AS card_id,
           CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey % (SELECT count(*) FROM supplier) END AS merchant_id,
@@ -30,25 +30,25 @@ VIEWS = {
     "customers": (
         [], f"""
         SELECT c_custkey AS customer_id,
-          'CUST' || lpad(c_custkey::VARCHAR, 6, '0') AS customer_code,
+          'CUST' || repeat('0', greatest(0, 6 - length(c_custkey::VARCHAR))) || c_custkey::VARCHAR AS customer_code,
           'Customer' AS first_name, 'Demo' || c_custkey AS last_name,
           DATE '1980-01-01' + ((c_custkey * 137) % 12000)::INTEGER AS date_of_birth,
           CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
           'customer' || c_custkey || '@bank.example' AS email,
-          '9' || lpad(c_custkey::VARCHAR, 9, '0') AS mobile_number,
-          'ABCDE' || lpad(c_custkey::VARCHAR, 4, '0') || 'F' AS pan_number,
+          '9' || repeat('0', greatest(0, 9 - length(c_custkey::VARCHAR))) || c_custkey::VARCHAR AS mobile_number,
+          'ABCDE' || repeat('0', greatest(0, 4 - length(c_custkey::VARCHAR))) || c_custkey::VARCHAR || 'F' AS pan_number,
           CASE WHEN c_custkey % 10 = 0 THEN 'Corporate' ELSE 'Individual' END AS customer_type,
           {modulo_risk('c_custkey')} AS risk_category,
           'Verified' AS kyc_status, 'Active' AS record_status
         FROM customer"""),
     "branches": (
         [], """
-        SELECT (r_regionkey + 1)::BIGINT AS branch_id, 'BR' || lpad((r_regionkey + 1)::VARCHAR, 3, '0') AS branch_code,
+        SELECT (r_regionkey + 1)::BIGINT AS branch_id, 'BR' || repeat('0', greatest(0, 3 - length((r_regionkey + 1)::VARCHAR))) || (r_regionkey + 1)::VARCHAR AS branch_code,
           r_name AS region, 'Active' AS branch_status
         FROM region"""),
     "accounts": (
         [], """
-        SELECT c_custkey AS account_id, 'AC' || lpad(c_custkey::VARCHAR, 10, '0') AS account_number, c_custkey AS customer_id,
+        SELECT c_custkey AS account_id, 'AC' || repeat('0', greatest(0, 10 - length(c_custkey::VARCHAR))) || c_custkey::VARCHAR AS account_number, c_custkey AS customer_id,
           ((c_custkey - 1) % 5 + 5) % 5 + 1 AS branch_id,
           CASE WHEN c_custkey % 10 = 0 THEN 'Current' ELSE 'Savings' END AS account_type,
           CASE WHEN c_custkey % 50 = 7 THEN NULL ELSE 'Active' END AS account_status,
@@ -57,14 +57,14 @@ VIEWS = {
         FROM customer"""),
     "customer_kyc": (
         [], f"""
-        SELECT c_custkey AS customer_id, 'ABCDE' || lpad(c_custkey::VARCHAR, 4, '0') || 'F' AS pan_number,
-          lpad(c_custkey::VARCHAR, 12, '0') AS aadhaar_number,
+        SELECT c_custkey AS customer_id, 'ABCDE' || repeat('0', greatest(0, 4 - length(c_custkey::VARCHAR))) || c_custkey::VARCHAR || 'F' AS pan_number,
+          repeat('0', greatest(0, 12 - length(c_custkey::VARCHAR))) || c_custkey::VARCHAR AS aadhaar_number,
           c_custkey % 9 <> 0 AS pan_verified, c_custkey % 11 <> 0 AS aadhaar_verified,
           {modulo_risk('c_custkey')} AS risk_rating, c_custkey % 40 = 0 AS pep_flag, c_custkey % 100 = 0 AS sanctions_flag
         FROM customer WHERE c_acctbal >= 0"""),
     "cards": (
         [], """
-        SELECT c_custkey AS card_id, c_custkey AS account_id, '4' || lpad(c_custkey::VARCHAR, 15, '0') AS card_number,
+        SELECT c_custkey AS card_id, c_custkey AS account_id, '4' || repeat('0', greatest(0, 15 - length(c_custkey::VARCHAR))) || c_custkey::VARCHAR AS card_number,
           CASE WHEN c_custkey % 3 = 0 THEN 'Credit' ELSE 'Debit' END AS card_type,
           CASE c_custkey % 4 WHEN 0 THEN 'Visa' WHEN 1 THEN 'Mastercard' WHEN 2 THEN 'RuPay' ELSE 'Amex' END AS card_network,
           CASE WHEN c_custkey % 11 = 0 THEN 'Blocked' ELSE 'Active' END AS card_status,
@@ -72,7 +72,7 @@ VIEWS = {
         FROM customer"""),
     "merchants": (
         [], f"""
-        SELECT s_suppkey AS merchant_id, 'M' || lpad(s_suppkey::VARCHAR, 9, '0') AS merchant_code, s_name AS merchant_name,
+        SELECT s_suppkey AS merchant_id, 'M' || repeat('0', greatest(0, 9 - length(s_suppkey::VARCHAR))) || s_suppkey::VARCHAR AS merchant_code, s_name AS merchant_name,
           CASE WHEN s_suppkey % 2 = 0 THEN 'Retail' ELSE 'Services' END AS merchant_category, n_name AS country,
           {modulo_risk('s_suppkey')} AS risk_level, 'Active' AS merchant_status
         FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey"""),
