@@ -34,8 +34,8 @@ MARKER = rf"(?i)^\s*(?:<\|(?:im_start\|>)?\s*({_NAMES})\s*(?:\|>)?|#{{1,6}}\s*({
 MARKER_FEATURE = {"none": 0, **{role: n + 1 for n, role in enumerate(ROLES)}}
 #: Values per feature: marker, length (powers of two), lines, question.
 SIZES = (len(ROLES) + 1, 32, 6, 2)
-#: A marker speaks for its role even where no training turn has one: pseudo-counts for right and wrong markers.
-MARKER_RIGHT, MARKER_WRONG = 8.0, 0.02
+#: A marker outweighs what lines and neighbours say, also where no training turn has one: pseudo-counts for right and wrong markers.
+MARKER_RIGHT, MARKER_WRONG = 8.0, 1e-6
 #: Turn numbers in a segment.
 SEGMENT = 256
 
