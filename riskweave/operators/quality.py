@@ -64,6 +64,12 @@ def deduplicate(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def deduplicate_keyed(df: DataFrame, key: str) -> DataFrame:
+    """Of rows that are equal but for their key, the one with the smallest key."""
+    others = [c for c in df.columns if c != key]
+    return df.groupBy(*[_c(c) for c in others]).agg(F.min(_c(key)).alias(key)).select(*[_c(c) for c in df.columns])
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     return distinct_rows(df).agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("row_count"),
@@ -371,21 +377,24 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def orphan_count(name: str, child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
-    """Rows whose foreign key has no parent; child keys are counted before the join."""
-    keys = child.where(_c(foreign_key).isNotNull()).groupBy(_c(foreign_key).alias("_key")).agg(F.count("*").alias("n"))
-    lost = keys.join(parent.select(_c(key).alias("_key")), "_key", "left_anti")
-    return lost.agg(F.lit(name).alias("relationship"), F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))
-
-
 def orphan_checks(transactions, accounts, merchants, devices, alerts) -> DataFrame:
-    checks = [
-        orphan_count("transaction_account", transactions, "account_id", accounts, "account_id"),
-        orphan_count("transaction_merchant", transactions, "merchant_id", merchants, "merchant_id"),
-        orphan_count("transaction_device", transactions, "device_id", devices, "device_id"),
-        orphan_count("alert_transaction", alerts, "transaction_id", transactions, "transaction_id"),
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    """Rows per relationship whose foreign key has no parent. Each table is read once; child keys are counted before the join."""
+    def keys(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+        return df.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("relationship"), _c(c).cast("string").alias("_key")) for name, c in columns.items()])))
+
+    child = keys(transactions, {
+        "transaction_account": "account_id", "transaction_merchant": "merchant_id", "transaction_device": "device_id"}
+    ).unionByName(keys(alerts, {"alert_transaction": "transaction_id"}))
+    parent = reduce(DataFrame.unionByName, [
+        keys(accounts, {"transaction_account": "account_id"}), keys(merchants, {"transaction_merchant": "merchant_id"}),
+        keys(devices, {"transaction_device": "device_id"}), keys(transactions, {"alert_transaction": "transaction_id"})])
+    counted = child.where(F.col("_key").isNotNull()).groupBy("relationship", "_key").agg(F.count("*").alias("n"))
+    lost = counted.join(parent, ["relationship", "_key"], "left_anti").select("relationship", "n")
+    names = ["transaction_account", "transaction_merchant", "transaction_device", "alert_transaction"]
+    none = transactions.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("relationship"), F.lit(0).cast("long").alias("n")) for name in names])))
+    return lost.unionByName(none).groupBy("relationship").agg(F.sum("n").alias("orphans"))
 
 
 def null_checks(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -393,22 +402,26 @@ def null_checks(df: DataFrame, columns: list[str]) -> DataFrame:
     return _unpivot_structs(counts, {c: {"null_count": _c(c)} for c in columns}, "column")
 
 
-def check_constraints(df: DataFrame, table: str, checks: dict[str, Column], unique: list[str]) -> DataFrame:
-    """Violations per CHECK and per UNIQUE key. As in SQL, an unknown check is no violation.
+def check_constraints(df: DataFrame, table: str, checks: dict[str, Column], unique: list[str], required: list[str] = ()) -> DataFrame:
+    """Violations per CHECK, NOT NULL and UNIQUE key, in one pass. As in SQL, an unknown check is no violation.
 
     A unique key is violated by every row beyond the first with the same non-null value.
     """
-    parts = []
-    if checks:
-        counts = df.agg(*[F.coalesce(F.sum(flag(~rule)), F.lit(0)).alias(name) for name, rule in checks.items()])
-        parts.append(_unpivot_structs(counts, {n: {"violations": _c(n)} for n in checks}, "constraint_name"))
-    if unique:
-        keys = df.select(*[_c(k).cast("string").alias(k) for k in unique]).unpivot([], unique, "key", "value")
-        copies = keys.groupBy("key", "value").agg(F.count("*").alias("n"))
-        beyond = F.when(F.col("value").isNotNull(), F.col("n") - 1).otherwise(0)
-        parts.append(copies.groupBy(F.concat(F.lit("unique_"), F.col("key")).alias("constraint_name"))
-                     .agg(F.sum(beyond).alias("violations")))
-    return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "constraint_name", "violations")
+    none = F.lit(None).cast("string")
+    failed = {**checks, **{f"required_{c}": _c(c).isNotNull() for c in required}}
+    entries = [F.struct(F.lit(name).alias("constraint_name"), none.alias("value"), flag(~rule).cast("long").alias("n"))
+               for name, rule in failed.items()]
+    entries += [F.struct(F.lit(f"unique_{k}").alias("constraint_name"), _c(k).cast("string").alias("value"), F.lit(1).cast("long").alias("n"))
+                for k in unique]
+    names = [*failed, *[f"unique_{k}" for k in unique]]
+    # an entry per name, so that tables without rows are reported as well
+    base = df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("constraint_name"), none.alias("value"), F.lit(0).cast("long").alias("n")) for name in names])))
+    found = df.select(F.inline(F.array(*entries))).unionByName(base).groupBy("constraint_name", "value").agg(F.sum("n").alias("n"))
+    copies = F.when(F.col("value").isNotNull(), F.col("n") - 1).otherwise(0)
+    violations = F.when(F.col("constraint_name").startswith("unique_"), copies).otherwise(F.col("n"))
+    return found.groupBy("constraint_name").agg(F.sum(violations).alias("violations")).select(
+        F.lit(table).alias("table_name"), "constraint_name", "violations")
 
 
 def apply_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:

@@ -205,11 +205,13 @@ def _(v):
 @query("check_constraints")
 def _(v):
     tables = {"customers": v.customers, "accounts": v.accounts, "customer_kyc": v.customer_kyc, "cards": v.cards,
-              "merchants": v.merchants, "devices": v.devices, "transactions": v.transactions, "fraud_alerts": v.alerts}
+              "merchants": v.merchants, "devices": v.devices, "transactions": v.transactions, "fraud_alerts": v.alerts,
+              "branches": v.branches, "customer_addresses": seeds.addresses_for(v.customers)}
     result = None
     for name, df in tables.items():
         found = quality.check_constraints(
-            df, name, schemas.table_checks(name, df.columns), schemas.table_unique(name, df.columns))
+            df, name, schemas.table_checks(name, df.columns), schemas.table_unique(name, df.columns),
+            schemas.table_required(name, df.columns))
         result = found if result is None else result.unionByName(found)
     return result
 

@@ -37,7 +37,8 @@ def run_domain(
 ) -> DomainRun:
     """Train on the training side only and report on the validation side."""
     spark = prepared.sparkSession
-    split = preprocess.stratified_split(materialise(prepared), target, key)
+    prepared = quality.require_binary_target(materialise(prepared), target)
+    split = preprocess.stratified_split(prepared, target, key)
     train, validation = split.where("split = 'train'"), split.where("split = 'validation'")
     fitted = preprocess.fit_columns(train, numeric, categorical, missing_category=missing_category)
 
@@ -45,6 +46,7 @@ def run_domain(
         return materialise(fitted.vectors(side, [key, target]).withColumn("label", F.col(target).cast("double")))
 
     train_vectors, validation_vectors = encode(train), encode(validation)
+    quality.check_aligned(train_vectors, validation_vectors)
     best, trained, table = training.train_and_select(train_vectors, validation_vectors, domain, models)
     scored = materialise(training.score_batch(trained[best], validation_vectors, [key, "label"]))
     sweep = metrics.threshold_sweep(scored, grid)
@@ -80,7 +82,8 @@ def fraud_run(applicants: DataFrame, key: str = "applicant_id", models=None) ->
 
 
 def transaction_fraud_run(cards: DataFrame, key: str, models=None) -> DomainRun:
-    prepared = quality.require_columns(cards, V.CARD_FEATURES + [V.CARD_TARGET])
+    columns = V.CARD_FEATURES + [V.CARD_TARGET]
+    prepared = quality.deduplicate_keyed(quality.require_columns(cards, columns).select(key, *columns), key)
     return run_domain(
         prepared, "transaction_fraud", V.CARD_TARGET, key, V.CARD_FEATURES, [], V.COARSE_GRID,
         metrics.recall_floor_threshold, bands.transaction_fraud_level, models,
@@ -88,7 +91,8 @@ def transaction_fraud_run(cards: DataFrame, key: str, models=None) -> DomainRun:
 
 
 def aml_run(transfers: DataFrame, key: str = "record_key", models=None) -> DomainRun:
-    prepared = features.aml_features(quality.require_columns(transfers, V.AML_COLUMNS), strict=True)
+    transfers = quality.deduplicate_keyed(quality.require_columns(transfers, V.AML_COLUMNS), key)
+    prepared = features.aml_features(transfers, strict=True)
     identifiers = [c for c in V.AML_IDENTIFIERS if c != key]
     prepared = preprocess.require_positives(prepared.drop(*identifiers), "is_laundering")
     numeric = [c for c in quality.numeric_columns(prepared) if c != "is_laundering"]

@@ -123,6 +123,20 @@ UNIQUE = {
     "transactions": ["transaction_reference"],
     "aml_rules": ["rule_code"],
 }
+REQUIRED = {
+    "customers": ["customer_id", "customer_code", "first_name", "last_name", "date_of_birth"],
+    "branches": ["branch_id", "branch_code", "branch_name", "city", "state", "ifsc_code"],
+    "accounts": ["account_id", "account_number", "customer_id", "branch_id", "opened_date"],
+    "customer_addresses": ["address_id", "customer_id", "address_line_1", "city", "state", "postal_code"],
+    "customer_kyc": ["kyc_id", "customer_id", "pan_number"],
+    "cards": ["card_id", "account_id", "card_number", "issue_date", "expiry_date"],
+    "merchants": ["merchant_id", "merchant_code", "merchant_name", "merchant_category"],
+    "devices": ["device_id", "device_fingerprint"],
+    "transactions": ["transaction_id", "transaction_reference", "account_id", "transaction_timestamp"],
+    "credit_scores": ["credit_score_id", "customer_id", "score_date"],
+    "fraud_alerts": ["fraud_alert_id", "transaction_id", "alert_timestamp"],
+    "aml_rules": ["rule_id", "rule_code", "rule_name"],
+}
 DEFAULTS = {
     "customers": {"customer_type": "Individual", "risk_category": "Low", "kyc_status": "Pending", "record_status": "Active"},
     "branches": {"branch_status": "Active"},
@@ -158,3 +172,7 @@ def table_checks(table: str, columns: list[str]) -> dict[str, Column]:
 
 def table_unique(table: str, columns: list[str]) -> list[str]:
     return [name for name in UNIQUE.get(table, []) if name in columns]
+
+
+def table_required(table: str, columns: list[str]) -> list[str]:
+    return [name for name in REQUIRED.get(table, []) if name in columns]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from verification.oracle_views import FORMATS, modulo_risk, with_views
+from verification.oracle_views import FORMATS, VIEWS, modulo_risk, with_views
 
 SQL: dict[str, str] = {}
 
@@ -31,10 +31,15 @@ SELECT transaction_id, detection_source, fraud_score::DOUBLE AS fraud_score, ris
 FROM alerts a WHERE NOT EXISTS (SELECT 1 FROM existing_alerts e
   WHERE e.transaction_id = a.transaction_id AND e.detection_source = 'Rule Engine')""")
 sql("seed_customers", ["customers"], "SELECT * REPLACE (date_of_birth::DATE::VARCHAR AS date_of_birth) FROM customers")
-sql("seed_addresses", ["customers"], f"""
+VIEWS["addresses"] = (["customers"], f"""
 SELECT customer_id, 'Permanent' AS address_type, 'Demo Address ' || customer_id AS address_line_1, NULL::VARCHAR AS address_line_2,
-  {place(0)} AS city, {place(1)} AS state, repeat('0', greatest(0, 6 - length((100000 + customer_id)::VARCHAR))) || (100000 + customer_id)::VARCHAR AS postal_code, 'India' AS country
+  {place(0)} AS city, {place(1)} AS state, repeat('0', greatest(0, 6 - length((100000 + customer_id)::VARCHAR))) || (100000 + customer_id)::VARCHAR AS postal_code,
+  'India' AS country
 FROM customers WHERE customer_code LIKE 'CUST%'""")
+# what the constraints of branches look at; the name is there wherever the region has one
+VIEWS["branch_checks"] = (["branches"], """SELECT b.branch_id, b.branch_code, r.r_name || ' Branch' AS branch_name, 'Active' AS branch_status
+FROM branches b JOIN region r ON r.r_regionkey + 1 = b.branch_id""")
+sql("seed_addresses", ["addresses"], "SELECT * FROM addresses")
 KYC = f"""SELECT customer_id, pan_number, repeat('0', greatest(0, 12 - length(customer_id::VARCHAR))) || customer_id::VARCHAR AS aadhaar_number,
   true AS pan_verified, true AS aadhaar_verified,
   (DATE '2024-06-30' - (customer_id % 1000)::INTEGER)::DATE::VARCHAR AS kyc_completion_date,
@@ -179,15 +184,23 @@ CHECKS = {
         "allowed_risk_level": "risk_level NOT IN ('Low', 'Medium', 'High', 'Critical')",
         "allowed_alert_status": "alert_status NOT IN ('Open', 'Investigating', 'Confirmed Fraud', 'False Positive', 'Closed')",
         "range_fraud_score": "fraud_score < 0 OR fraud_score > 1"},
+    "branch_checks": {"allowed_branch_status": "branch_status NOT IN ('Active', 'Inactive')"},
+    "addresses": {"allowed_address_type": "address_type NOT IN ('Permanent', 'Current', 'Office')"},
 }
 KEYS = {"customers": ["customer_code", "email", "mobile_number", "pan_number"], "accounts": ["account_number"],
         "customer_kyc": ["customer_id", "pan_number", "aadhaar_number"], "cards": ["card_number"],
-        "merchants": ["merchant_code"], "devices": ["device_fingerprint"], "transactions": ["transaction_reference"]}
-_label = {"alerts": "fraud_alerts"}
+        "merchants": ["merchant_code"], "devices": ["device_fingerprint"], "transactions": ["transaction_reference"], "branch_checks": ["branch_code"]}
+NOT_NULL = {"customers": ["customer_id", "customer_code", "first_name", "last_name", "date_of_birth"], "accounts": ["account_id", "account_number", "customer_id", "branch_id"],
+            "customer_kyc": ["customer_id", "pan_number"], "cards": ["card_id", "account_id", "card_number"],
+            "merchants": ["merchant_id", "merchant_code", "merchant_name", "merchant_category"], "devices": ["device_id", "device_fingerprint"],
+            "transactions": ["transaction_id", "transaction_reference", "account_id", "transaction_timestamp"], "alerts": ["transaction_id"],
+            "branch_checks": ["branch_id", "branch_code", "branch_name"], "addresses": ["customer_id", "address_line_1", "city", "state", "postal_code"]}
+_label = {"alerts": "fraud_alerts", "branch_checks": "branches", "addresses": "customer_addresses"}
 sql("check_constraints", list(CHECKS), " UNION ALL ".join(
     [f"SELECT '{_label.get(t, t)}' AS table_name, '{n}' AS constraint_name, count(*) FILTER (WHERE {c}) AS violations FROM {t}"
      for t, checks in CHECKS.items() for n, c in checks.items()]
-    + [f"SELECT '{t}', 'unique_{k}', count({k}) - count(DISTINCT {k}) FROM {t}" for t, keys in KEYS.items() for k in keys]))
+    + [f"SELECT '{_label.get(t, t)}', 'unique_{k}', count({k}) - count(DISTINCT {k}) FROM {t}" for t, keys in KEYS.items() for k in keys]
+    + [f"SELECT '{_label.get(t, t)}', 'required_{c}', count(*) - count({c}) FROM {t}" for t, columns in NOT_NULL.items() for c in columns]))
 sql("apply_defaults", ["accounts"], """
 SELECT account_id, account_number, customer_id, branch_id, coalesce(account_type, 'Savings') AS account_type,
   coalesce(account_status, 'Active') AS account_status, coalesce(opening_balance, 0)::DOUBLE AS opening_balance,
