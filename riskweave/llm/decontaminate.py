@@ -280,6 +280,7 @@ def _finders(benchmark: DataFrame, share: float, target: float) -> list[Finder]:
 
 
 def _search(shared: Broadcast):
+    """Not deterministic for the optimiser's eyes, so that no filter on the result runs the search a second time."""
     @F.pandas_udf("array<struct<item_id:long,edits:int,n_words:int,end_word:int>>")
     def search(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = shared.value
@@ -288,7 +289,7 @@ def _search(shared: Broadcast):
                 [{"item_id": i, "edits": edits, "n_words": len(own.items[item]), "end_word": end}
                  for item, edits, end in found for i in own.ids[item]] for found in own.find(series.tolist())], dtype=object)
 
-    return search
+    return search.asNondeterministic()
 
 
 def _matches(docs: DataFrame, benchmark: DataFrame, share: float, target: float) -> Column:
