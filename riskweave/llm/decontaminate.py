@@ -16,14 +16,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.llm.scratch import store
+
 #: Steps sampled per key, keys taken from each walk, walks at most.
 KEY_STEPS, KEYS_PER_WALK, MAX_WALKS = 2, 8, 24
 #: Lengths of the items of a class differ by this factor at most.
@@ -32,7 +35,7 @@ CLASS_FACTOR = 1.12
 MIN_WORDS = 5
 #: Words looked at together.
 CHUNK_WORDS = 500_000
-#: Items in one set of tables, which is broadcast; a larger benchmark is searched block by block.
+#: Items in one set of tables, which is broadcast; a larger benchmark is searched block by block, one after the other.
 BLOCK_ITEMS = 20_000
 _ASCII_BREAKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -265,18 +268,16 @@ class Finder:
         return result, windows - own.edits + ends
 
 
-def _finders(benchmark: DataFrame, share: float, target: float) -> list[Finder]:
-    """One per block of items. An item is small; a block of them is what the driver and each worker hold."""
+def _finders(benchmark: DataFrame, share: float, target: float) -> Iterator[tuple[Finder, bool]]:
+    """One block of items after the other, and whether it is the last; the driver and the workers hold one at a time."""
     texts = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(F.col("text").isNotNull())
     blocks = max(1, -(-texts.count() // BLOCK_ITEMS))
-    found = []
     for block in range(blocks):
         items: dict[tuple[bytes, ...], list[int | None]] = {}
         for row in texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect():
             if words := tuple(words_of(row["text"])):
                 items.setdefault(words, []).append(row["item_id"])
-        found.append(Finder(items, share, target))
-    return found
+        yield Finder(items, share, target), block == blocks - 1
 
 
 def _search(shared: Broadcast):
@@ -292,12 +293,6 @@ def _search(shared: Broadcast):
     return search.asNondeterministic()
 
 
-def _matches(docs: DataFrame, benchmark: DataFrame, share: float, target: float) -> Column:
-    context = docs.sparkSession.sparkContext
-    columns = [_search(context.broadcast(finder))(F.col("text").cast("string")) for finder in _finders(benchmark, share, target)]
-    return F.concat(*columns) if len(columns) > 1 else columns[0]
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float = 0.2, target_recall: float = 0.97) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text) and item of ``benchmark`` (item_id, text) that it holds.
 
@@ -306,12 +301,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float =
     words are reported each; repeated documents are reported each. Items with fewer than five words match only
     documents that have just these words. Other columns are ignored; empty tables give an empty result.
     """
-    found = docs.select(F.col("doc_id").cast("long"), _matches(docs, benchmark, max_edit_share, target_recall).alias("found"))
-    return found.select("doc_id", F.explode("found").alias("of")).select(
-        "doc_id", "of.item_id", "of.edits", "of.n_words", (1 - F.col("of.edits") / F.col("of.n_words")).alias("similarity"), "of.end_word")
+    parts = []
+    for finder, last in _finders(benchmark, max_edit_share, target_recall):
+        shared = docs.sparkSession.sparkContext.broadcast(finder)
+        found = docs.select(F.col("doc_id").cast("long"), F.explode(_search(shared)(F.col("text").cast("string"))).alias("of")).select(
+            "doc_id", "of.item_id", "of.edits", "of.n_words", (1 - F.col("of.edits") / F.col("of.n_words")).alias("similarity"), "of.end_word")
+        parts.append(found if last else store(found, "matches"))
+        if not last:
+            shared.destroy()
+    return reduce(DataFrame.union, parts)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float = 0.2, target_recall: float = 0.97) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item of ``benchmark``."""
     name = "_found" + "_" * sum(c.startswith("_found") for c in docs.columns)
-    return docs.withColumn(name, _matches(docs, benchmark, max_edit_share, target_recall)).where(F.size(f"`{name}`") == 0).drop(name)
+    for finder, last in _finders(benchmark, max_edit_share, target_recall):
+        shared = docs.sparkSession.sparkContext.broadcast(finder)
+        docs = docs.withColumn(name, _search(shared)(F.col("text").cast("string"))).where(F.size(f"`{name}`") == 0).drop(name)
+        if not last:
+            docs = store(docs, "clean")
+            shared.destroy()
+    return docs

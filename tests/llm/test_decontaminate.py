@@ -72,6 +72,8 @@ def test_blocks_give_what_one_set_of_tables_gives(spark, monkeypatch, folder):
     whole = sorted(map(tuple, dc.contaminated(docs, items).collect()))
     monkeypatch.setattr(dc, "BLOCK_ITEMS", 9)
     assert sorted(map(tuple, dc.contaminated(docs, items).collect())) == whole
+    held = {row[0] for row in whole}
+    assert {r.doc_id for r in dc.decontaminated(docs, items).collect()} == {r.doc_id for r in docs.collect()} - held
 
 
 def test_the_walk_keeps_close_texts_close():
