@@ -93,7 +93,8 @@ def _best(ids: np.ndarray, unit: np.ndarray, k: int) -> pd.DataFrame:
 
 def _lists(neighbours: DataFrame, k: int) -> DataFrame:
     """The best ``k`` neighbours of each node, of both directions."""
-    both = neighbours.union(neighbours.select("b", "a", "cosine")).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+    directions = F.array(F.struct("a", "b", "cosine"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
+    both = neighbours.select(F.inline(directions)).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
     best = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
     return store(both.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).drop("place"), "lists")
 
