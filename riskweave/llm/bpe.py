@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 
 #: The public split pattern of this family of byte-level vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pieces remembered per Python worker; longer pieces than KEPT_CHARS are encoded anew each time.
-CACHE_PIECES, KEPT_CHARS = 500_000, 48
+#: Pieces remembered per Python worker; longer pieces than KEPT_CHARS are encoded anew each time. When there are too
+#: many, only those of SHORT_CHARS or fewer stay: they come back most often.
+CACHE_PIECES, KEPT_CHARS, SHORT_CHARS = 200_000, 48, 7
 #: Pairs of tokens whose compatibility is remembered per Python worker.
-CACHE_PAIRS = 500_000
+CACHE_PAIRS = 150_000
 NEVER = 1 << 60
 
 
@@ -140,7 +141,7 @@ class PrefixEncoder:
                     ids = self.encode_piece(piece)
                     if len(piece) <= KEPT_CHARS:
                         if len(cache) >= CACHE_PIECES:
-                            cache.clear()
+                            forget_long(cache, SHORT_CHARS, CACHE_PIECES // 2)
                         cache[piece] = ids
                 extend(ids)
         return out
@@ -149,6 +150,14 @@ class PrefixEncoder:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def forget_long(cache: dict[str, object], short: int, most: int) -> None:
+    """Drop the keys longer than ``short``, or all if more than ``most`` would stay."""
+    kept = {k: v for k, v in cache.items() if len(k) <= short}
+    cache.clear()
+    if len(kept) <= most:
+        cache.update(kept)
+
+
 @lru_cache(2)
 def encoder(path: str) -> PrefixEncoder:
     """One per Python worker."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -21,13 +21,15 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskweave.llm.bpe import forget_long
 from riskweave.llm.scratch import new_folder
 
 HEADER, FOOTER = 12, 4
 #: Reflected polynomial of CRC-32C, and the mask of the record format (fixed values).
 POLYNOMIAL, MASK_DELTA = 0x82F63B78, 0xA282EAD8
-#: Chunks of white space remembered per Python worker, and the longest that is remembered.
-CACHE_CHUNKS, KEPT_CHARS = 500_000, 48
+#: Chunks between white space remembered per Python worker, and the longest that is remembered. When there are too many,
+#: only those of SHORT_CHARS or fewer stay.
+CACHE_CHUNKS, KEPT_CHARS, SHORT_CHARS = 300_000, 48, 7
 INDEX = "doc_id long, file string, offset long, size long, n_tokens long, shard int, position long"
 
 
@@ -164,8 +166,8 @@ class ChunkEncoder:
         seen = set().union(*[chunks for chunks in split if chunks is not None])
         unknown = seen.difference(known)
         if len(known) + len(unknown) > CACHE_CHUNKS:
-            known.clear()
-            unknown = seen
+            forget_long(known, SHORT_CHARS, CACHE_CHUNKS // 2)
+            unknown = seen.difference(known)
         long = {c for c in unknown if len(c) > KEPT_CHARS}
         self._learn(sorted(unknown - long))
         out = []
@@ -251,11 +253,8 @@ def with_starts(index: DataFrame) -> DataFrame:
         before, "shard").withColumn("start", F.col("base") + F.col("inside")).drop("base", "inside")
 
 
-def read_token_files(index: DataFrame, folder: str) -> DataFrame:
-    """Records named by rows of ``index``: its columns and data (bytes), item_bytes (2 or 4). Checksums are verified.
-
-    Rows are read in the order they come, each from its own offset, so a shuffled index reads shuffled records.
-    """
+def _read(index: DataFrame, folder: str, added: str, make: Callable[[list[bytes], list[int]], dict[str, list]]) -> DataFrame:
+    """The columns of ``index`` and those that ``make`` adds from the data of records and the bytes of an id."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in index.schema.fields)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -273,24 +272,34 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
                             old.close()
                         opened = {name: files.open_input_file(f"{base}/{name}")}
                     data.append(opened[name].read_at(int(size), int(offset)))
-                yield part.assign(data=unframe(data), item_bytes=[int(n.rpartition(".u")[2]) for n in part["file"]])
+                yield part.assign(**make(unframe(data), [int(n.rpartition(".u")[2]) for n in part["file"]]))
+
+    return index.mapInPandas(run, f"{columns}, {added}")
+
 
-    return index.mapInPandas(run, f"{columns}, data binary, item_bytes int")
+def read_token_files(index: DataFrame, folder: str) -> DataFrame:
+    """Records named by rows of ``index``: its columns and data (bytes), item_bytes (2 or 4). Checksums are verified.
 
+    Rows are read in the order they come, each from its own offset, so a shuffled index reads shuffled records.
+    """
+    return _read(index, folder, "data binary, item_bytes int", lambda data, widths: {"data": data, "item_bytes": widths})
 
-def digest(records: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 (of the ids as 4 bytes each) from the records read."""
-    @F.pandas_udf("n long, crc long")
-    def of(data: pd.Series, item_bytes: pd.Series) -> pd.DataFrame:
-        ids = [np.frombuffer(d, f"<u{b}").astype("<u4") for d, b in zip(data, item_bytes)]
-        return pd.DataFrame({"n": [len(x) for x in ids], "crc": [zlib.crc32(x.tobytes()) for x in ids]})
 
-    return records.withColumn("of", of("data", "item_bytes")).select(
-        "doc_id", "start", F.col("of.n").alias("n_tokens"), F.col("of.crc").alias("ids_crc32"))
+def digest_token_files(index: DataFrame, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 (of the ids as 4 bytes each) of the records, from the files.
+
+    One Python step reads and digests: a second one would keep twice as many workers in memory.
+    """
+    def make(data: list[bytes], widths: list[int]) -> dict[str, list]:
+        ids = [np.frombuffer(d, f"<u{w}").astype("<u4") for d, w in zip(data, widths)]
+        return {"n_read": [len(x) for x in ids], "ids_crc32": [zlib.crc32(x.tobytes()) for x in ids]}
+
+    return _read(with_starts(index), folder, "n_read long, ids_crc32 long", make).select(
+        "doc_id", "start", F.col("n_read").alias("n_tokens"), "ids_crc32")
 
 
 def round_trip(docs: DataFrame, vocabulary: str, end_id: int = 1, folder: str | None = None) -> DataFrame:
     """Write ``docs`` into token files (by default in a new folder of the shared store) and read all of them back."""
     folder = folder or new_folder(docs.sparkSession, "tokens")
     index = write_token_files(docs, folder, vocabulary, end_id)
-    return digest(read_token_files(with_starts(index), folder))
+    return digest_token_files(index, folder)

@@ -106,7 +106,7 @@ def test_cleared_memory_changes_nothing(monkeypatch):
 def test_files_hold_documents_in_order(spark, documents, tmp_path):
     rows = [(5, "five five"), (1, None), (3, ""), (3, ""), (None, "none"), (9, "nine " * 9000), (7, "seven")]
     index = token_files.write_token_files(documents(rows), f"file://{tmp_path}/t", WORD_BPE)
-    records = token_files.digest(token_files.read_token_files(token_files.with_starts(index), f"file://{tmp_path}/t")).collect()
+    records = token_files.digest_token_files(index, f"file://{tmp_path}/t").collect()
     records.sort(key=lambda r: r.start)
     assert [r.doc_id for r in records] == [None, 1, 3, 3, 5, 7, 9]
     starts = [0]
