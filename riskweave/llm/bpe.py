@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.llm.scratch import small_batches
+
 #: The public split pattern of this family of byte-level vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces remembered per Python worker; longer pieces than KEPT_CHARS are encoded anew each time. When there are too
@@ -185,4 +187,4 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, keep_ids: bool = False) ->
             names = [c.split()[0] for c in schema.split(", ")[1:]]
             yield pd.DataFrame({"doc_id": frame["doc_id"]} | {c: [r[i] for r in rows] for i, c in enumerate(names)})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, schema)
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, schema)

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.llm.scratch import store
+from riskweave.llm.scratch import small_batches, store
 
 #: Steps sampled per key, keys taken from each walk, walks at most.
 KEY_STEPS, KEYS_PER_WALK, MAX_WALKS = 2, 8, 24
@@ -304,7 +304,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float =
     parts = []
     for finder, last in _finders(benchmark, max_edit_share, target_recall):
         shared = docs.sparkSession.sparkContext.broadcast(finder)
-        found = docs.select(F.col("doc_id").cast("long"), F.explode(_search(shared)(F.col("text").cast("string"))).alias("of")).select(
+        found = small_batches(docs).select(F.col("doc_id").cast("long"), F.explode(_search(shared)(F.col("text").cast("string"))).alias("of")).select(
             "doc_id", "of.item_id", "of.edits", "of.n_words", (1 - F.col("of.edits") / F.col("of.n_words")).alias("similarity"), "of.end_word")
         parts.append(found if last else store(found, "matches"))
         if not last:
@@ -317,7 +317,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float
     name = "_found" + "_" * sum(c.startswith("_found") for c in docs.columns)
     for finder, last in _finders(benchmark, max_edit_share, target_recall):
         shared = docs.sparkSession.sparkContext.broadcast(finder)
-        docs = docs.withColumn(name, _search(shared)(F.col("text").cast("string"))).where(F.size(f"`{name}`") == 0).drop(name)
+        docs = small_batches(docs).withColumn(name, _search(shared)(F.col("text").cast("string"))).where(F.size(f"`{name}`") == 0).drop(name)
         if not last:
             docs = store(docs, "clean")
             shared.destroy()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.batches import bounds, whole_groups
 from riskweave.llm.graph import connected_components
-from riskweave.llm.scratch import store
+from riskweave.llm.scratch import small_batches, store
 
 #: Nodes aimed at in a leaf, compared with each other at most; fuller leaves are cut.
 LEAF_NODES, CELL_NODES = 48, 384
@@ -188,7 +188,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 10, tr
     vec_id reachable, itself included; rows without vec_id never name a component and aren't kept. Other columns are
     ignored; an empty table gives an empty result. Raises RecallError if ``forests`` forests miss the target.
     """
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"), "label")
+    rows = small_batches(vectors).select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"), "label")
     rows = rows.withColumn("grp", F.when(_valid("vector", "label"), F.concat_ws("/", F.size("vector").cast("string"), F.col("label").cast("string"))))
     sound, rest = rows.where("grp IS NOT NULL"), rows.where("grp IS NULL")
     nodes = store(sound.groupBy("grp", "vector").agg(F.count("*").alias("size"), F.min("vec_id").alias("first")).select(

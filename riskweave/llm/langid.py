@@ -16,6 +16,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.llm.scratch import small_batches
+
 UNKNOWN = "und"
 WORD = regex.compile(r"\p{L}+")
 #: Compressed together; long texts would outgrow the dictionary.
@@ -106,6 +108,6 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
             yield pd.DataFrame([own.classify(t) for t in series], columns=["lang_pred", "lang_score"])
 
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "lang_score", "lang_rejected")]
-    found = docs.select(*[F.col(f"`{c}`") for c in kept], classify.asNondeterministic()(F.col("text").cast("string")).alias("_found"))  # so that filters don't run it again
+    found = small_batches(docs).select(*[F.col(f"`{c}`") for c in kept], classify.asNondeterministic()(F.col("text").cast("string")).alias("_found"))  # so that filters don't run it again
     return found.select(*[F.col(f"`{c}`") for c in kept], "_found.*").withColumn(
         "lang_rejected", (F.col("lang_pred") == UNKNOWN) | (F.col("lang_score") < min_margin))

@@ -25,6 +25,17 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[app]
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``; from here on the session sends at most ``rows`` rows at once to Python.
+
+    Whole texts make rows of kilobytes to megabytes, and a batch is held several times on both sides.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= rows:
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path that nothing else uses."""
     return f"{shared_folder(spark)}/riskweave/{name}-{uuid.uuid4().hex}"

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.batches import bounds, whole_groups
 from riskweave.llm.graph import connected_components
-from riskweave.llm.scratch import store
+from riskweave.llm.scratch import small_batches, store
 
 BITS = 64
 SEED = 42
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
             fps = np.array([fingerprint(t, shingle) for t in frame["text"]], np.uint64)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "fp": fps.view(np.int64)})
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, fp long")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "doc_id long, fp long")
 
 
 class Slice:

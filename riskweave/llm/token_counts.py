@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.bpe import PATTERN
+from riskweave.llm.scratch import small_batches
 
 SEPARATOR = "\n\n"
 
@@ -111,6 +112,6 @@ def token_counts(docs: DataFrame, vocabulary: str, fields: Sequence[str] = ("sou
                                 "separator_tokens": [r[1] for r in rows], "field_tokens": [r[3] for r in rows],
                                 "section_tokens": [r[4] for r in rows]})
 
-    return docs.select(F.col(f"`{key}`").cast("long").alias("key"), *[
+    return small_batches(docs).select(F.col(f"`{key}`").cast("long").alias("key"), *[
         F.col(f"`{f}`").cast("string").alias(c) for f, c in zip(fields, inputs)]).mapInPandas(
         run, f"`{key}` long, n_tokens long, n_crossing long, separator_tokens long, field_tokens array<long>, section_tokens array<array<long>>")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm.bpe import forget_long
-from riskweave.llm.scratch import new_folder
+from riskweave.llm.scratch import new_folder, small_batches
 
 HEADER, FOOTER = 12, 4
 #: Reflected polynomial of CRC-32C, and the mask of the record format (fixed values).
@@ -202,7 +202,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     from pyspark import TaskContext
 
     spark = docs.sparkSession
-    ordered = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    ordered = (small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
                .withColumn("place", F.xxhash64("text")).repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
