@@ -1,11 +1,14 @@
 """Near-duplicate embeddings by NN-descent.
 
 Equal vectors of a label are one node. A forest of random hyperplanes gives every node first neighbours from leaves of
-bounded size; rounds of NN-descent then join each node's neighbours with each other and keep the best. Neighbours over
-the threshold are links, and links make components. A list that is full of links is saturated: it is enlarged to all
-of its component, block by block, which also makes the number of links exact. An audit compares a bounded sample of
-nodes with all nodes and measures the recall; what it misses is added, and while the recall is below the target,
-another forest and more rounds follow.
+bounded size; rounds of NN-descent then join each node's neighbours with each other and keep the best. Every pair over
+the threshold that a leaf or a join compares is a link, also one that no list keeps (of the links of one comparison a
+spanning forest is written, which connects the same nodes). Links make components. Each later pass takes a new forest
+and keeps two lists per node, the best in and outside its component, so that lists full of links of a node's own group
+don't hide links to others; passes follow until one joins no components. The number of links is then counted block by
+block inside components. An audit compares a bounded sample of nodes with all nodes and measures the recall, by node
+and by component; while it is below the target, passes with longer lists and more rounds follow. The audit's links
+never enter the result.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from riskweave.llm.scratch import small_batches, store
 LEAF_NODES, CELL_NODES = 48, 384
 #: Hyperplanes of a tree at most.
 MAX_BITS = 40
+#: Neighbours (outside: of another component) and, where link is true, nodes that links connect.
+PAIRS = "a long, b long, cosine double, outside boolean, link boolean"
 
 
 class RecallError(RuntimeError):
@@ -55,63 +60,115 @@ def _forest(nodes: DataFrame, seed: int, trees: int) -> DataFrame:
                 for tree in range(trees):
                     signs = ((unit @ planes[size][tree]) > 0) & used
                     leaf = (signs.astype(np.int64) << np.arange(MAX_BITS)).sum(axis=1)
-                    yield part[["grp", "node", "vector"]].assign(tree=tree, leaf=leaf)[["grp", "tree", "leaf", "node", "vector"]]
+                    yield part[["grp", "node", "own", "vector"]].assign(tree=tree, leaf=leaf)[["grp", "tree", "leaf", "node", "own", "vector"]]
 
     sizes = store(nodes.groupBy("grp").count(), "groups")
     bits = F.least(F.lit(MAX_BITS), F.greatest(F.lit(0), F.ceil(F.log2(F.col("count") / LEAF_NODES)))).cast("int")
-    return nodes.join(sizes.select("grp", bits.alias("bits")), "grp").select("grp", "node", "vector", "bits").mapInPandas(
-        run, "grp string, tree int, leaf long, node long, vector array<double>")
+    return nodes.join(sizes.select("grp", bits.alias("bits")), "grp").select("grp", "node", "own", "vector", "bits").mapInPandas(
+        run, "grp string, tree int, leaf long, node long, own long, vector array<double>")
 
 
-def _first_neighbours(nodes: DataFrame, seed: int, trees: int, k: int) -> DataFrame:
-    """a, b, cosine: the best ``k`` of each node in each of its leaves."""
+def _first_neighbours(nodes: DataFrame, seed: int, trees: int, k: int, threshold: float) -> DataFrame:
+    """PAIRS: the best ``k`` of each node in and outside its component in each of its leaves, and links of the leaves."""
     keys = ["grp", "tree", "leaf", "cell"]
     forest = _forest(nodes, seed, trees)
     crowded = store(forest.groupBy("grp", "tree", "leaf").count().where(F.col("count") > CELL_NODES).select(
         "grp", "tree", "leaf", F.ceil(F.col("count") / CELL_NODES).cast("int").alias("cuts")), "crowded")
     cells = forest.join(crowded, ["grp", "tree", "leaf"], "left").withColumn(
-        "cell", F.pmod(F.xxhash64("node", "tree"), F.coalesce("cuts", F.lit(1))).cast("int")).select(*keys, "node", "vector")
+        "cell", F.pmod(F.xxhash64("node", F.col("tree") + seed * trees), F.coalesce("cuts", F.lit(1))).cast("int")).select(*keys, "node", "own", "vector")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_groups(frames, keys):
             at = bounds(frame, keys)
-            ids = frame["node"].to_numpy()
+            ids, own = frame["node"].to_numpy(), frame["own"].to_numpy()
             for start, end in zip(at, at[1:]):
                 if end - start > 1:
-                    yield _best(ids[start:end], _unit(frame["vector"].iloc[start:end]), k)
+                    yield _compared(ids[start:end], own[start:end], _unit(frame["vector"].iloc[start:end]), k, threshold)
 
-    return cells.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long, cosine double")
+    return cells.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, PAIRS)
 
 
-def _best(ids: np.ndarray, unit: np.ndarray, k: int) -> pd.DataFrame:
-    cosines = unit @ unit.T
-    np.fill_diagonal(cosines, -2)
+def _best(ids: np.ndarray, cosines: np.ndarray, k: int, outside: bool) -> pd.DataFrame:
+    """The best ``k`` of each row; pairs that don't count have cosine -2."""
     k = min(k, len(ids) - 1)
     best = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-    return pd.DataFrame({"a": np.repeat(ids, k), "b": ids[best.ravel()], "cosine": np.take_along_axis(cosines, best, 1).ravel()})
+    found = np.take_along_axis(cosines, best, 1).ravel()
+    counts = found > -2
+    return pd.DataFrame({"a": np.repeat(ids, k)[counts], "b": ids[best.ravel()][counts], "cosine": found[counts], "outside": outside, "link": False})
+
+
+def _spanned(linked: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix, the smallest row that its links lead to."""
+    reach = linked | np.eye(len(linked), dtype=bool)
+    low = reach.argmax(axis=1)
+    while True:
+        lower = np.where(reach, low[None, :], len(low)).min(axis=1)
+        lower = lower[lower]
+        if (lower == low).all():
+            return low
+        low = lower
+
+
+def _compared(ids: np.ndarray, own: np.ndarray, unit: np.ndarray, k: int, threshold: float) -> pd.DataFrame:
+    """PAIRS of all nodes given: the best ``k`` per node in and outside its component, and what links connect."""
+    cosines = unit @ unit.T
+    linked = cosines >= threshold
+    linked |= linked.T
+    np.fill_diagonal(cosines, -2)
+    same = own[:, None] == own[None, :]
+    parts = [_best(ids, np.where(same, -2, cosines), k, True), _best(ids, np.where(same, cosines, -2), k, False)]
+    if linked.sum() > len(ids):
+        low = _spanned(linked)
+        joined = low != np.arange(len(ids))
+        parts.append(pd.DataFrame({"a": ids[joined], "b": ids[low[joined]], "cosine": 1.0, "outside": False, "link": True}))
+    return pd.concat(parts, ignore_index=True)
 
 
 def _lists(neighbours: DataFrame, k: int) -> DataFrame:
-    """The best ``k`` neighbours of each node, of both directions."""
-    directions = F.array(F.struct("a", "b", "cosine"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))
-    both = neighbours.select(F.inline(directions)).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
-    best = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
-    return store(both.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).drop("place"), "lists")
+    """The best ``k`` neighbours of each node in and outside its component, of both directions."""
+    directions = F.array(F.struct("a", "b", "cosine", "outside"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "cosine", "outside"))
+    both = neighbours.select(F.inline(directions)).groupBy("a", "b", "outside").agg(F.max("cosine").alias("cosine"))
+    best = Window.partitionBy("a", "outside").orderBy(F.desc("cosine"), "b")
+    return store(both.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k).select("a", "b", "cosine", "outside"), "lists")
 
 
-def _descend(lists: DataFrame, nodes: DataFrame, k: int, found: int = 3) -> DataFrame:
-    """One round: neighbours of a node are joined with each other, the best ``found`` of each are kept."""
-    ends = lists.join(nodes.select(F.col("node").alias("b"), "vector"), "b")
-    joined = ends.groupBy("a").agg(F.collect_list(F.struct("b", "vector")).alias("near"))  # k at most
+def _descend(lists: DataFrame, nodes: DataFrame, k: int, threshold: float, found: int = 3) -> tuple[DataFrame, DataFrame]:
+    """One round: neighbours of a node are joined with each other; the lists with the best ``found`` of each, and links."""
+    ends = lists.join(nodes.select(F.col("node").alias("b"), "own", "vector"), "b")
+    joined = ends.groupBy("a").agg(F.collect_list(F.struct("b", "own", "vector")).alias("near"))  # 2k at most
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            parts = [_best(np.array([x["b"] for x in near]), _unit(pd.Series([x["vector"] for x in near])), found)
+            parts = [_compared(np.array([x["b"] for x in near]), np.array([x["own"] for x in near]), _unit(pd.Series([x["vector"] for x in near])), found, threshold)
                      for near in frame["near"] if len(near) > 1]
             if parts:
                 yield pd.concat(parts, ignore_index=True)
 
-    return _lists(lists.union(joined.select("near").mapInPandas(run, "a long, b long, cosine double")), k)
+    pairs = store(joined.select("near").mapInPandas(run, PAIRS).distinct(), "pairs")
+    return _lists(lists.union(pairs.where("NOT link").select(*lists.columns)), k), _links(pairs)
+
+
+def _links(pairs: DataFrame) -> DataFrame:
+    return pairs.where("link").select("a", "b")
+
+
+def _pass(nodes: DataFrame, components: DataFrame | None, lists: DataFrame | None, seed: int, trees: int, rounds: int, k: int,
+          threshold: float) -> tuple[DataFrame, list[DataFrame]]:
+    """Lists and links after one more forest and its rounds; nodes of one component (own) count as known to each other."""
+    if components is None:
+        marked = nodes.select("grp", "node", "vector", F.col("node").alias("own"))
+    else:
+        marked = store(nodes.join(components, "node", "left").select("grp", "node", "vector", F.coalesce("component", "node").alias("own")), "marked")
+    pairs = store(_first_neighbours(marked, seed, trees, k, threshold), "pairs")
+    seen, links = pairs.where("NOT link").select("a", "b", "cosine", "outside"), [_links(pairs)]
+    if lists is not None:
+        of_a, of_b = (marked.select(F.col("node").alias(x), F.col("own").alias(f"own_{x}")) for x in "ab")
+        seen = seen.union(lists.join(of_a, "a").join(of_b, "b").select("a", "b", "cosine", F.col("own_a") != F.col("own_b")))
+    lists = _lists(seen, k)
+    for _ in range(rounds):
+        lists, found = _descend(lists, marked, k, threshold)
+        links.append(found)
+    return lists, links
 
 
 def _audit(nodes: DataFrame, threshold: float, queries: int) -> DataFrame:
@@ -144,6 +201,12 @@ def _recall(truth: DataFrame, components: DataFrame) -> float:
     return r["met"] / r["n"] if r["n"] else 1.0
 
 
+def _parts(components: DataFrame) -> tuple[int, int]:
+    """Nodes that have links, and components; as links are only added, both stay equal only if nothing was joined."""
+    r = components.agg(F.count("*").alias("nodes"), F.count_distinct("component").alias("parts")).first()
+    return r["nodes"], r["parts"]
+
+
 def _links_inside(nodes: DataFrame, components: DataFrame, threshold: float) -> DataFrame:
     """node, linked: rows of other nodes that each node of a component is linked with, by blocks of the component."""
     sizes = store(components.groupBy("component").count(), "sizes")
@@ -186,7 +249,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 10, tr
     vectors that are null, empty, zero or hold null or non-finite numbers, are linked with nothing, nor are vectors of
     different length. Repeated rows are vectors like any other: equal ones are linked. component_id is the smallest
     vec_id reachable, itself included; rows without vec_id never name a component and aren't kept. Other columns are
-    ignored; an empty table gives an empty result. Raises RecallError if ``forests`` forests miss the target.
+    ignored; an empty table gives an empty result. Passes go on, without a bound, while they join components. Raises
+    RecallError if ``forests`` forests or more miss the target.
     """
     rows = small_batches(vectors).select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"), "label")
     rows = rows.withColumn("grp", F.when(_valid("vector", "label"), F.concat_ws("/", F.size("vector").cast("string"), F.col("label").cast("string"))))
@@ -194,19 +258,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 10, tr
     nodes = store(sound.groupBy("grp", "vector").agg(F.count("*").alias("size"), F.min("vec_id").alias("first")).select(
         F.monotonically_increasing_id().alias("node"), "*"), "nodes")
     truth = _audit(nodes, threshold, queries)
-    lists = components = None
-    for forest in range(forests):
-        seen = _first_neighbours(nodes, forest, trees, k)
-        lists = _lists(seen if lists is None else lists.union(seen), k)
-        for _ in range(rounds):
-            lists = _descend(lists, nodes, k)
-        links = lists.where(F.col("cosine") >= threshold).select("a", "b")
-        components = connected_components(links)
+    lists = components = links = None
+    number, recall, joined = 0, 0.0, True
+    while joined or recall < target_recall:
+        if number >= forests and recall < target_recall:
+            raise RecallError(f"recall {recall:.3f} after {number} forests")
+        short = number > 0 and recall < target_recall
+        k, rounds = (2 * k, rounds + 1) if short else (k, rounds)
+        lists, found = _pass(nodes, components, lists, number, trees, rounds, k, threshold)
+        for part in found:
+            links = part if links is None else links.union(part)
+        before = components
+        components = store(connected_components(links), "components")
+        joined = before is None or _parts(components) != _parts(before)
         recall = _recall(truth, components)
-        if recall >= target_recall:
-            break
-    else:
-        raise RecallError(f"recall {recall:.3f} after {forests} forests")
+        links = components.select(F.col("node").alias("a"), F.col("component").alias("b"))  # connects what the links do
+        number += 1
     components = store(connected_components(links.union(truth)), "components")
     linked = store(_links_inside(nodes, components, threshold), "linked")
     named = store(nodes.join(components, "node", "left").select(

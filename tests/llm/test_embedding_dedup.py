@@ -74,3 +74,29 @@ def test_whole_table(spark, folder):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     got = QUERIES["op2_embedding_dedup"](spark, folder).collect()
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(rows)
+
+
+def bridged(seed=5, dim=64, size=15):
+    """Two dense groups of ``size``, one to ten links between them, none among the ten best of either end."""
+    rng = np.random.default_rng(seed)
+    first, other = np.linalg.qr(rng.standard_normal((dim, 2)))[0].T
+    noise = rng.standard_normal((2 * size, dim)) * 0.017
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    for angle in np.arange(0.55, 0.2, -0.0005):
+        centres = np.array([first] * size + [first * np.cos(angle) + other * np.sin(angle)] * size)
+        made = unit((centres + noise).astype(np.float32).astype(float))
+        cosines = made @ made.T
+        cross = int((cosines[:size, size:] >= 0.9301).sum())
+        if cross:
+            break
+    np.fill_diagonal(cosines, -2)
+    assert cross <= 10 and cosines[:size, size:].max() < np.sort(cosines[:size, :size], axis=1)[:, -10:].min()
+    return (centres + noise).astype(np.float32).tolist()
+
+
+def test_links_that_no_list_of_the_best_holds(spark):
+    rng = np.random.default_rng(6)
+    rows = [(n, v, 1) for n, v in enumerate(bridged())] + [(100 + n, rng.standard_normal(64).astype(np.float32).tolist(), 1) for n in range(300)]
+    got = ed.near_duplicates(spark_rows(spark, rows), queries=5).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(rows)
+    assert {r.component_id for r in got if r.vec_id < 100} == {0}
