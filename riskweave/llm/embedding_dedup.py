@@ -195,10 +195,13 @@ def _audit(nodes: DataFrame, threshold: float, queries: int) -> DataFrame:
 
 
 def _recall(truth: DataFrame, components: DataFrame) -> float:
+    """Share of links met per audited node: the mean over nodes or, if lower, over components, so that none outweighs the others."""
     of_a, of_b = (components.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
-    r = truth.join(of_a, "a", "left").join(of_b, "b", "left").agg(
-        F.count("*").alias("n"), F.count_if(F.col("of_a") == F.col("of_b")).alias("met")).first()
-    return r["met"] / r["n"] if r["n"] else 1.0
+    nodes = truth.join(of_a, "a", "left").join(of_b, "b", "left").groupBy("a", F.coalesce("of_a", "a").alias("own")).agg(
+        (F.count_if(F.col("of_a") == F.col("of_b")) / F.count("*")).alias("met"))
+    r = nodes.groupBy("own").agg(F.sum("met").alias("met"), F.count("*").alias("n")).agg(
+        F.sum("n").alias("n"), (F.sum("met") / F.sum("n")).alias("by_node"), F.avg(F.col("met") / F.col("n")).alias("by_component")).first()
+    return min(r["by_node"], r["by_component"]) if r["n"] else 1.0
 
 
 def _parts(components: DataFrame) -> tuple[int, int]:
@@ -274,7 +277,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, k: int = 10, tr
         recall = _recall(truth, components)
         links = components.select(F.col("node").alias("a"), F.col("component").alias("b"))  # connects what the links do
         number += 1
-    components = store(connected_components(links.union(truth)), "components")
     linked = store(_links_inside(nodes, components, threshold), "linked")
     named = store(nodes.join(components, "node", "left").select(
         "node", "grp", "vector", "size", "first", F.coalesce("component", "node").alias("component")), "named")

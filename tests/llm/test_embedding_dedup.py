@@ -100,3 +100,19 @@ def test_links_that_no_list_of_the_best_holds(spark):
     got = ed.near_duplicates(spark_rows(spark, rows), queries=5).collect()
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(rows)
     assert {r.component_id for r in got if r.vec_id < 100} == {0}
+
+
+def test_the_answer_does_not_come_from_the_audit(spark, monkeypatch):
+    rows = made(7, 900)
+    got = ed.near_duplicates(spark_rows(spark, rows), queries=40).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == brute(rows)
+    audit = ed._audit  # links that aren't there: measured as missed, never taken over
+    monkeypatch.setattr(ed, "_audit", lambda nodes, *a: audit(nodes, *a).union(spark.createDataFrame([(-1, -2)], "a long, b long")))
+    again = ed.near_duplicates(spark_rows(spark, rows), queries=40, target_recall=0.0).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, got), key=str)
+
+
+def test_recall_counts_isolated_pairs_and_hot_groups_alike(spark):
+    truth = spark.createDataFrame([(a, b) for a in range(50) for b in range(50) if a != b] + [(100, 101), (102, 103)], "a long, b long")
+    found = spark.createDataFrame([(n, 0) for n in range(50)] + [(100, 100), (101, 100)], "node long, component long")
+    assert abs(ed._recall(truth, found) - 2 / 3) < 1e-9
