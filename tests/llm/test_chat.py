@@ -88,3 +88,20 @@ def test_held_out_accuracy(spark, folder):
     assert all(r.role == true[r.conv_id, r.turn] for r in got if not r.held_out)
     held = [r for r in got if r.held_out]
     assert sum(r.role == true[r.conv_id, r.turn] for r in held) / len(held) > 0.95
+
+
+def test_the_query_never_sees_the_role_it_recovers(spark, tmp_path):
+    rows = [(conv, turn, role, "long answer\n" * 20 if role == "assistant" else "short?") for conv in range(60) for turn, role in enumerate(["user", "assistant"] * 2)]
+    rows += [(100, 0, "assistant", "short?"), (100, 1, "user", "long answer\n" * 20)] + [(None, 0, "assistant", "short?")]  # wrong on purpose
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = QUERIES["op3_chat_format"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and all(r.held_out for r in got)
+    assert all(r.role == ("assistant" if "long" in r.rendered else "user") for r in got)
+
+
+def test_every_line_of_a_transcript_is_an_observation(spark, model):
+    texts = [(1, "short?\nlong answer\nlong answer\n\nshort?\nlong answer", "x"), (2, "User: hi\nhow are you?\nAI: fine\nok", "x"), (None, "short?", "x"), (3, None, "x"), (4, " \n", "x")]
+    got = chat.parse_transcripts(spark.createDataFrame(texts, "conv_id long, text string, role string"), model)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        (1, 0, "user", "short?"), (1, 1, "assistant", "long answer\nlong answer"), (1, 2, "user", "short?"), (1, 3, "assistant", "long answer"),
+        (2, 0, "user", "hi\nhow are you?"), (2, 1, "assistant", "fine\nok"), (None, 0, "user", "short?")], key=str)
