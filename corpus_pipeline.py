@@ -18,7 +18,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; lang becomes the recognised one. Texts without letters and narrow margins go."""
-    found = langid.identify(docs.select(*COLUMNS), langid.learn(docs)).where(~F.col("lang_rejected"))
+    learned = langid.learn(docs)
+    found = langid.identify(docs.select(*COLUMNS), learned, langid.learned_margin(learned)).where(~F.col("lang_rejected"))
     return found.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 

@@ -2,7 +2,8 @@
 
 One zstandard raw-content dictionary per language is filled with text of that language. Texts are reduced to lower-case
 words, cut into blocks, and every block is compressed with every dictionary; the language with the smallest sum is
-chosen. A text is rejected when the runner-up is closer than a margin, or when there is no letter to judge.
+chosen. A text is rejected when the runner-up is closer than a margin, or when there is no letter to judge. The margin
+comes from excerpts of known language, judged by dictionaries that don't hold them.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 import zstandard
@@ -25,6 +27,8 @@ BLOCK_BYTES = 2048
 LEVEL = 6
 #: More values of lang than this are an error: they are no languages.
 MAX_LANGUAGES = 1000
+#: Margin where none was learned, share of the clean texts' margin that is learned, and excerpts it is learned from.
+DEFAULT_MARGIN, MARGIN_SHARE, MARGIN_EXCERPTS = 0.001, 0.5, 20_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -87,6 +91,28 @@ class Classifier:
         return self.languages[order[0]], margin
 
 
+def learned_margin(dictionaries: dict[str, bytes], share: float = MARGIN_SHARE) -> float:
+    """The margin below which texts are rejected, from the excerpts that ``dictionaries`` consist of.
+
+    Each half of the excerpts is judged by dictionaries of the other half; ``share`` of the margin that all but one in a
+    hundred of the rightly judged ones reach is taken. At most MARGIN_EXCERPTS excerpts in all, evenly of each language,
+    are judged. With fewer than two languages there is no runner-up, and DEFAULT_MARGIN holds.
+    """
+    parts = {lang: [e for e in content.split(b"\n") if e] for lang, content in dictionaries.items()}
+    margins = []
+    for half in (0, 1):
+        others = {lang: b"\n".join(own[1 - half::2]) for lang, own in parts.items() if own[1 - half::2]}
+        if len(others) < 2:
+            continue
+        judge = Classifier(others)
+        for lang in others:
+            for excerpt in parts[lang][half::2][:max(1, MARGIN_EXCERPTS // (2 * len(others)))]:
+                found, margin = judge.classify(excerpt.decode())
+                if found == lang:
+                    margins.append(margin)
+    return max(DEFAULT_MARGIN, share * float(np.quantile(margins, 0.01))) if margins else DEFAULT_MARGIN
+
+
 @lru_cache(2)
 def _classifier(frozen: tuple) -> Classifier:
     return Classifier(dict(frozen))
@@ -96,7 +122,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
     """All columns of ``docs`` and lang_pred, lang_score (the margin), lang_rejected.
 
     lang_pred is ``und`` for null texts and texts without a letter, and when nothing was learned; these are rejected,
-    as are texts whose margin is below ``min_margin``. Only the text is looked at, whole. Columns of ``docs`` that
+    as are texts whose margin is below ``min_margin`` (see learned_margin). Only the text is looked at, whole. Columns of ``docs`` that
     have these three names are replaced. Rows are independent: null ids, repeated rows and empty tables pass through.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(dictionaries.items()))

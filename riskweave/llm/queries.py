@@ -75,7 +75,8 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    found = langid.identify(docs, langid.learn(docs))
+    learned = langid.learn(docs)
+    found = langid.identify(docs, learned, langid.learned_margin(learned))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred",
                         F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
 

@@ -37,3 +37,21 @@ def test_nulls_ties_long_texts_and_clashing_columns(spark):
     assert found[6, "q"] == ("aa", True) and got.count() == len(rows)  # equally large: narrow, first by name
     assert langid.learn(docs.limit(0)) == {} and langid.identify(docs.limit(0), learned).count() == 0
     assert langid.identify(docs, {}).where("lang_pred <> 'und'").count() == 0
+
+
+def test_junk_and_unlearned_languages_are_rejected(spark, folder):
+    import random
+    rng = random.Random(1)
+    junk = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(5, 300))) for _ in range(50)]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    learned = langid.learn(docs)
+    margin = langid.learned_margin(learned)
+    assert margin > 0.02
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(junk)], "doc_id long, text string")
+    assert langid.identify(rows, learned, margin).where("NOT lang_rejected").count() <= 1
+    without = {lang: text for lang, text in learned.items() if lang != "es"}
+    spanish = langid.identify(docs.where("lang = 'es'"), without, langid.learned_margin(without))
+    assert spanish.where("NOT lang_rejected").count() <= 0.1 * spanish.count()
+    found = QUERIES["op9_language_id"](spark, folder).join(docs, "doc_id")
+    assert found.where("lang_pred = lang AND rejected AND length(text) > 200").count() == 0
+    assert langid.learned_margin({}) == langid.learned_margin({"aa": b"alpha"}) == langid.DEFAULT_MARGIN
