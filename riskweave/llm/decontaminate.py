@@ -1,6 +1,6 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH over item-sized windows, exact edit verification.
 
-Texts are sequences of words. A document holds an item when some stretch of it is within ``max_edit_share`` of the
+Texts are sequences of words; scripts without spaces give a word per character. A document holds an item when some stretch of it is within ``max_edit_share`` of the
 item's length in word edits. Items of about the same length form a class; at every word of a document starts one
 window per class.
 
@@ -10,6 +10,8 @@ window per class.
    become small Hamming distances between walks. Each table samples a few steps of a walk as a key; windows and items
    that share a key are candidates. Tables are added until randomly edited items are found again at the target rate.
 3. Every candidate is verified by the edit distance between the item and the best stretch around the window.
+
+Items of fewer than five words allow no edit; they are looked up exactly, at every word of a document.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +34,7 @@ from riskweave.llm.scratch import small_batches, store
 KEY_STEPS, KEYS_PER_WALK, MAX_WALKS = 2, 8, 24
 #: Lengths of the items of a class differ by this factor at most.
 CLASS_FACTOR = 1.12
-#: Items with fewer words only match documents that have no other words.
+#: Items with fewer words are in no class but looked up exactly.
 MIN_WORDS = 5
 #: Words looked at together.
 CHUNK_WORDS = 500_000
@@ -41,9 +44,17 @@ _ASCII_BREAKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: White space and punctuation beyond ASCII, the zero-width space, and characters of scripts without spaces.
+_BREAKS = regex.compile(r"[\p{P}\p{Z}\x85\u200b]")
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}\u30fc]\p{M}*")
+
+
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-case words between ASCII white space and punctuation."""
-    return (text or "").lower().encode("utf-8", "surrogatepass").translate(_ASCII_BREAKS).split()
+    """Lower-case words between white space and punctuation; each character of a script without spaces is a word."""
+    text = (text or "").lower()
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \g<0> ", _BREAKS.sub(" ", text))
+    return text.encode("utf-8", "surrogatepass").translate(_ASCII_BREAKS).split()
 
 
 def allowed_edits(n_words: int, share: float) -> int:
@@ -98,8 +109,9 @@ class LengthClass:
 class Finder:
     """Tables for one block of items: words and the ids that share them."""
 
-    def __init__(self, items: dict[tuple[bytes, ...], list[int | None]], share: float, target: float):
+    def __init__(self, items: dict[tuple[bytes, ...], list[int | None]], share: float, target: float, short_inside: bool = False):
         self.share = share
+        self.short_inside = short_inside
         self.ids = list(items.values())
         texts = list(items)
         self.code: dict[bytes, int] = {}
@@ -108,6 +120,8 @@ class Finder:
                 self.code.setdefault(word, len(self.code) + 1)
         self.items = [np.array([self.code[w] for w in text], np.int64) for text in texts]
         self.short = {text: n for n, text in enumerate(texts) if len(text) < MIN_WORDS}
+        self.short_sizes = sorted({len(text) for text in self.short})
+        self.short_heads = {text[0] for text in self.short}
         self.allowed = np.array([allowed_edits(len(t), share) for t in texts], np.int64)
         self.lengths = lengths = np.array([len(t) for t in texts], np.int64)
         self.classes: list[LengthClass] = []
@@ -178,7 +192,9 @@ class Finder:
         size = 0
         for n, text in enumerate(texts):
             words = words_of(text)
-            if self.short and len(words) < MIN_WORDS and tuple(words) in self.short:
+            if self.short and self.short_inside:
+                found[n] += self._short_inside(words)
+            elif self.short and len(words) < MIN_WORDS and tuple(words) in self.short:
                 found[n].append((self.short[tuple(words)], 0, len(words)))
             if not self.classes or not words:
                 continue
@@ -193,6 +209,17 @@ class Finder:
             self._search(held, owners, found)
         return found
 
+    def _short_inside(self, words: list[bytes]) -> list[tuple[int, int, int]]:
+        """The short items among the words of a text, each where it ends first."""
+        ends: dict[int, int] = {}
+        for at, word in enumerate(words):
+            if word in self.short_heads:
+                for size in self.short_sizes:
+                    item = self.short.get(tuple(words[at: at + size]))
+                    if item is not None and at + size <= len(words):
+                        ends.setdefault(item, at + size)
+        return [(item, 0, end) for item, end in ends.items()]
+
     def _search(self, held: list[np.ndarray], owners: list[int], found: list[list[tuple[int, int, int]]]) -> None:
         codes = np.concatenate([np.zeros(self.gap, np.int64), *held])
         firsts = self.gap + np.concatenate([[0], np.cumsum([len(h) for h in held])[1:-1:2]]).astype(np.int64)
@@ -268,7 +295,7 @@ class Finder:
         return result, windows - own.edits + ends
 
 
-def _finders(benchmark: DataFrame, share: float, target: float) -> Iterator[tuple[Finder, bool]]:
+def _finders(benchmark: DataFrame, share: float, target: float, short_inside: bool) -> Iterator[tuple[Finder, bool]]:
     """One block of items after the other, and whether it is the last; the driver and the workers hold one at a time."""
     texts = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(F.col("text").isNotNull())
     blocks = max(1, -(-texts.count() // BLOCK_ITEMS))
@@ -277,7 +304,7 @@ def _finders(benchmark: DataFrame, share: float, target: float) -> Iterator[tupl
         for row in texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect():
             if words := tuple(words_of(row["text"])):
                 items.setdefault(words, []).append(row["item_id"])
-        yield Finder(items, share, target), block == blocks - 1
+        yield Finder(items, share, target, short_inside), block == blocks - 1
 
 
 def _search(shared: Broadcast):
@@ -293,16 +320,17 @@ def _search(shared: Broadcast):
     return search.asNondeterministic()
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float = 0.2, target_recall: float = 0.97) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float = 0.2, target_recall: float = 0.97,
+                 short_inside: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text) and item of ``benchmark`` (item_id, text) that it holds.
 
     Columns doc_id, item_id, edits, n_words (of the item), similarity (1 - edits / n_words), end_word (words of
     the document up to the end of the best stretch). Null and wordless texts hold nothing; null and wordless items are in nothing. Items with the same
-    words are reported each; repeated documents are reported each. Items with fewer than five words match only
-    documents that have just these words. Other columns are ignored; empty tables give an empty result.
+    words are reported each; repeated documents are reported each. Items with fewer than five words match
+    wherever a document has just these words in a row, if ``short_inside``; else only documents without other words. Other columns are ignored; empty tables give an empty result.
     """
     parts = []
-    for finder, last in _finders(benchmark, max_edit_share, target_recall):
+    for finder, last in _finders(benchmark, max_edit_share, target_recall, short_inside):
         shared = docs.sparkSession.sparkContext.broadcast(finder)
         found = small_batches(docs).select(F.col("doc_id").cast("long"), F.explode(_search(shared)(F.col("text").cast("string"))).alias("of")).select(
             "doc_id", "of.item_id", "of.edits", "of.n_words", (1 - F.col("of.edits") / F.col("of.n_words")).alias("similarity"), "of.end_word")
@@ -312,10 +340,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float =
     return reduce(DataFrame.union, parts)
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float = 0.2, target_recall: float = 0.97) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no item of ``benchmark``."""
+def decontaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float = 0.2, target_recall: float = 0.97,
+                   short_inside: bool = False) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no item of ``benchmark``; ``short_inside`` as in contaminated."""
     name = "_found" + "_" * sum(c.startswith("_found") for c in docs.columns)
-    for finder, last in _finders(benchmark, max_edit_share, target_recall):
+    for finder, last in _finders(benchmark, max_edit_share, target_recall, short_inside):
         shared = docs.sparkSession.sparkContext.broadcast(finder)
         docs = small_batches(docs).withColumn(name, _search(shared)(F.col("text").cast("string"))).where(F.size(f"`{name}`") == 0).drop(name)
         if not last:

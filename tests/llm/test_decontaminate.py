@@ -101,3 +101,17 @@ def test_whole_table(spark, folder):
     space = lambda t: b" " + b" ".join(dc.words_of(t)) + b" "
     exact = {(d.doc_id, i.item_id) for d in docs for i in items if space(i.text) in space(d.text)}
     assert exact and got == exact  # the table holds passages unchanged
+
+
+def test_short_items_unspaced_scripts_and_unicode_punctuation(spark, tmp_path):
+    zh = "人工智能正在改变我们的生活方式和工作方式"
+    th = "ภาษาไทยไม่มีช่องว่างระหว่างคำ"
+    items = [(1, "capital of France"), (2, zh), (3, "one two three four five six"), (4, "Paris"), (5, "東京"), (6, th), (7, "w w")]
+    docs = [(10, "what is the Capital of France?"), (11, f"他说：“{zh}。”然后离开了"), (12, "“one two three”—four five… six"), (13, "in Paris, paris"), (14, "私は東京へ行く"),
+            (15, f"ดู{th}นะ"), (16, "capital of the France"), (17, zh[:9] + "X" + zh[10:]), (18, "w"), (19, None), (20, "京東")]
+    for name, rows, schema in (("documents", docs, "doc_id long, text string"), ("benchmark", items, "item_id long, text string")):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = QUERIES["op7_decontaminate"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.item_id, r.edits) for r in found} == {(10, 1, 0), (11, 2, 0), (12, 3, 0), (13, 4, 0), (14, 5, 0), (15, 6, 0), (17, 2, 1)}
+    assert len(found) == 7 and {r.end_word for r in found if r.doc_id in (10, 13)} == {6, 2}
+    assert dc.words_of("Don't “stop”—now") == [b"don", b"t", b"stop", b"now"]
