@@ -2,8 +2,8 @@
 
 A page is cut into blocks of text, each at the end of a path of block elements from the root. Per path, the length of
 the text, its punctuation and its share outside links are summed up and divided by the blocks there. Both ratios are
-smoothed over neighbouring blocks in page order and fused; blocks over a threshold are the core, and the smallest
-container that holds nearly all of the core's text is the article. Its blocks are the main text, short ones too, but
+smoothed over neighbouring blocks in page order and fused; blocks over a threshold are the core. A marked article that
+holds nearly all of the core's text is the article, else the smallest container of all core blocks. Its blocks are the main text, short ones too, but
 for parts that say themselves what they are (menus, forms, adverts, comments and the like).
 """
 
@@ -42,7 +42,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: What implied end tags don't reach beyond.
 SCOPE = frozenset("table ul ol dl article section div main body html blockquote".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？]")
-#: Share of the best fused ratio that makes a block core, and of the core's text that the article holds.
+#: Share of the usual fused ratio of prose that makes a block core, and of the core's text that a marked article holds.
 CORE_SHARE, HELD_SHARE = 0.2, 0.9
 
 
@@ -180,21 +180,24 @@ def main_text(page: str | None) -> str:
     fused = smooth[:, 0] * (1 + smooth[:, 1])
     if fused.max() <= 0:
         return ""
-    core = [b for b, high in zip(own, fused >= CORE_SHARE * fused.max()) if high]
+    # the median of prose, so that one long block doesn't hide the others
+    prose = [f for b, f in zip(own, fused) if 2 * b.linked < len(b.text) and PUNCTUATION.search(b.text)]
+    usual = np.median(prose) if prose else fused.max()
+    core = [b for b, high in zip(own, fused >= CORE_SHARE * usual) if high]
     held = [0] * len(parents)
     for block in core:
         held[block.element] += len(block.text)
     for element in range(len(parents) - 1, 0, -1):  # children have higher numbers than their parents
         held[parents[element]] += held[element]
     leaves = {b.element for b in own}
-    enough = HELD_SHARE * held[0]
-    # the deepest element with enough of the core: going down, at most one child has it. A paragraph alone is no
-    # container, its parent holds it with its headings; a marked article is one as a whole
-    article = 0
-    for element in range(1, len(parents)):
-        if parents[element] == article and held[element] >= enough and element not in leaves:
-            article = element
-    article = articles[article] or article
+    # a marked article is one as a whole; else the deepest element with all of the core: going down, at most one child
+    # has it. A paragraph alone is no container, its parent holds it with its headings
+    article = next((e for e in range(1, len(parents)) if articles[e] == e and held[e] >= HELD_SHARE * held[0]), 0)
+    if not article:
+        for element in range(1, len(parents)):
+            if parents[element] == article and held[element] == held[0] and element not in leaves:
+                article = element
+        article = articles[article] or article
     inside = [article == 0] * len(parents)
     for element in range(1, len(parents)):
         inside[element] = element == article or inside[parents[element]]

@@ -59,3 +59,14 @@ def test_whole_table(spark, folder):
         inside = re.search(r"<article>(.*?)(</article>|\Z)", p.html, re.S)[1]
         want = " ".join(html.unescape(re.sub(r"<(br|/?p|/?h1)>", " ", re.sub(r"</?b>", "", inside))).split())
         assert got[p.page_id].text == want and got[p.page_id].n_chars == len(want)
+
+
+@pytest.mark.parametrize("name", ["lead", "closing", "long block"])
+def test_pages_without_a_marked_article_are_whole(name):
+    page, text = {
+        "lead": (f"<div id=content><p>{P}</p><div class=body>{f'<p>{P}</p>' * 20}</div></div>", P * 21),
+        "closing": (f"<div id=content><div class=body>{f'<p>{P}</p>' * 20}</div><ul><li>one<li>two</ul><div class=end><p>{P}</p></div></div>", f"{P * 20}one two {P}"),
+        "long block": (f"<div class=x><div class=one><p>{P}</p><p>{P}</p><p>{P}</p></div><div class=two><blockquote>{P * 300}</blockquote></div></div>", P * 303),
+    }[name]
+    nav = f"<div class=nav><a href=x>{P}</a></div>"
+    assert main_text(nav + page) == text.strip()
