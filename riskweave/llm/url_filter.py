@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Between tokens.
+BREAKS = r"[./]"
 #: Rules in one hash table; more rules make more tables, all looked up in the same pass.
 TABLE_RULES = 2_000
 
@@ -35,7 +37,8 @@ class Rule:
 def path_rule(verdict: str, name: str) -> Rule:
     """``host/path``: fits the host and its subdomains where the path starts so. The longer name wins."""
     host, slash, path = name.partition("/")
-    whole = path.split("/")[:-1]  # the last part may go on in the URL
+    host = host.translate(str.maketrans(UPPER, LOWER))  # as host_of
+    whole = re.split(BREAKS, path)[:-1]  # the last part may go on in the URL
     return Rule(name, verdict, rf"(?s)^([^/]*\.)?{re.escape(host)}/{re.escape(path)}" if slash else rf"(?s)^([^/]*\.)?{re.escape(host)}(/|$)",
                 tuple(t for t in (*host.split("."), *whole) if t), len(name), True)
 
@@ -58,7 +61,7 @@ def path_of(url: Column) -> Column:
 
 def tokens_of(key: Column) -> Column:
     """Different parts between dots and slashes of host and path."""
-    return F.array_distinct(F.split(key, r"[./]"))
+    return F.array_distinct(F.split(key, BREAKS))
 
 
 def count_tokens(keys: DataFrame, rules: list[Rule]) -> dict[str, int]:
@@ -106,6 +109,8 @@ def judge(pages: DataFrame, rules: list[Rule], default: str = "allow", url: str
     """
     if not all(r.tokens for r in rules):
         raise ValueError("a rule needs a literal token to be filed under")
+    if any(re.search(BREAKS, t) for r in rules for t in r.tokens):
+        raise ValueError("no url has a token with a dot or slash")
     keys = pages.select(F.concat(host_of(F.col(f"`{url}`")), path_of(F.col(f"`{url}`"))).alias("key"))
     counts = count_tokens(keys, rules) if rules else {}
     names = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]

@@ -61,3 +61,12 @@ def test_empty_table_no_rules_and_rules_without_token(spark):
     assert uf.judge(spark.createDataFrame([(1, "x")], "page_id long, url string"), []).first().verdict == "allow"
     with pytest.raises(ValueError):
         uf.judge(empty, [uf.pattern("block", "x")])
+
+
+def test_rules_with_dots_in_their_path(spark):
+    rules = [uf.path_rule("block", "example.com/v1.2/"), uf.path_rule("block", "Example.net/a.b/c.html")]
+    urls = ["http://www.example.com/v1.2/x", "http://example.com/v1/2/x", "http://example.net/a.b/c.html?q", "http://example.net/a.b/c"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert [r.verdict for r in uf.judge(pages, rules).orderBy("page_id").collect()] == ["block", "allow", "block", "allow"]
+    with pytest.raises(ValueError):
+        uf.judge(pages, [uf.pattern("block", "v1", "v1.2")])
