@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm import bpe, chat, decontaminate, embedding_dedup, html_text, langid, simhash, token_counts, token_files, url_filter
+from riskweave.llm import (
+    bpe, chat, decontaminate, embedding_dedup, html_text, langid, manifest, packing, ranking, simhash, token_counts, token_files, url_filter)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -85,10 +86,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(ranking.build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering adds 1 to n_chars where 7 divides the checksum of the decimal doc_id."""
+    tampered = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 7 == 0
+    return manifest.document_manifest(_table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_embedding_dedup, op3_chat_format, op4_html_text, op5_token_counts, op6_bpe_round_trip, op7_decontaminate, op8_simhash_groups, op9_language_id,
-        op10_token_files)
+        op10_token_files, op11_lexical_search, op12_best_fit_packing, op13_merkle_manifest)
 }
 SQL: dict[str, str] = {"op1_url_filter": r"""
 WITH parts AS (
@@ -106,4 +121,23 @@ judged AS (
   FROM parts)
 SELECT page_id, host, path, rule, coalesce((SELECT max(decision) FROM rules WHERE name = rule),
   CASE WHEN regexp_matches('.' || host || path, '^[^/]*\.(spam-farm|cheap-pills)\.') THEN 'block' ELSE 'allow' END) AS verdict
-FROM judged"""}
+FROM judged""", "op11_lexical_search": r"""
+WITH postings AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents) GROUP BY ALL),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM postings GROUP BY doc_id),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths),
+norms AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM lengths, total),
+worth AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM postings, total GROUP BY term),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN worth USING (term) JOIN postings USING (term) JOIN norms USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS "rank", doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20"""}
