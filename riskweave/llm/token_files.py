@@ -8,28 +8,24 @@ Parquet table, gives file, offset and size of every record, so that readers can
 
 from __future__ import annotations
 
-import os
 import struct
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs
-import regex
 import zlib
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskweave.llm.bpe import forget_long
 from riskweave.llm.scratch import new_folder, small_batches
+from riskweave.llm.word_encoder import word_encoder
 
 HEADER, FOOTER = 12, 4
 #: Reflected polynomial of CRC-32C, and the mask of the record format (fixed values).
 POLYNOMIAL, MASK_DELTA = 0x82F63B78, 0xA282EAD8
-#: Chunks between white space remembered per Python worker, and the longest that is remembered. When there are too many,
-#: only those of SHORT_CHARS or fewer stay.
-CACHE_CHUNKS, KEPT_CHARS, SHORT_CHARS = 300_000, 48, 7
 INDEX = "doc_id long, file string, offset long, size long, n_tokens long, shard int, position long"
 
 
@@ -113,86 +109,12 @@ def unframe(records: list[bytes]) -> list[bytes]:
     return data
 
 
-# --- encoding ------------------------------------------------------------------------------------------------------
-class ChunkEncoder:
-    """The library's ids for whole texts, remembered per chunk between white space.
-
-    Only for vocabularies whose normaliser and splitter never look across white space (here: composed characters,
-    lower case, white space dropped) and part letters from a full stop or comma. Unknown chunks of a batch go to the
-    library as one text, parted by a marker that the library turns into one known id.
-    """
-
-    MARK = "~"
-    #: White space, or what Python takes for it, that the two sides may see differently, and marks and letters for
-    #: which lower case depends on what stands beside them, and what may start a special token: such texts go whole to
-    #: the library.
-    ODD = regex.compile(r"[\x1c-\x1f\x85\xa0\u0130\u0300-\u036f\u03a3\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]|<\|")
-    #: A full stop or comma that ends a chunk after a letter is a piece of its own.
-    STOP = regex.compile(r"(?<=\p{L})([.,])(?!\S)")
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.kind = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        mark = self.library.encode(self.MARK, add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else None
-        self.cache: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if self.MARK not in c] if self.mark is not None else []
-        for at in range(0, len(plain), 5000):
-            part = plain[at: at + 5000]
-            ids = self._whole(f" {self.MARK} ".join(part))
-            data, width = ids.tobytes(), self.kind.itemsize
-            ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
-            starts = [0, *[e + 1 for e in ends[:-1]]]
-            for chunk, start, end in zip(part, starts, ends, strict=True):
-                self.cache[chunk] = data[start * width: end * width]
-        for chunk in chunks:
-            if chunk not in self.cache:
-                self.cache[chunk] = self._whole(chunk).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, packed."""
-        split = [None if self.ODD.search(t) else self.STOP.sub(r" \1", t.lower()).split() for t in texts]
-        known = self.cache
-        seen = set().union(*[chunks for chunks in split if chunks is not None])
-        unknown = seen.difference(known)
-        if len(known) + len(unknown) > CACHE_CHUNKS:
-            forget_long(known, SHORT_CHARS, CACHE_CHUNKS // 2)
-            unknown = seen.difference(known)
-        long = {c for c in unknown if len(c) > KEPT_CHARS}
-        self._learn(sorted(unknown - long))
-        out = []
-        for text, chunks in zip(texts, split):
-            if chunks is None:
-                out.append(self._whole(text).tobytes())
-                continue
-            try:
-                out.append(b"".join(map(known.__getitem__, chunks)))
-            except KeyError:  # long chunks are not remembered
-                out.append(b"".join([known[c] if c in known else self._whole(c).tobytes() for c in chunks]))
-        return out
-
-
-@lru_cache(2)
-def chunk_encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
-
-
 # --- files ---------------------------------------------------------------------------------------------------------
 def _store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
-def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 1, batch: int = 256) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 1) -> DataFrame:
     """Encode ``docs`` (doc_id, text), write record files and an index below ``folder`` (a URI), return the index.
 
     Null and empty texts give a record that holds the end id alone. Rows are dealt out by ranges of doc_id and the
@@ -205,37 +127,37 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     ordered = (small_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
                .withColumn("place", F.xxhash64("text")).repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = chunk_encoder(vocabulary)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = word_encoder(vocabulary)
         end = np.array([end_id], own.kind).tobytes()
         context = TaskContext.get()
         shard, files, done = context.partitionId(), None, 0
         name = f"tokens-{shard:06d}.{own.kind.str[1:]}"
         trial = f"_{name}.{context.taskAttemptId()}"
         position = 0
-        for rows in frames:
+        for rows in batches:
             if files is None:
                 files, base = _store(folder)
                 files.create_dir(base, recursive=True)
                 out = files.open_output_stream(f"{base}/{trial}")
-            for at in range(0, len(rows), batch):
-                part = rows.iloc[at: at + batch]
-                sizes, offsets, counts = [], [], []
-                encoded = own.encode([t or "" for t in part["text"]])
-                for ids, record in zip(encoded, framed([ids + end for ids in encoded])):
-                    out.write(record)
-                    offsets.append(done)
-                    sizes.append(len(record))
-                    counts.append(len(ids) // own.kind.itemsize + 1)
-                    done += len(record)
-                yield pd.DataFrame({"doc_id": part["doc_id"], "file": name, "offset": offsets, "size": sizes, "n_tokens": counts,
-                                    "shard": shard, "position": range(position, position + len(part))})
-                position += len(part)
+            ids, borders = own.encode(rows.column("text"))
+            data, ends = ids.tobytes(), (borders * own.kind.itemsize).tolist()
+            sizes = []
+            for record in framed([data[a:b] + end for a, b in zip(ends, ends[1:])]):
+                out.write(record)
+                sizes.append(len(record))
+            n = len(sizes)
+            upto = np.cumsum(sizes, dtype=np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": rows.column("doc_id"), "file": pa.array([name] * n), "offset": done + upto - sizes, "size": pa.array(sizes, pa.int64()),
+                "n_tokens": np.diff(borders) + 1, "shard": pa.array([shard] * n, pa.int32()), "position": np.arange(position, position + n)})
+            done += int(upto[-1]) if n else 0
+            position += n
         if files is not None:
             out.close()
             files.move(f"{base}/{trial}", f"{base}/{name}")
 
-    ordered.select("doc_id", "text").mapInPandas(run, INDEX).write.parquet(f"{folder}/index")
+    ordered.select("doc_id", "text").mapInArrow(run, INDEX).write.parquet(f"{folder}/index")
     return read_index(spark, folder)
 
 

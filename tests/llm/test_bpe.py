@@ -89,20 +89,6 @@ def test_checksum_and_frames():
             token_files.unframe([bytes(broken)])
 
 
-def test_chunks_are_encoded_as_whole_texts_are():
-    own = token_files.ChunkEncoder(WORD_BPE)
-    extra = ["aB.,' 1", "ΣΑΣ İI e\u0301 A\u030a", "<|STARTOFTEXT|> <|startoftext|>x", "~ a~b ~", "x" * 200 + " y"]
-    for text, ids in zip(texts() + extra, own.encode(texts() + extra)):
-        assert np.frombuffer(ids, own.kind).tolist() == own.library.encode(text, add_special_tokens=False).ids
-
-
-def test_cleared_memory_changes_nothing(monkeypatch):
-    monkeypatch.setattr(token_files, "CACHE_CHUNKS", 3)
-    own = token_files.ChunkEncoder(WORD_BPE)
-    for text in ("a b c d e f", "a b", "g h a"):
-        assert np.frombuffer(own.encode([text])[0], own.kind).tolist() == own.library.encode(text, add_special_tokens=False).ids
-
-
 def test_files_hold_documents_in_order(spark, documents, tmp_path):
     rows = [(5, "five five"), (1, None), (3, ""), (3, ""), (None, "none"), (9, "nine " * 9000), (7, "seven")]
     index = token_files.write_token_files(documents(rows), f"file://{tmp_path}/t", WORD_BPE)
