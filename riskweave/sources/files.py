@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,31 +13,40 @@ from pyspark.sql import types as T
 from riskweave.operators.quality import nan_to_null, require_columns
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV source; reads the header line only."""
-    return spark.read.option("header", True).csv(path).columns
-
+def csv_headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files below ``path`` by the column names in their first line that isn't blank, whatever their number in one scan.
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, required: list[str] | None = None) -> DataFrame:
+    Empty files have no header and are left out. What reaches the driver is a row per distinct header with its files,
+    whose names the driver holds anyway once it reads them.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    # the part of a file that starts it lies in one task, in order
+    first = lines.where((F.col("start") == 0) & (F.trim("value") != "")).withColumn("n", F.monotonically_increasing_id()).groupBy(
+        "file").agg(F.min_by("value", "n").alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect():
+        names = tuple(next(csv.reader([row["header"].removeprefix("\ufeff").rstrip("\r")])))
+        found.setdefault(names, []).extend(unquote(f) for f in row["files"])
+    return dict(sorted(found.items()))
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, required: list[str] | None = None,
+             header: list[str] | None = None) -> DataFrame:
     """CSV in any column order; columns outside the schema are ignored, missing ones raise.
 
-    Files of a folder may differ in their columns and the order of them: they are read in groups with the same header.
+    Files of a folder may differ in their columns and the order of them: one scan finds the header of every file, and
+    files with the same header are read as one source, in as many jobs as there are distinct headers. Who knows that all
+    files have one ``header`` gives it and saves that scan; a file with another one fails the read.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file in csv_files(spark, path):
-        groups.setdefault(tuple(csv_header(spark, file)), []).append(file)
+    groups = {tuple(header): [path] if isinstance(path, str) else path} if header else csv_headers(spark, path)
     parts = [_with_header(spark, list(names), files, schema) for names, files in groups.items()]
-    df = parts[0]
+    df = parts[0] if parts else spark.createDataFrame([], schema)
     for part in parts[1:]:
         df = df.unionByName(part, allowMissingColumns=True)
     return require_columns(nan_to_null(df), required if required is not None else schema.fieldNames())
 
 
-def csv_files(spark: SparkSession, path: str) -> list[str]:
-    """The files below ``path``; only their names are read."""
-    return sorted(r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect())
-
-
 def _with_header(spark: SparkSession, names: list[str], files: list[str], schema: T.StructType) -> DataFrame:
     """A header that turns out not to be the file's own fails the read."""
     known = {f.name.lower(): f for f in schema.fields}

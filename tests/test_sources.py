@@ -1,10 +1,11 @@
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.operators import seeds
+from riskweave.operators import rules, seeds
 from riskweave.sources import files, schemas, sinks
 from riskweave.sources.views import Views
 
@@ -135,3 +136,109 @@ def test_alert_stream_equals_batch_and_is_idempotent(spark, tmp_path):
     assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= cached
     again = sinks.append_alerts(v.alerts, out)
     assert again["created"] == 0 and again["skipped"] == v.alerts.count()
+
+
+def jobs_of(spark, run):
+    """How many jobs ``run`` starts, and what it returns."""
+    context, group = spark.sparkContext, f"g{id(run)}"
+    context.setJobGroup(group, "counted")
+    try:
+        result = run()
+        return len(context.statusTracker().getJobIdsForGroup(group)), result
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_many_files_in_mixed_column_orders_take_few_jobs(spark, tmp_path):
+    schema = spark.createDataFrame([], "x int, y int, z string").schema
+    counts = {}
+    for files_ in (150, 2000):
+        folder = tmp_path / f"f{files_}"
+        folder.mkdir()
+        for i in range(files_):
+            names = [("x", "y", "z"), ("z", "y", "x"), ("y", "extra", "x", "z")][i % 3]
+            row = {"x": i, "y": -i, "z": f'"a,{i}"', "extra": "?"}
+            (folder / f"part {i}.csv").write_text(",".join(names) + "\n" + ",".join(str(row[n]) for n in names) + "\n")
+        (folder / "empty.csv").write_text("")
+        counts[files_], rows = jobs_of(spark, lambda f=folder: files.read_csv(spark, str(f), schema).collect())
+        assert sorted((r["x"], r["y"], r["z"]) for r in rows) == [(i, -i, f"a,{i}") for i in range(files_)]
+    assert counts[150] == counts[2000] <= 12
+
+
+def test_a_known_header_saves_the_scan_and_another_one_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    schema = spark.createDataFrame([], "x int, y int").schema
+    assert files.read_csv(spark, str(tmp_path), schema, header=["x", "y"]).first()["y"] == 2
+    (tmp_path / "b.csv").write_text("y,x\n4,3\n")
+    with pytest.raises(Exception, match="header|CSV"):
+        files.read_csv(spark, str(tmp_path), schema, header=["x", "y"]).collect()
+
+
+def test_folder_of_empty_files_is_an_empty_table(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    assert files.read_csv(spark, str(tmp_path), spark.createDataFrame([], "x int").schema, required=[]).isEmpty()
+
+
+def random_clashes(rng, n):
+    return [{"id": i, "a": rng.choice([None, *"abcdefgh"[: n // 6 + 2]]), "b": rng.choice([None, *"pqrstuvw"[: n // 6 + 2]]),
+             "c": rng.choice([None, *range(n)])} for i in rng.sample(range(1000), n)]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_insert_of_random_clashes_equals_row_by_row_insert(spark, seed):
+    rng = random.Random(seed)
+    rows = random_clashes(rng, 30)
+    rows.sort(key=lambda r: r["id"])
+    frame = spark.createDataFrame([tuple(r.values()) for r in rows], "id long, a string, b string, c long").repartition(3)
+    table = spark.createDataFrame([(1001, "a", None, 3)], frame.schema)
+    added = sinks.insert_ignoring_conflicts(frame, table, ["a", "b", "c"], "id")
+    want = sequential_insert(rows, [{"id": 1001, "a": "a", "b": None, "c": 3}], ["a", "b", "c"])
+    assert sorted(r["id"] for r in added.collect()) == want and added.columns == frame.columns
+
+
+def test_a_long_chain_of_clashes_takes_log_many_steps(spark, monkeypatch):
+    n, steps = 10_000, []
+    write = sinks.materialise
+    monkeypatch.setattr(sinks, "materialise", lambda df: steps.append(1) or write(df))
+    # each row clashes with the one before it, on a and on b in turn
+    frame = spark.range(n).select("id", F.floor(F.col("id") / 2).alias("a"), F.floor((F.col("id") + 1) / 2).alias("b"))
+    added = sinks.insert_ignoring_conflicts(frame, frame.limit(0), ["a", "b"], "id")
+    assert [r["id"] for r in added.orderBy("id").collect()] == list(range(0, n, 2))
+    assert len(steps) <= 14 + 2 + 6
+
+
+def test_one_hot_key_is_decided_in_two_rounds(spark):
+    frame = spark.range(3000).select("id", F.lit("x").alias("a"), F.when(F.col("id") > 0, F.col("id") % 7).alias("b"))
+    added = sinks.insert_ignoring_conflicts(frame, frame.limit(0), ["a", "b"], "id")
+    assert [r["id"] for r in added.collect()] == [0]
+
+
+def alerts_of(spark, ids):
+    return spark.createDataFrame([(i, "RULES", 0.5) for i in ids], "transaction_id long, detection_source string, fraud_score double")
+
+
+def test_alert_table_is_met_in_place_and_only_touched_ranges_are_read(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    assert sinks.append_alerts(alerts_of(spark, range(0, 5000, 7)), path, buckets=4, span=1000) == {"created": 715, "skipped": 0}
+    batch = alerts_of(spark, [3500, 3501, 4200, 4201, 4201])
+    once = sinks.materialise(batch.withColumn(sinks.ALERT_RANGE, F.lit(3).cast("long")))
+    table = sinks.alert_table(spark, path, once.schema, 4)
+    dealt, existing = sinks.known_alerts(once, table, [3, 4], 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rules.new_alerts(dealt, existing)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the alerts are dealt out, the table isn't
+    assert "Bucketed: true" in plan and plan.count("hashpartitioning(transaction_id") == 1 and plan.count("Exchange") == 1
+    assert f"PartitionFilters: [{sinks.ALERT_RANGE}" in plan and "IN (3,4)" in plan
+    assert sinks.append_alerts(batch, path, buckets=4, span=1000) == {"created": 2, "skipped": 2}
+    assert sinks.append_alerts(batch, path, buckets=4, span=1000) == {"created": 0, "skipped": 4}
+    assert spark.read.parquet(path).count() == 717 and (tmp_path / "alerts" / f"{sinks.ALERT_RANGE}=4").is_dir()
+
+
+def test_replayed_micro_batches_add_nothing(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    for ids in ([1, 2, 3], [3, 4], [3, 4], [], [1, 2, 3]):
+        sinks.append_alerts(alerts_of(spark, ids), path, buckets=2)
+    assert sorted(r[0] for r in spark.read.parquet(path).select("transaction_id").collect()) == [1, 2, 3, 4]
