@@ -52,30 +52,34 @@ def positions(df: DataFrame, keys: list[str], order: list[str], out: str = "posi
     return found.drop("_row", "_shard", "_base", "_total")
 
 
-def running_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column]) -> DataFrame:
-    """``df`` with, per entry of ``sums``, the total of that column over the rows of its keys up to its own in ``order``.
+def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column] | None = None,
+            maxima: dict[str, Column] | None = None) -> DataFrame:
+    """``df`` with, per entry of ``sums`` and ``maxima``, that of the column over the rows of its keys up to its own in ``order``.
 
-    Rows equal in ``order`` count for each other. Null keys are a key, null measures count as nothing. Two exchanges of
-    the rows: by range, and by shard for the local totals.
+    Rows equal in ``order`` count for each other. Null keys are a key, null measures count as nothing: a sum of none is
+    0, a maximum of none null. Two exchanges of the rows: by range, and by shard for the local totals.
     """
-    names = list(sums)
-    types = df.select(*[F.sum(c).alias(n) for n, c in sums.items()]).schema
-    zero = {n: F.lit(0).cast(types[n].dataType) for n in names}
-    rows = _ranged(df.withColumns({f"_m_{n}": c for n, c in sums.items()}), [*keys, *order])
+    sums, maxima = sums or {}, maxima or {}
+    names = [*sums, *maxima]
+    fold = {n: F.sum if n in sums else F.max for n in names}
+    types = df.select(*[fold[n](c).alias(n) for n, c in {**sums, **maxima}.items()]).schema
+    zero = {n: F.lit(0 if n in sums else None).cast(types[n].dataType) for n in names}
+    rows = _ranged(df.withColumns({f"_m_{n}": c for n, c in {**sums, **maxima}.items()}), [*keys, *order])
     key = F.struct(*[F.col(f"`{k}`") for k in keys]) if keys else F.struct(F.lit(1).alias("_all"))
     rows = rows.withColumn("_key", key)
     # the first and the last key of each shard, and what the shard holds of them
     ends = rows.groupBy("_shard").agg(F.min_by("_key", "_row").alias("a"), F.max_by("_key", "_row").alias("b"))
     ends = ends.select("_shard", F.explode(F.array_distinct(F.array("a", "b"))).alias("_key"))
-    measures = [F.coalesce(F.sum(f"_m_{n}"), zero[n]).alias(f"_t_{n}") for n in names]
+    measures = [F.coalesce(fold[n](f"_m_{n}"), zero[n]).alias(f"_t_{n}") for n in names]
     held = _join(rows.select("_shard", "_key", *[f"_m_{n}" for n in names]), F.broadcast(ends), ["_shard", "_key"]).groupBy(
         "_shard", "_key").agg(*measures)
     earlier = Window.partitionBy("_key").orderBy("_shard").rowsBetween(*EARLIER)
     base = held.select("_shard", "_key", *[
-        F.coalesce(F.sum(f"_t_{n}").over(earlier), zero[n]).cast(types[n].dataType).alias(f"_b_{n}") for n in names])
+        F.coalesce(fold[n](f"_t_{n}").over(earlier), zero[n]).cast(types[n].dataType).alias(f"_b_{n}") for n in names])
     local = Window.partitionBy("_shard", *keys).orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    run = rows.withColumns({n: F.coalesce(F.sum(f"_m_{n}").over(local), zero[n]) for n in names})
+    run = rows.withColumns({n: F.coalesce(fold[n](f"_m_{n}").over(local), zero[n]) for n in names})
     # two rows a shard, however many rows or keys there are
     found = _join(run, F.broadcast(base), ["_shard", "_key"], "left")
-    whole = {n: (F.col(n) + F.coalesce(F.col(f"_b_{n}"), zero[n])).cast(types[n].dataType) for n in names}
+    whole = {n: (F.col(n) + F.coalesce(F.col(f"_b_{n}"), zero[n]) if n in sums else F.greatest(n, f"_b_{n}")).cast(types[n].dataType)
+             for n in names}
     return found.withColumns(whole).drop("_row", "_shard", "_key", *[f"_{p}_{n}" for p in "mb" for n in names])

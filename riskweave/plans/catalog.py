@@ -871,3 +871,10 @@ def _(v):
 @query("aml_high_value_rule")
 def _(v):
     return _rule_hits(v, "high_value")
+
+
+@query("aml_cross_border_rule")
+def _(v):
+    hits = aml_rules.evaluate_rules(v.aml_transfers, v.aml_rules, "cross_border", account="from_account", ts="timestamp",
+                                    amount="amount_received", country_from="from_country", country_to="to_country")
+    return hits.select("record_key", "from_account", "rule_code", "severity", "window_count", "window_sum")

@@ -16,7 +16,7 @@ from riskweave import fixed_values as V
 from riskweave.functions.bands import aml_assessment, credit_decision, credit_segment, fraud_decision, fraud_segment, modulo_risk
 from riskweave.functions.normalise import padded
 from riskweave.operators import seeds
-from riskweave.operators.aml_rules import AmlRule
+from riskweave.operators.aml_rules import RULE_SCHEMA
 from riskweave.operators.joins import enrich_transactions
 from riskweave.operators.rules import rule_alerts, score_transactions
 
@@ -269,13 +269,17 @@ class Views:
             "event_id", F.col("user_id").alias("account_id"), F.col("ts").cast("timestamp").alias("ts"),
             F.col("value").alias("amount"))
 
-    @property
-    def aml_rules(self) -> list[AmlRule]:
-        return [
-            AmlRule("HIV01", "Medium", threshold_amount=Decimal(150)),
-            AmlRule("STR01", "Critical", threshold_amount=Decimal(100), threshold_count=4, time_window_minutes=1440),
-            AmlRule("VEL01", "High", threshold_count=5, time_window_minutes=1440),
-        ]
+    @cached_property
+    def aml_rules(self) -> DataFrame:
+        """The rule table, one row inactive."""
+        return self.spark.createDataFrame([
+            ("HIV01", "Medium", Decimal(150), None, None, True, None),
+            ("STR01", "Critical", Decimal(100), 4, 1440, True, None),
+            ("VEL01", "High", None, 5, 1440, True, None),
+            ("VEL02", "Low", None, 1, 1440, False, None),
+            ("XBR01", "High", Decimal(50000), None, None, True, "cross_border"),
+            ("XBR02", "Low", None, None, None, True, "cross_border"),
+        ], RULE_SCHEMA)
 
     # --- scores ---------------------------------------------------------------------------------------
     @cached_property

@@ -83,9 +83,13 @@ def test_trailing_window_equals_brute_force_with_a_hot_account(spark, step):
         account = 1 if i % 3 == 0 else rng.randrange(2, 12)
         events.append((i, account, start + dt.timedelta(microseconds=step * rng.randrange(0, 300)), Decimal(rng.randrange(1, 20000)) / 100))
     df = spark.createDataFrame(events, "event_id long, account_id long, ts timestamp, amount decimal(18,2)")
-    seen = aml_rules.trailing_window(df, 30, [Decimal("100")])
-    found = {r["event_id"]: (r["window_count"], r["window_sum"], r["window_large"][0]) for r in seen.collect()}
-    assert found == brute_windows(events, 30, Decimal("100"))
+    for minutes in (30, 7):
+        seen = aml_rules.trailing_windows(df, [7, 30]).where(F.col("window_minutes") == minutes)
+        want = brute_windows(events, minutes, Decimal("100"))
+        assert {r["event_id"]: (r["window_count"], r["window_sum"]) for r in seen.collect()} == {k: v[:2] for k, v in want.items()}
+        rule = aml_rules.AmlRule("S", "High", Decimal("100"), 3, minutes)
+        fired = {r["event_id"] for r in aml_rules.evaluate_rules(df, [rule]).collect()}
+        assert fired == {k for k, (n, total, large) in want.items() if n >= 3 and total >= 100 and not large}
 
 
 def test_rules_come_from_their_table_and_inactive_ones_do_not_fire(spark):
@@ -106,7 +110,7 @@ def test_events_without_account_or_time_stay(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(1, None, t0, 5.0), (2, None, t0, 5.0), (3, 7, None, 5.0), (4, None, None, 5.0), (5, 7, t0, None)]
     df = spark.createDataFrame(rows, "event_id long, account_id long, ts timestamp, amount double")
-    seen = {r["event_id"]: r["window_count"] for r in aml_rules.trailing_window(df, 30).collect()}
+    seen = {r["event_id"]: r["window_count"] for r in aml_rules.trailing_windows(df, [30]).collect()}
     assert seen == {1: 2, 2: 2, 3: None, 4: None, 5: 1}
     hits = aml_rules.evaluate_rules(df, [aml_rules.AmlRule("V", "Low", threshold_count=2, time_window_minutes=30)])
     assert sorted(r["event_id"] for r in hits.collect()) == [1, 2]
@@ -125,3 +129,43 @@ def test_structuring_needs_only_small_amounts(spark):
     rows = [(a * 10 + i, a, t0 + dt.timedelta(minutes=i), v) for a, vs in amounts.items() for i, v in enumerate(vs)]
     df = spark.createDataFrame(rows, "event_id long, account_id long, ts timestamp, amount double")
     assert [r["event_id"] for r in aml_rules.evaluate_rules(df, [rule]).collect()] == [12]
+
+
+def test_a_thousand_rules_are_rows_in_a_plan_of_fixed_size(spark):
+    rng = random.Random(5)
+    start = dt.datetime(2024, 1, 1)
+    events = [(i, rng.choice([1, 1, 2, 3]), start + dt.timedelta(minutes=rng.randrange(400)), Decimal(rng.randrange(0, 30000)) / 100,
+               rng.choice(["IN", "DE", None]), rng.choice(["IN", "DE"])) for i in range(60)]
+    df = spark.createDataFrame(events, "event_id long, account_id long, ts timestamp, amount decimal(18,2), country_from string, country_to string")
+    rules = []
+    for n in range(250):
+        amount, count, minutes = Decimal(rng.randrange(1, 40000)) / 100, rng.randint(1, 6), rng.choice([5, 30, 90, 400])
+        rules += [(f"V{n}", "Low", None, count, minutes, True, None), (f"S{n}", "High", amount, count, minutes, True, None),
+                  (f"H{n}", "Low", amount, None, None, True, None), (f"X{n}", "Low", amount if n % 5 else None, None, None, True, "cross_border")]
+    table = spark.createDataFrame(rules, aml_rules.RULE_SCHEMA)
+    want = set()
+    for key, account, ts, value, a, b in events:
+        for code, _, amount, count, minutes, _, kind in rules:
+            if minutes is not None:
+                seen = [v for _, acc, t, v, _, _ in events if acc == account and ts - dt.timedelta(minutes=minutes) <= t <= ts]
+                fires = len(seen) >= count and (amount is None or sum(seen) >= amount and max(seen) < amount)
+            else:
+                fires = (amount is None or value >= amount) and (kind is None or a is not None and a != b)
+            if fires:
+                want.add((key, code))
+    found = aml_rules.evaluate_rules(df, table)
+    assert {(r["event_id"], r["rule_code"]) for r in found.collect()} == want
+
+    def size(frame):
+        return len(frame._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+    few = spark.createDataFrame([r for r in rules if int(r[0][1:]) in (0, 1)], aml_rules.RULE_SCHEMA)
+    assert size(found) == size(aml_rules.evaluate_rules(df, few))
+
+
+def test_velocity_takes_two_wide_exchanges(spark):
+    df = spark.createDataFrame([(1, 1, dt.datetime(2024, 1, 1), 1.0)], "event_id long, account_id long, ts timestamp, amount double")
+    seen = aml_rules.trailing_windows(df, [30]).where("window_count > 0")
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    # the range exchange is behind the checkpoint; what is left are the shards' exchange and small tables of two rows a shard
+    assert plan.count("Window ") + plan.count("Window [") <= 4 and plan.count("SortMergeJoin") == 0

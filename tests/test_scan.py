@@ -42,7 +42,7 @@ def test_positions_without_keys_number_all_rows(spark, table):
 
 
 def test_running_sums_count_ties_for_each_other(spark, table):
-    got = scan.running_sums(table, ["k"], ["o"], {"s": F.col("v"), "n": F.lit(1)})
+    got = scan.running(table, ["k"], ["o"], {"s": F.col("v"), "n": F.lit(1)}, {"m": F.col("v")})
     rows = _rows()
     by_key = defaultdict(list)
     for r in rows:
@@ -51,14 +51,14 @@ def test_running_sums_count_ties_for_each_other(spark, table):
     for group in by_key.values():
         for r in group:
             upto = [x for x in group if _sort_key(x[2]) <= _sort_key(r[2])]
-            want[r[0]] = (sum(x[3] for x in upto), len(upto))
-    assert {r["id"]: (r["s"], r["n"]) for r in got.collect()} == want
-    assert got.columns == ["id", "k", "o", "v", "s", "n"]
+            want[r[0]] = (sum(x[3] for x in upto), len(upto), max(x[3] for x in upto))
+    assert {r["id"]: (r["s"], r["n"], r["m"]) for r in got.collect()} == want
+    assert got.columns == ["id", "k", "o", "v", "s", "n", "m"]
 
 
 def test_running_sums_keep_decimals_and_null_measures(spark):
     df = spark.createDataFrame([("a", 1, Decimal("1.10")), ("a", 2, None), ("a", 3, Decimal("2.05"))], "k string, o int, v decimal(18,2)")
-    got = scan.running_sums(df, ["k"], ["o"], {"s": F.col("v")}).orderBy("o").collect()
+    got = scan.running(df, ["k"], ["o"], {"s": F.col("v")}).orderBy("o").collect()
     assert [str(r["s"]) for r in got] == ["1.10", "1.10", "3.15"]
 
 
@@ -67,7 +67,7 @@ def test_a_hot_key_is_spread_over_shards(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         sizes = [r["count"] for r in scan._ranged(df, ["k", "o"]).groupBy("_shard").count().collect()]
-        got = scan.running_sums(df, ["k"], ["o"], {"s": F.lit(1)})
+        got = scan.running(df, ["k"], ["o"], {"s": F.lit(1)})
         assert got.where("s <> o + 1").isEmpty()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -76,4 +76,4 @@ def test_a_hot_key_is_spread_over_shards(spark):
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], "k string, o int, v int")
-    assert scan.positions(df, ["k"], ["o"]).isEmpty() and scan.running_sums(df, ["k"], ["o"], {"s": F.col("v")}).isEmpty()
+    assert scan.positions(df, ["k"], ["o"]).isEmpty() and scan.running(df, ["k"], ["o"], {"s": F.col("v")}).isEmpty()

@@ -634,3 +634,7 @@ SELECT {HIT.format(code='STR01', severity='Critical')} FROM ({TRAILING}) WHERE w
 sql("aml_high_value_rule", ["events_in"], """
 SELECT event_id, account_id, 'HIV01' AS rule_code, 'Medium' AS severity, 1::BIGINT AS window_count, amount::DOUBLE AS window_sum
 FROM events_in WHERE amount >= 150""")
+sql("aml_cross_border_rule", ["aml_transfers"], """
+SELECT record_key, from_account, rule_code, severity, 1::BIGINT AS window_count, amount_received::DECIMAL(18,2)::DOUBLE AS window_sum
+FROM aml_transfers JOIN (VALUES ('XBR01', 'High', 50000), ('XBR02', 'Low', NULL)) AS r(rule_code, severity, least_amount)
+  ON from_country <> to_country AND (least_amount IS NULL OR amount_received >= least_amount)""")
