@@ -1,8 +1,10 @@
 import html
 import re
 
+import numpy as np
 import pytest
 
+from riskweave.llm import html_text
 from riskweave.llm.html_text import blocks, extract, main_text
 from riskweave.llm.queries import QUERIES
 
@@ -70,3 +72,29 @@ def test_pages_without_a_marked_article_are_whole(name):
     }[name]
     nav = f"<div class=nav><a href=x>{P}</a></div>"
     assert main_text(nav + page) == text.strip()
+
+
+def test_ratios_decide_what_names_and_tags_do_not_say(monkeypatch):
+    """Comments of an unlisted class after the text go, by their ratios alone."""
+    comments = "".join(f"<div class=zq><b>reader {i}</b><p>I think so, too.</p></div>" for i in range(4))
+    page = f"<article><h1>T</h1>{f'<p>{P}</p>' * 6}<table><tr><td>1<td>2</table><div class=wall>{comments}</div></article>"
+    assert main_text(page) == f"T {P * 6}1 2"
+    monkeypatch.setattr(html_text, "path_ratios", lambda own: np.ones(len(own)))
+    assert main_text(page) != f"T {P * 6}1 2"
+
+
+@pytest.mark.parametrize("name", ["legal", "share", "social-history", "search", "comment", "banner"])
+def test_listed_names_with_the_text_stay(name):
+    inner = f"<h1>T</h1><p>{P}</p><p>{P}</p>"
+    assert main_text(f"<nav><a href=x>menu</a></nav><div class='{name}'>{inner}</div><footer>x</footer>") == f"T {P}{P}".strip()
+
+
+def test_a_part_that_may_be_beside_the_article_stays_if_it_holds_as_much():
+    page = f"<article><p>{P}</p><div class=legal><p>{P}</p><p>{P * 2}</p></div><div class=share>Send it.</div><p>{P}</p></article>"
+    assert main_text(page) == f"{P}{P}{P * 2}{P}".strip()
+
+
+def test_sections_with_headings_and_formulas_stay():
+    sections = "".join(f"<div class=s><h2>H{i}</h2><p>Short one, here.</p></div>" for i in range(3))
+    page = f"<main>{f'<p>{P}</p>' * 6}{sections}<p>a <math><mi>x</mi></math> b</p><object>told so</object></main>"
+    assert main_text(page) == f"{P * 6}{' '.join(f'H{i} Short one, here.' for i in range(3))} a x b told so"
