@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,17 +23,32 @@ from riskweave.llm.bpe import PATTERN
 from riskweave.llm.scratch import small_batches
 
 SEPARATOR = "\n\n"
+#: White space as the splitter knows it.
+LONG_RUN = regex.compile(r"\p{White_Space}{1000,}")
 
 
 class SpanEncoder:
     def __init__(self, path: str):
         with open(path, "rb") as file:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-        self.encode = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.ordinary = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        #: for runs of white space, each one piece whatever its length
+        self.run = tiktoken.Encoding("runs", pat_str=r"\s+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.size = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.size[rank] = len(token)
 
+    def encode(self, text: str) -> list[int]:
+        """Ids of the whole text. The library's splitter fails on runs of white space of some hundred thousand
+        characters: long ones are cut off where it would, before the last one if more text follows."""
+        ids, at = [], 0
+        for run in LONG_RUN.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += self.ordinary(text[at: run.start()])
+            ids += self.run(text[run.start(): end])
+            at = end
+        return ids + self.ordinary(text[at:])
+
     def ends(self, text: str) -> np.ndarray:
         """Where each token ends, in bytes."""
         return np.cumsum(self.size[np.array(self.encode(text), np.int64)])

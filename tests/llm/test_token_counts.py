@@ -85,3 +85,20 @@ def test_whole_table(spark, folder, encoder):
 
 def test_spans_are_those_of_the_tokens(encoder):
     assert encoder.ends("héllo wörld")[-1] == len("héllo wörld".encode())
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000 + "x", "x" + "\n" * 2_000_000, "\t" * 2_000_000, "a" + " \n" * 1_000_000 + "b"])
+def test_millions_of_blanks_line_ends_and_tabs(spark, encoder, text):
+    from riskweave.llm.bpe import encoder as exact
+    from riskweave.llm.queries import BYTE_BPE
+
+    ids = encoder.encode(text)
+    assert ids == exact(BYTE_BPE).encode(text)
+    df = spark.createDataFrame([(1, "s", "en", text)], "doc_id long, source string, lang string, text string")
+    assert tc.token_counts(df, BYTE_RANKS, ("text",)).first()["n_tokens"] == len(ids)
+
+
+def test_runs_just_over_the_cut_equal_the_library(encoder):
+    for run in (" " * 1000, "\n" * 1001, "\u2003" * 1000, " \x1c" * 600, "\u3000" * 999 + " "):
+        for text in (run, run + "x", "x" + run, "x" + run + "'s y " + run + "1", run + "\n"):
+            assert encoder.encode(text) == encoder.ordinary(text)
