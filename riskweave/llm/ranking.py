@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from riskweave.llm.batches import bounds, whole_groups
 from riskweave.llm.scratch import new_folder, small_batches
 
 #: A segment is closed at so many documents or bytes of text, whichever comes first.
-SEGMENT_DOCS, SEGMENT_BYTES = 8192, 16 << 20
+SEGMENT_DOCS, SEGMENT_BYTES = 8192, 8 << 20
 #: Postings per block of a list, and documents per range of a segment.
 BLOCK, RANGE = 64, 512
 #: Terms of queries that are looked up in one pass over the index; more queries are taken in blocks.
@@ -43,17 +44,19 @@ def terms_of(text: bytes) -> list[bytes]:
 def _segment(number: int, ids: list[int | None], texts: list[bytes]) -> pa.RecordBatch:
     """Rows of a segment: one with term null for its documents, one for each term."""
     order = sorted(range(len(ids)), key=lambda k: (ids[k] is not None, ids[k] or 0))
-    split = [terms_of(texts[k]) for k in order]
-    sizes = np.array([len(s) for s in split])
-    tokens = pa.array([t for s in split for t in s], pa.binary()).dictionary_encode()
+    split = pc.split_pattern(pa.array([texts[k].translate(TABLE) for k in order], pa.large_binary()), " ")
+    sizes = np.diff(np.asarray(split.offsets, np.int64))
+    tokens = split.flatten().dictionary_encode()
     term, doc = np.asarray(tokens.indices, np.int64), np.repeat(np.arange(len(split)), sizes)
     kinds = tokens.dictionary.to_pylist()
     if b"" in kinds:  # between two separators
         real = term != kinds.index(b"")
         term, doc = term[real], doc[real]
-    lengths = np.bincount(doc, minlength=len(split))
-    pairs, counts = np.unique(term * len(split) + doc, return_counts=True)
-    term, doc = pairs // len(split), (pairs % len(split)).astype("<u4")
+    del split, tokens
+    n_rows = len(order)
+    lengths = np.bincount(doc, minlength=n_rows)
+    pairs, counts = np.unique(term * n_rows + doc, return_counts=True)
+    term, doc = pairs // n_rows, (pairs % n_rows).astype("<u4")
     starts = np.flatnonzero(np.diff(term, prepend=-1))
     ends = np.append(starts[1:], len(term))
     packed_docs, packed_counts = doc.tobytes(), counts.astype("<u4").tobytes()
