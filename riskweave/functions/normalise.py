@@ -56,14 +56,36 @@ def model_title(name: Column) -> Column:
     return F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))
 
 
+#: A JSON text's tokens: strings with their escapes, brackets, colons and commas, and whatever stands between them.
+JSON_TOKENS = r'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|[^\s{}\[\]:,"]+'
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def _string_value(token: Column) -> Column:
+    """What a quoted token stands for."""
+    plain = F.substring(token, F.lit(2), F.length(token) - 2)
+    return F.when(token.contains("\\"), F.from_json(F.concat(F.lit("["), token, F.lit("]")), "array<string>")[0]).otherwise(plain)
+
+
 def threshold_in(metadata: Column, names: list[str], default: float) -> Column:
-    """First number stored under one of ``names`` at any depth of a JSON text.
+    """First number stored under one of ``names`` at any depth of a JSON text, in the order of the text.
 
-    Upper and lower case and the separators dash, underscore and blank make no difference.
+    Upper and lower case and the separators dash, underscore and blank make no difference; white space around a key is
+    ignored. Numbers may be given as text, true and false count as 1 and 0; anything else under a name is searched
+    further. Only a string before a colon is a key, so what stands inside other strings is none. Texts that aren't
+    JSON, or repeat a key in one object, have no threshold.
     """
-    keys = "|".join("[-_ ]".join(name.split("_")) for name in names)
-    pattern = rf'(?i)"\s*(?:{keys})\s*"\s*:\s*"?\s*([+-]?[0-9]*\.?[0-9]+(?:e[+-]?[0-9]+)?)\s*"?\s*[,}}\]]'
-    return F.coalesce(F.regexp_extract(metadata, pattern, 1).try_cast("double"), F.lit(default))
+    tokens = F.regexp_extract_all(metadata, F.lit(JSON_TOKENS), F.lit(0))
+
+    def found(token: Column, n: Column) -> Column:
+        key = F.translate(F.lower(F.trim(_string_value(token))), "- ", "__")
+        value = F.get(tokens, n + 2)
+        text = F.trim(F.when(value.startswith('"'), _string_value(value)).otherwise(value))
+        number = F.when(text.rlike(NUMBER), text.try_cast("double")).when(value == "true", 1.0).when(value == "false", 0.0)
+        return F.when(token.startswith('"') & (F.get(tokens, n + 1) == ":") & key.isin(names), number)
+
+    first = F.get(F.array_compact(F.transform(tokens, found)), F.lit(0))
+    return F.coalesce(F.when(F.try_parse_json(metadata).isNotNull(), first), F.lit(default))
 
 
 def padded(text: Column, width: int) -> Column:

@@ -117,9 +117,13 @@ def mismatch_flags(df: DataFrame) -> DataFrame:
     })
 
 
-def observed_formats(df: DataFrame) -> list[str]:
-    """Payment formats of the data, sorted; refuses a column that is no category."""
-    return sorted(value for value, _ in category_counts(df, ["payment_format"])["payment_format"] if value is not None)
+#: More payment formats than that are no category.
+MOST_FORMATS = 1000
+
+
+def observed_formats(df: DataFrame, most: int = MOST_FORMATS) -> list[str]:
+    """Payment formats of the data, sorted; refuses a column of more than ``most``, which is no category."""
+    return sorted(value for value, _ in category_counts(df, ["payment_format"], most)["payment_format"] if value is not None)
 
 
 def payment_onehot(df: DataFrame, formats: list[str] | None = None) -> DataFrame:
@@ -138,12 +142,15 @@ def aml_features(
     high-value limit of the training data.
     """
     df = quality.nan_to_null(df)
+    # what both fits read is computed once
+    fitted = materialise(df.select("amount_received", "payment_format")) if formats is None or high_value_limit is None and fit_on is None else None
     if formats is None:
-        formats = observed_formats(df)
+        formats = observed_formats(fitted)
     if high_value_limit is None:
-        marked = high_value_flag(df, fit_on)
+        limit = quantile_value(fitted if fit_on is None else materialise(fit_on.select("amount_received")), "amount_received", V.AML_HIGH_VALUE_QUANTILE)
     else:
-        marked = df.withColumn("high_value_transaction", flag(F.col("amount_received") > high_value_limit))
+        limit = F.lit(high_value_limit)
+    marked = df.withColumn("high_value_transaction", flag(F.col("amount_received") > limit))
     built = (
         marked.transform(time_features)
         .transform(amount_features)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,11 +71,30 @@ def deduplicate_keyed(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(*[_c(c) for c in others]).agg(F.min(_c(key)).alias(key)).select(*[_c(c) for c in df.columns])
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    return distinct_rows(df).agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
-    )
+def row_fingerprint(df: DataFrame) -> list[Column]:
+    """Two independent hashes of all columns, 128 bits; equal rows have equal ones, 0.0 and -0.0 are equal."""
+    values = []
+    for f in df.schema.fields:
+        value = _c(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            value = F.when(value == 0, F.lit(0).cast(f.dataType)).otherwise(value)
+        # hashes skip nulls, so that their place is hashed too
+        values += [F.isnull(value), value]
+    return [F.xxhash64(*values), F.xxhash64(F.lit("other"), *reversed(values))]
+
+
+def duplicate_count(df: DataFrame, fingerprint: Callable[[DataFrame], list[Column]] = row_fingerprint) -> DataFrame:
+    """row_count and duplicate_rows, the rows that repeat another one.
+
+    Fingerprints are shuffled and counted instead of whole rows; only rows whose fingerprint comes more than once are
+    compared by all their columns, so a collision costs time and never a wrong count.
+    """
+    names = ["_fp0", "_fp1"]
+    marked = df.withColumns(dict(zip(names, fingerprint(df))))
+    counted = marked.groupBy(*names).agg(F.count("*").alias("_n"))
+    repeated = marked.join(counted.where("_n > 1").select(*names), names, "left_semi").drop(*names)
+    extra = distinct_rows(repeated).agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("n"))
+    return counted.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count")).select("row_count", extra.scalar().alias("duplicate_rows"))
 
 
 def _unpivot_structs(one_row: DataFrame, rows: dict[str, dict[str, Column]], key: str) -> DataFrame:
@@ -182,7 +202,7 @@ def sanity_checks(df: DataFrame, age_max: int = V.AGE_MAX_SCORING) -> DataFrame:
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
-    """Per column: type, nulls, share of nulls and distinct values, beside the dataset's size.
+    """Per column: type, nulls, share of nulls and distinct values, beside the dataset's size and repeated rows.
 
     Columns are unpivoted and counted per (column, value) first, so every distinct count is
     distributed and hot values collapse before the shuffle.
@@ -206,6 +226,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
         "unique_count",
         "row_count",
         F.lit(len(df.columns)).alias("column_count"),
+        duplicate_count(df).select("duplicate_rows").scalar().alias("duplicate_rows"),
     )
 
 

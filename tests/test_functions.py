@@ -1,5 +1,8 @@
 """Band edges, null rules and normalisation, row by row."""
 
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +63,51 @@ def test_threshold_lookup_ignores_case_and_separators(spark):
         0.3, 0.4, 0.2, 0.7, 0.2]
 
 
+def reference_threshold(text, names, default):
+    """The lookup as a recursive walk over the parsed text."""
+    def walk(node):
+        for key, value in node.items() if isinstance(node, dict) else enumerate(node) if isinstance(node, list) else ():
+            if isinstance(key, str) and key.strip().lower().replace("-", "_").replace(" ", "_") in names:
+                try:
+                    return float(value)
+                except (TypeError, ValueError):
+                    pass
+            deeper = walk(value)
+            if deeper is not None:
+                return deeper
+        return None
+
+    try:
+        found = walk(json.loads(text))
+    except ValueError:
+        return default
+    return default if found is None else found
+
+
+def test_threshold_lookup_reads_json_as_a_walk_does(spark):
+    names = ["business_threshold", "recall_threshold"]
+    texts = [
+        r'{"note": "\"business_threshold\": 0.9, ", "recall threshold": 0.4}', '{"a": ["business_threshold", 0.1, {"b": [{"Recall-Threshold": 5}]}]}',
+        '{"recall_threshold": 0.1, "business_threshold": 0.2}', '{"business_threshold": {"recall_threshold": 0.3}}',
+        '{"business_threshold": [0.1], "x": {"business_threshold": "  .5e1 "}}', r'{"b\u0075siness_threshold": 0.6}', '{" BUSINESS threshold ": -7}',
+        '{"business_threshold": true}', '{"business_threshold": 0.5', "[]", '{"a": 1} trailing', '{"business_threshold_2": 1, "my_business_threshold": 2}',
+        '{"business_threshold": "1d"}', '{"x":{"y":{"z":{"recall-threshold":1e-3}}}}', '"business_threshold"', '{"k": "v:", "recall_threshold" : 2}']
+    rng = random.Random(6)
+
+    def node(depth):
+        kind = rng.random()
+        if depth == 0 or kind < 0.4:
+            return rng.choice([1, 0.25, "0.5", "x", None, "business_threshold", 'a"b', [], {}])
+        if kind < 0.6:
+            return [node(depth - 1) for _ in range(rng.randint(0, 3))]
+        keys = rng.sample(["business_threshold", "Recall Threshold", "a", "b\\", 'c"', ":", "BUSINESS-THRESHOLD"], rng.randint(0, 4))
+        return {k: node(depth - 1) for k in keys}
+
+    texts += [json.dumps(node(4)) for _ in range(300)]
+    got = one(spark, texts, lambda t: normalise.threshold_in(t, names, 0.2), "string")
+    assert got == [reference_threshold(t, names, 0.2) for t in texts]
+
+
 def test_unknown_is_equal_to_nothing(spark):
     df = spark.createDataFrame([("a", "a"), ("a", "b"), ("a", None), (None, None)], "x string, y string")
     rows = df.select(conditions.same(F.col("x"), F.col("y")).alias("s"), conditions.differs(F.col("x"), F.col("y")).alias("d")).collect()

@@ -168,3 +168,13 @@ def test_derived_scores_are_not_scaled_twice(spark):
     given = spark.createDataFrame([(1, "12%", "0.4")], "customer_id long, pd string, risk_score string")
     row = integrated.extract_domain(given, "credit").first()
     assert (row["credit_probability"], row["credit_score"], row["credit_decision"]) == (0.12, 40.0, "UNKNOWN")
+
+
+def test_duplicates_are_counted_exactly_whatever_the_fingerprints(spark):
+    rows = [(1, None, 0.0), (1, None, -0.0), (1, "a", None), (None, "a", None), (None, None, None), (None, None, None), (None, None, None), (2, "b", 1.0)]
+    df = spark.createDataFrame(rows, "x int, y string, z double").repartition(3)
+    for fingerprint in (quality.row_fingerprint, lambda d: [F.lit(1), F.lit(2)], lambda d: [F.col("x"), F.lit(2)]):
+        found = quality.duplicate_count(df.na.fill({"x": 0}), fingerprint).first()
+        assert tuple(found) == (8, 3)
+    assert tuple(quality.duplicate_count(df.limit(0)).first()) == (0, 0)
+    assert {r["duplicate_rows"] for r in quality.profile_columns(df).collect()} == {3}

@@ -104,7 +104,8 @@ COLUMNS = {
 sql("profile_columns", ["applicants"], " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", '{t}' AS dtype, count(*) - count("{c}") AS null_count,
     round((count(*) - count("{c}")) / count(*)::DOUBLE * 100, 4) AS null_percentage, count(DISTINCT "{c}") AS unique_count,
-    count(*) AS row_count, 12::BIGINT AS column_count FROM applicants""" for c, t in COLUMNS.items()))
+    count(*) AS row_count, 12::BIGINT AS column_count,
+    count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM applicants)) AS duplicate_rows FROM applicants""" for c, t in COLUMNS.items()))
 sql("profile_numeric", ["applicants"], " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count(*) - count("{c}") AS missing, count(DISTINCT "{c}") AS unique_values,
     round(min("{c}")::DOUBLE, 6) AS minimum, round(max("{c}")::DOUBLE, 6) AS maximum, round(avg("{c}"), 6) AS mean
