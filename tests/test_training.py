@@ -112,3 +112,23 @@ def test_selection_order(spark):
     assert metrics.select_model(rows, "credit").first()["model"] == "a"
     assert metrics.select_model(rows, "transaction_fraud").first()["model"] == "a"
     assert metrics.select_model(rows, "aml").first()["model"] == "c"
+
+
+def test_models_score_after_alerts_were_appended_and_rows_observed(spark, tmp_path):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import Observation
+
+    from riskweave.sources import sinks
+
+    alerts = spark.createDataFrame([(1, "RULES", 0.5)], "transaction_id long, detection_source string, fraud_score double")
+    assert sinks.append_alerts(alerts, str(tmp_path / "alerts"), buckets=2)["created"] == 1
+    seen = Observation("seen")
+    alerts.observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 1
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.range(200).selectExpr("id", "id % 7 * 1.0 AS a", "id % 3 * 1.0 AS b", "CAST(id % 7 > 3 AS INT) AS label"))
+    for kind, params in (("logistic", {"maxIter": 20}), ("forest", {"numTrees": 3}), ("boosting", {"maxIter": 2})):
+        model = training.train_model(training.ModelSpec(kind, kind, params), rows)
+        assert not getattr(model, "hasSummary", False)
+        scored = training.score_batch(model, rows, ["id", "label"])
+        assert scored.groupBy("label").agg(F.avg("probability").alias("p")).orderBy("label").collect()[1]["p"] > 0.5
