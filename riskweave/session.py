@@ -32,9 +32,16 @@ def build_session(master: str | None = None, app: str = "riskweave", **extra: st
     return spark
 
 
+def own_folder(spark: SparkSession) -> str:
+    """A new folder of this machine, for tests and single machines; executors elsewhere couldn't see it."""
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("Set spark.checkpoint.dir to a folder that driver and executors share.")
+    return tempfile.mkdtemp(prefix="riskweave-")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for ``DataFrame.checkpoint``: that of ``spark.checkpoint.dir``; one of this machine only where it is unset."""
+    """Folder for ``DataFrame.checkpoint``: that of ``spark.checkpoint.dir``; one of this machine only in local mode where it is unset."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="riskweave-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or own_folder(spark))
     return context.getCheckpointDir()

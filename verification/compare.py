@@ -16,7 +16,7 @@ from riskweave import build_session
 from riskweave.plans.catalog import QUERIES
 from verification.oracle import SQL
 
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
