@@ -1,17 +1,18 @@
 """Tables written between steps, in the folder that all executors share.
 
-``spark.checkpoint.dir`` names that folder on a cluster. Only where it is unset (tests, one machine) a folder of
-this machine is made. A written table cuts the lineage, survives lost executors and forgets how its rows were dealt
+``spark.checkpoint.dir`` names that folder on a cluster. Only where it is unset in local mode a folder of this machine
+is made. Tables stay until `clear`, which a caller uses once the results are written. A written table cuts the lineage, survives lost executors and forgets how its rows were dealt
 out, so the joins that follow shuffle plainly and adaptive execution can split their hot keys.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskweave.session import own_folder
+
 _local: dict[str, str] = {}
 
 
@@ -21,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _local:
-        _local[app] = "file://" + tempfile.mkdtemp(prefix="riskweave-")
+        _local[app] = "file://" + own_folder(spark)
     return _local[app]
 
 
@@ -38,7 +39,17 @@ def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path that nothing else uses."""
-    return f"{shared_folder(spark)}/riskweave/{name}-{uuid.uuid4().hex}"
+    return f"{_own(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/riskweave/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the tables that this application has written here; results that still read them can't be computed again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
