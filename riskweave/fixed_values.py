@@ -162,6 +162,10 @@ DECISION_ALIASES = {
     "fraud": ["fraud_decision", "decision", "prediction"],
     "aml": ["aml_decision", "decision", "prediction"],
 }
+ALERT_ALIASES = ["alert_status", "alert"]
+NO_ALERT = "NO_ALERT"
+IMPORTANCE_COLUMNS = ["importance", "coefficient", "feature_importance"]
+FEATURE_COLUMNS = ["feature", "feature_name", "name"]
 
 # --- model selection: metric priority per domain, all descending ---------------------------
 SELECTION_ORDER = {

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave import fixed_values as V
 from riskweave.functions.bands import aml_assessment, aml_business_alert, aml_business_risk
 from riskweave.functions.bands import credit_decision, credit_segment, fraud_segment
+from riskweave.functions.conditions import flag, rate
+from riskweave.functions.normalise import to_number
 from riskweave.functions.reasons import aml_reasons, credit_reasons, fraud_reasons
 
 
@@ -82,3 +85,28 @@ def aml_alerts(report: DataFrame, key: str = "record_key") -> DataFrame:
         F.concat(F.lit("AML-"), F.col(key)).alias("alert_id"),
         "aml_probability", F.col("business_risk").alias("risk_segment"), "alert_status",
         F.col("model_decision").alias("aml_decision"), "requires_review")
+
+
+def report_features(importance: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` most important features of a delivered importance table, under any of its known column names.
+
+    Values that are no number are left out; a table without a known column gives no features. Equal values come by name.
+    """
+    known = {name.lower(): name for name in importance.columns}
+    value = next((known[n] for n in V.IMPORTANCE_COLUMNS if n in known), None)
+    name = next((known[n] for n in V.FEATURE_COLUMNS if n in known), None)
+    if value is None or name is None:
+        return importance.sparkSession.createDataFrame([], "feature string, importance double")
+    numbers = importance.select(F.col(f"`{name}`").cast("string").alias("feature"), to_number(F.col(f"`{value}`")).alias("importance"))
+    usable = F.col("importance").isNotNull() & ~F.isnan("importance")
+    return numbers.where(usable).orderBy(F.desc("importance"), "feature").limit(k).withColumn("importance", F.round("importance", 6))
+
+
+def rate_gaps(df: DataFrame, label: str, flags: list[str]) -> DataFrame:
+    """Per 0/1 feature how far its share among the labelled rows is from that among the others: a model-free importance."""
+    hit = flag(F.col(label).cast("int") == 1)
+    counts = df.agg(F.sum(hit).alias("_yes"), F.sum(1 - hit).alias("_no"), *[
+        F.sum(F.col(f"`{f}`") * side).alias(f"{f}_{n}") for f in flags for n, side in (("yes", hit), ("no", 1 - hit))])
+    return counts.select(F.inline(F.array(*[F.struct(
+        F.lit(f).alias("feature"),
+        F.abs(rate(F.col(f"`{f}_yes`"), F.col("_yes")) - rate(F.col(f"`{f}_no`"), F.col("_no"))).alias("importance")) for f in flags])))

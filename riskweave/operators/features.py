@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from riskweave import fixed_values as V
 from riskweave.functions.bands import age_band
-from riskweave.functions.conditions import differs, finite_or_null, flag, safe_divide, same
+from riskweave.functions.conditions import differs, finite_or_null, flag, is_missing, safe_divide, same
 from riskweave.operators import quality
 from riskweave.operators.lineage import materialise
 from riskweave.operators.preprocess import category_counts
@@ -164,13 +164,17 @@ def aml_features(
     return quality.numeric_gate(built) if strict else built
 
 
-def feature_summary(df: DataFrame) -> DataFrame:
-    """Counts per age band (missing included) and per risk indicator, in one pass."""
+def feature_summary(df: DataFrame, target: str = V.APPLICANT_TARGET) -> DataFrame:
+    """Counts per age band (missing included), risk indicator and target value, and missing values per column that has
+    any, in one pass."""
+    def item(feature: str, value: Column) -> Column:
+        return F.struct(F.lit(feature).alias("feature"), value.alias("value"))
+
+    items = [item("AgeBand", F.coalesce(F.col("AgeBand"), F.lit("(missing)"))),
+             item("RiskIndicator", F.col("RiskIndicator").cast("string")), item(target, F.col(target).cast("string"))]
+    items += [F.when(is_missing(F.col(f"`{f.name}`"), f.dataType), item("missing_values", F.lit(f.name))) for f in df.schema.fields]
     return (
-        df.select(F.explode(F.array(
-            F.struct(F.lit("AgeBand").alias("feature"), F.coalesce(F.col("AgeBand"), F.lit("(missing)")).alias("value")),
-            F.struct(F.lit("RiskIndicator").alias("feature"), F.col("RiskIndicator").cast("string").alias("value")),
-        )).alias("item"))
+        df.select(F.explode(F.array_compact(F.array(*items))).alias("item"))
         .groupBy("item.feature", "item.value")
         .agg(F.count("*").alias("count"))
     )

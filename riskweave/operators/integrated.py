@@ -15,6 +15,7 @@ from riskweave.functions.normalise import (
 def extract_domain(df: DataFrame, domain: str) -> DataFrame:
     """A domain's delivery under any of its known column names, reduced to four typed columns.
 
+    A laundering delivery also has its own alert, ``aml_alert_status``, NO_ALERT where it brings none.
     A score that is delivered is normalised as it comes; a score that has to be derived is the
     probability in percent and is not scaled a second time.
     """
@@ -24,12 +25,14 @@ def extract_domain(df: DataFrame, domain: str) -> DataFrame:
     delivered = first_present(schema, V.SCORE_ALIASES[domain], F.lit(None).cast("string"))
     score = F.when(delivered.isNotNull(), normalize_score(delivered)).otherwise(probability * 100)
     unknown = F.lit("UNKNOWN")
+    alert = [first_present(schema, V.ALERT_ALIASES, F.lit(V.NO_ALERT)).cast("string").alias("aml_alert_status")]
     return df.select(
         "customer_id",
         probability.alias(f"{domain}_probability"),
         score.alias(f"{domain}_score"),
         first_present(schema, V.SEGMENT_ALIASES[domain], unknown).cast("string").alias(f"{domain}_segment"),
         first_present(schema, V.DECISION_ALIASES[domain], unknown).cast("string").alias(f"{domain}_decision"),
+        *(alert if domain == "aml" else []),
     )
 
 
@@ -42,7 +45,7 @@ def combine_domains(credit: DataFrame, fraud: DataFrame, aml: DataFrame) -> Data
     )
     numbers = {f"{d}_{kind}": 0.0 for d in V.DRIVER_ORDER for kind in ("probability", "score")}
     labels = {f"{d}_{kind}": "UNKNOWN" for d in V.DRIVER_ORDER for kind in ("segment", "decision")}
-    return joined.fillna(numbers).fillna(labels)
+    return joined.fillna(numbers).fillna({**labels, "aml_alert_status": V.NO_ALERT})
 
 
 def weighted_score(credit: Column, fraud: Column, aml: Column, weights: dict[str, float] = V.WEIGHTS) -> Column:

@@ -40,6 +40,42 @@ def unexpected_columns(df: DataFrame, expected: list[str]) -> list[str]:
     return [name for name in df.columns if name not in expected]
 
 
+def _filled(df: DataFrame) -> DataFrame:
+    """Per column its number of values that are neither null nor NaN, in one pass."""
+    counts = df.agg(*[F.coalesce(F.sum(flag(~is_missing(_c(f.name), f.dataType))), F.lit(0)).alias(f.name) for f in df.schema.fields])
+    return _unpivot_structs(counts, {c: {"filled": _c(c)} for c in df.columns}, "column")
+
+
+def unexpected_report(df: DataFrame, expected: list[str]) -> DataFrame:
+    """Columns of a delivery that its schema doesn't know, with the values that would be ignored."""
+    extra = unexpected_columns(df, expected)
+    if not extra:
+        return df.sparkSession.createDataFrame([], "column string, filled long")
+    return _filled(df.select(*[_c(c) for c in extra]))
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """Every column with its kind (numeric, categorical, boolean, other) and number of values."""
+    kinds = {**{c: "numeric" for c in numeric_columns(df)}, **{c: "categorical" for c in categorical_columns(df)},
+             **{f.name: "boolean" for f in df.schema.fields if isinstance(f.dataType, T.BooleanType)}}
+    kind = F.lit("other")
+    for name, label in kinds.items():
+        kind = F.when(F.col("column") == name, label).otherwise(kind)
+    return _filled(df).select("column", kind.alias("kind"), "filled")
+
+
+def alignment_report(train: DataFrame, validation: DataFrame) -> DataFrame:
+    """Every column of either side: its places (from 0), its values there, and whether both sides agree on the place."""
+    def side(df: DataFrame, name: str) -> DataFrame:
+        place = F.lit(None).cast("int")
+        for at, column in enumerate(df.columns):
+            place = F.when(F.col("column") == column, at).otherwise(place)
+        return _filled(df).select("column", place.alias(f"{name}_position"), F.col("filled").alias(f"{name}_values"))
+
+    both = side(train, "train").join(side(validation, "validation"), "column", "full")
+    return both.withColumn("aligned", F.coalesce(F.col("train_position") == F.col("validation_position"), F.lit(False)))
+
+
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     missing = missing_columns(df, required)
     if missing:
@@ -445,11 +481,15 @@ def check_constraints(df: DataFrame, table: str, checks: dict[str, Column], uniq
         F.lit(table).alias("table_name"), "constraint_name", "violations")
 
 
-def apply_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
+def apply_defaults(df: DataFrame, defaults: dict[str, object], schema: T.StructType | None = None) -> DataFrame:
+    """Null values become the column's default. With the table's ``schema``, columns that a delivery leaves out are
+    added: with their default where they have one, as nulls of their type otherwise."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({
+    filled = df.withColumns({
         name: F.coalesce(_c(name), F.lit(value).cast(types[name])) for name, value in defaults.items() if name in types
     })
+    absent = [f for f in schema.fields if f.name not in types] if schema else []
+    return filled.withColumns({f.name: F.lit(defaults.get(f.name)).cast(f.dataType) for f in absent})
 
 
 def validate_applicants(df: DataFrame, age_max: int = V.AGE_MAX_SCORING) -> DataFrame:

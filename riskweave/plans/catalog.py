@@ -206,7 +206,8 @@ def _(v):
 def _(v):
     tables = {"customers": v.customers, "accounts": v.accounts, "customer_kyc": v.customer_kyc, "cards": v.cards,
               "merchants": v.merchants, "devices": v.devices, "transactions": v.transactions, "fraud_alerts": v.alerts,
-              "branches": v.branches, "customer_addresses": seeds.addresses_for(v.customers)}
+              "branches": v.branches, "customer_addresses": seeds.addresses_for(v.customers),
+              "credit_scores": v.credit_scores, "aml_rules": v.counterparty_rules}
     result = None
     for name, df in tables.items():
         found = quality.check_constraints(
@@ -221,6 +222,54 @@ def _(v):
     return quality.apply_defaults(v.accounts, schemas.DEFAULTS["accounts"])
 
 
+def _gaps(df: DataFrame, table: str, key: str) -> DataFrame:
+    """A delivery that leaves out some values of every sixth row."""
+    return df.withColumns({c: F.when(F.col(key) % 6 != 0, F.col(c)) for c in schemas.DEFAULTS[table] if c in df.columns})
+
+
+@query("apply_defaults_tables")
+def _(v):
+    """Every default of every table: of values left out and of whole columns that a delivery lacks."""
+    tables = {"customers": (v.customers, "customer_id"), "branches": (v.branches, "branch_id"), "accounts": (v.accounts, "account_id"),
+              "customer_addresses": (seeds.addresses_for(v.customers), "customer_id"), "customer_kyc": (v.customer_kyc, "customer_id"),
+              "cards": (v.cards, "card_id"), "merchants": (v.merchants, "merchant_id"), "devices": (v.devices, "device_id"),
+              "transactions": (v.transactions, "transaction_id"), "fraud_alerts": (v.alerts, "transaction_id"),
+              "aml_rules": (v.counterparty_rules, "rule_id")}
+    rows = []
+    for name, (df, key) in tables.items():
+        filled = quality.apply_defaults(_gaps(df, name, key), schemas.DEFAULTS[name], schemas.table_schema(name))
+        rows.append(filled.select(F.lit(name).alias("table_name"), F.col(key).cast("long").alias("row_key"), F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in schemas.DEFAULTS[name]]))))
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("unexpected_columns")
+def _(v):
+    """What two deliveries bring beyond their schema."""
+    deliveries = {"applicants": v.applicants, "card_transactions": v.card_transactions}
+    return reduce(DataFrame.unionByName, [
+        quality.unexpected_report(df, schemas.table_schema(name).fieldNames()).withColumn("table_name", F.lit(name))
+        for name, df in deliveries.items()])
+
+
+@query("column_types")
+def _(v):
+    return quality.column_types(v.aml_transfers)
+
+
+@query("alignment_report")
+def _(v):
+    """Raw applicants against engineered ones, which replace and add columns."""
+    engineered = features.fraud_features(v.applicants)
+    return quality.alignment_report(engineered.drop("DebtRatio"), engineered.drop("AgeBand"))
+
+
+@query("numeric_gate")
+def _(v):
+    return quality.numeric_gate(quality.fill_numeric(features.fraud_features(v.applicants).drop("AgeBand"))).select(
+        "applicant_id", "MonthlyIncome", V.DEPENDENTS, "RiskIndicator")
+
+
 @query("validate_applicants")
 def _(v):
     checked = quality.validate_applicants(features.credit_features(v.applicants))
@@ -763,6 +812,50 @@ def _(v):
     return explain.aml_alerts(explain.aml_report(_scored_transfers(v)))
 
 
+AML_FLAGS = ["cross_border_transaction", "currency_conversion", "same_bank", "amount_mismatch_flag", "cross_border_currency_flag"]
+
+
+def _flag_gaps(v):
+    flagged = features.mismatch_flags(features.relation_flags(features.amount_features(v.aml_transfers)))
+    return explain.rate_gaps(flagged, "is_laundering", AML_FLAGS)
+
+
+@query("aml_report_features", digits=6)
+def _(v):
+    """The features the report names first, from a delivery under other column names."""
+    return explain.report_features(_flag_gaps(v).toDF("name", "coefficient"), 3)
+
+
+@query("rank_importance", digits=9)
+def _(v):
+    return training.rank_importance(_flag_gaps(v))
+
+
+APPLICANT_FLAGS = ["HasDelinquency", "HasSevereDelinquency", "HighCreditUtilization", "HighDebtRatio", V.OPEN_LINES, "RiskIndicator"]
+
+
+@query("explain_applicant_flags", digits=6)
+def _(v):
+    """Each applicant's own values of the four features whose shares differ most between bad and good ones."""
+    rows = lineage.materialise(features.fraud_features(v.applicants))
+    gaps = explain.rate_gaps(rows, V.APPLICANT_TARGET, APPLICANT_FLAGS)
+    return explain.explain_features(rows, training.rank_importance(gaps.withColumn("feature", F.concat(F.lit("numeric__"), "feature"))),
+                                    "applicant_id", 4)
+
+
+SCORECARD = {"HasDelinquency": 0.75, "HasSevereDelinquency": 1.5, "HighCreditUtilization": 0.5, "HighDebtRatio": 0.25, "RiskIndicator": 0.125}
+SCORECARD_BASE = -2.0
+
+
+@query("scorecard_score", digits=6)
+def _(v):
+    """Valid applicants scored by given coefficients, with segment and decision."""
+    checked = quality.validate_applicants(features.credit_features(v.applicants)).where("is_valid")
+    scored = training.score_card(checked, SCORECARD, SCORECARD_BASE, ["applicant_id"])
+    return scored.select("applicant_id", F.col("probability").alias("default_probability"),
+                         bands.credit_segment(_p()).alias("risk_segment"), bands.credit_decision(_p()).alias("credit_decision"))
+
+
 @query("aml_dashboard", digits=6)
 def _(v):
     return reports.aml_dashboard(v.aml_transfers, "logistic_regression", 0.50, 0.01, 0.01)

@@ -199,6 +199,30 @@ class Views:
         older = F.col("transaction_timestamp") < F.lit(PREVIOUS_RUN_BEFORE).cast("timestamp")
         return rule_alerts(self.scored_transactions.where(older))
 
+    @cached_property
+    def credit_scores(self) -> DataFrame:
+        """Bureau scores by balance: debtors and the richest fall out of the range, every fiftieth has no bureau."""
+        key = F.col("c_custkey")
+        return self.table("customer").select(
+            key.alias("credit_score_id"), key.alias("customer_id"),
+            F.when(key % 50 != 7, _case(key % 4, {0: "CIBIL", 1: "Experian", 2: "Equifax", 3: "CRIF"})).alias("bureau_name"),
+            (F.floor(_hundredths(F.col("c_acctbal")) / 1500) + 300).cast("int").alias("bureau_score"),
+            (key % 101).cast("decimal(5,2)").alias("internal_score"),
+            ((key * 37 % 101) / F.lit(100)).cast("decimal(5,4)").alias("default_probability"),
+            F.when(key % 40 != 3, self.as_of).alias("score_date"))
+
+    @cached_property
+    def counterparty_rules(self) -> DataFrame:
+        """An AML rule per supplier, in the form of the rule table; suppliers of one nation offer the same code at times."""
+        key = F.col("s_suppkey")
+        return self.table("supplier").select(
+            key.alias("rule_id"), F.concat(F.lit("SUP"), (key % 97).cast("string")).alias("rule_code"),
+            F.when(key % 30 != 4, F.col("s_name")).alias("rule_name"),
+            _money(F.col("s_acctbal")).alias("threshold_amount"),
+            (key % 10).cast("int").alias("threshold_count"),
+            _case(key % 5, {0: "Low", 1: "Medium", 2: "High", 3: "Critical"}, "Severe").alias("severity"),
+            F.when(key % 3 != 0, key % 2 == 0).alias("is_active"))
+
     # --- credit and fraud -----------------------------------------------------------------------
     @cached_property
     def applicants(self) -> DataFrame:
@@ -324,9 +348,10 @@ class Views:
         """A domain's results under the column names that domain uses when it delivers them."""
         probability = {"credit": "default_probability", "fraud": "fraud_probability", "aml": "aml_probability"}[domain]
         decision = {"credit": "decision", "fraud": "fraud_decision", "aml": "aml_decision"}[domain]
+        alert = [F.when(F.col("aml_probability") >= 0.5, "AML_ALERT").alias("alert")] if domain == "aml" else []
         return self.domain_results.select(
             "customer_id", F.col(f"{domain}_probability").alias(probability),
-            F.col(f"{domain}_segment").alias("risk_segment"), F.col(f"{domain}_decision").alias(decision))
+            F.col(f"{domain}_segment").alias("risk_segment"), F.col(f"{domain}_decision").alias(decision), *alert)
 
     @cached_property
     def raw_requests(self) -> DataFrame:

@@ -1,5 +1,8 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave import fixed_values as V
 from riskweave.operators import features, integrated, quality
@@ -178,3 +181,36 @@ def test_duplicates_are_counted_exactly_whatever_the_fingerprints(spark):
         assert tuple(found) == (8, 3)
     assert tuple(quality.duplicate_count(df.limit(0)).first()) == (0, 0)
     assert {r["duplicate_rows"] for r in quality.profile_columns(df).collect()} == {3}
+
+
+def test_defaults_reach_left_out_columns(spark):
+    schema = T._parse_datatype_string("card_id long, card_status string, daily_transaction_limit decimal(18,2), contactless_enabled boolean, issue_date date")
+    given = spark.createDataFrame([(1, None), (2, "Blocked")], "card_id long, card_status string")
+    defaults = {"card_status": "Active", "daily_transaction_limit": 50000, "contactless_enabled": True}
+    filled = quality.apply_defaults(given, defaults, schema)
+    assert [tuple(r) for r in filled.orderBy("card_id").collect()] == [
+        (1, "Active", Decimal("50000.00"), True, None), (2, "Blocked", Decimal("50000.00"), True, None)]
+    assert dict(filled.dtypes)["issue_date"] == "date"
+    assert quality.apply_defaults(given, defaults).columns == ["card_id", "card_status"]
+
+
+def test_unexpected_columns_are_reported_with_their_values(spark):
+    df = spark.createDataFrame([(1, 2.0, None), (1, float("nan"), "x")], "a int, `b.c` double, d string")
+    assert {tuple(r) for r in quality.unexpected_report(df, ["a"]).collect()} == {("b.c", 1), ("d", 1)}
+    none = quality.unexpected_report(df, df.columns)
+    assert none.count() == 0 and none.columns == ["column", "filled"]
+
+
+def test_kinds_of_columns(spark):
+    df = spark.createDataFrame([(1, None, True, [1])], "n int, s string, b boolean, l array<int>")
+    assert {tuple(r) for r in quality.column_types(df).collect()} == {
+        ("n", "numeric", 1), ("s", "categorical", 0), ("b", "boolean", 1), ("l", "other", 1)}
+    assert {r["filled"] for r in quality.column_types(df.limit(0)).collect()} == {0}
+
+
+def test_alignment_names_shifted_and_absent_columns(spark):
+    left, right = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int"), spark.createDataFrame([(1, 2)], "a int, c int")
+    found = {r["column"]: (r["train_position"], r["validation_position"], r["aligned"]) for r in quality.alignment_report(left, right).collect()}
+    assert found == {"a": (0, 0, True), "b": (1, None, False), "c": (2, 1, False)}
+    with pytest.raises(ValueError):
+        quality.check_aligned(left, right)

@@ -187,16 +187,21 @@ CHECKS = {
         "range_fraud_score": "fraud_score < 0 OR fraud_score > 1"},
     "branch_checks": {"allowed_branch_status": "branch_status NOT IN ('Active', 'Inactive')"},
     "addresses": {"allowed_address_type": "address_type NOT IN ('Permanent', 'Current', 'Office')"},
+    "credit_scores": {"allowed_bureau_name": "bureau_name NOT IN ('CIBIL', 'Experian', 'Equifax', 'CRIF')",
+                      "range_bureau_score": "bureau_score < 300 OR bureau_score > 900"},
+    "counterparty_rules": {"allowed_severity": "severity NOT IN ('Low', 'Medium', 'High', 'Critical')"},
 }
 KEYS = {"customers": ["customer_code", "email", "mobile_number", "pan_number"], "accounts": ["account_number"],
         "customer_kyc": ["customer_id", "pan_number", "aadhaar_number"], "cards": ["card_number"],
-        "merchants": ["merchant_code"], "devices": ["device_fingerprint"], "transactions": ["transaction_reference"], "branch_checks": ["branch_code"]}
+        "merchants": ["merchant_code"], "devices": ["device_fingerprint"], "transactions": ["transaction_reference"], "branch_checks": ["branch_code"],
+        "counterparty_rules": ["rule_code"]}
 NOT_NULL = {"customers": ["customer_id", "customer_code", "first_name", "last_name", "date_of_birth"], "accounts": ["account_id", "account_number", "customer_id", "branch_id"],
             "customer_kyc": ["customer_id", "pan_number"], "cards": ["card_id", "account_id", "card_number"],
             "merchants": ["merchant_id", "merchant_code", "merchant_name", "merchant_category"], "devices": ["device_id", "device_fingerprint"],
             "transactions": ["transaction_id", "transaction_reference", "account_id", "transaction_timestamp"], "alerts": ["transaction_id"],
-            "branch_checks": ["branch_id", "branch_code", "branch_name"], "addresses": ["customer_id", "address_line_1", "city", "state", "postal_code"]}
-_label = {"alerts": "fraud_alerts", "branch_checks": "branches", "addresses": "customer_addresses"}
+            "branch_checks": ["branch_id", "branch_code", "branch_name"], "addresses": ["customer_id", "address_line_1", "city", "state", "postal_code"],
+            "credit_scores": ["credit_score_id", "customer_id", "score_date"], "counterparty_rules": ["rule_id", "rule_code", "rule_name"]}
+_label = {"alerts": "fraud_alerts", "branch_checks": "branches", "addresses": "customer_addresses", "counterparty_rules": "aml_rules"}
 sql("check_constraints", list(CHECKS), " UNION ALL ".join(
     [f"SELECT '{_label.get(t, t)}' AS table_name, '{n}' AS constraint_name, count(*) FILTER (WHERE {c}) AS violations FROM {t}"
      for t, checks in CHECKS.items() for n, c in checks.items()]
@@ -206,6 +211,51 @@ sql("apply_defaults", ["accounts"], """
 SELECT account_id, account_number, customer_id, branch_id, coalesce(account_type, 'Savings') AS account_type,
   coalesce(account_status, 'Active') AS account_status, coalesce(opening_balance, 0)::DOUBLE AS opening_balance,
   coalesce(current_balance, 0)::DOUBLE AS current_balance, coalesce(currency_code, 'INR') AS currency_code FROM accounts""")
+DEFAULTED = {
+    "customers": ("customer_id", {"customer_type": "'Individual'", "risk_category": "'Low'", "kyc_status": "'Pending'", "record_status": "'Active'"}),
+    "branches": ("branch_id", {"branch_status": "'Active'"}),
+    "accounts": ("account_id", {"account_type": "'Savings'", "account_status": "'Active'", "opening_balance": "'0.00'", "current_balance": "'0.00'",
+                                "currency_code": "'INR'"}),
+    "addresses": ("customer_id", {"country": "'India'"}),
+    "customer_kyc": ("customer_id", {"pan_verified": "'false'", "aadhaar_verified": "'false'", "risk_rating": "'Low'", "pep_flag": "'false'",
+                                     "sanctions_flag": "'false'"}),
+    "cards": ("card_id", {"card_status": "'Active'", "daily_transaction_limit": "'50000.00'"}),
+    "merchants": ("merchant_id", {"country": "'India'", "risk_level": "'Low'", "merchant_status": "'Active'"}),
+    "devices": ("device_id", {"trusted_device": "'false'"}),
+    "transactions": ("transaction_id", {"currency_code": "'INR'", "transaction_status": "'Success'"}),
+    "alerts": ("transaction_id", {"alert_status": "'Open'"}),
+    "counterparty_rules": ("rule_id", {"is_active": "'true'"}),
+}
+sql("apply_defaults_tables", list(DEFAULTED), " UNION ALL ".join(
+    [f"""SELECT '{_label.get(t, t)}' AS table_name, {key}::BIGINT AS row_key, '{c}' AS column_name,
+     coalesce(CASE WHEN {key} % 6 <> 0 THEN {c}::VARCHAR END, {default}) AS value FROM {t}"""
+     for t, (key, columns) in DEFAULTED.items() for c, default in columns.items()]
+    + [f"SELECT 'cards', card_id::BIGINT, '{c}', '{default}' FROM cards"
+       for c, default in (("international_enabled", "false"), ("contactless_enabled", "true"))]))
+sql("unexpected_columns", ["applicants"], """
+SELECT 'applicants' AS table_name, 'applicant_id' AS "column", count(applicant_id) AS filled FROM applicants
+UNION ALL SELECT 'card_transactions', 'vec_id', count(vec_id) FROM embeddings""")
+TRANSFER_KINDS = {"amount_received": "numeric", "amount_paid": "numeric", "timestamp": "other", "is_laundering": "boolean"}
+sql("column_types", ["aml_transfers"], " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{TRANSFER_KINDS.get(c, "categorical")}' AS kind, count("{c}") AS filled FROM aml_transfers"""
+    for c in ("record_key", "timestamp", "from_bank", "from_account", "from_country", "to_bank", "to_account", "to_country", "amount_received",
+              "receiving_currency", "amount_paid", "payment_currency", "payment_format", "is_laundering")))
+FRAUD_COLUMNS = ["applicant_id", "SeriousDlqin2yrs", "RevolvingUtilizationOfUnsecuredLines", "age", "NumberOfTime30-59DaysPastDueNotWorse",
+                 "DebtRatio", "MonthlyIncome", "NumberOfOpenCreditLinesAndLoans", "NumberOfTimes90DaysLate", "NumberRealEstateLoansOrLines",
+                 "NumberOfTime60-89DaysPastDueNotWorse", "NumberOfDependents", "TotalDelinquencyEvents", "HasDelinquency",
+                 "HasSevereDelinquency", "HighCreditUtilization", "HighDebtRatio", "IncomePerDependent", "TotalCreditLines", "AgeBand",
+                 "RiskIndicator"]
+_train = [c for c in FRAUD_COLUMNS if c != "DebtRatio"]
+_validation = [c for c in FRAUD_COLUMNS if c != "AgeBand"]
+_null = "NULL::BIGINT"
+sql("alignment_report", ["fraud"], " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {_train.index(c) if c in _train else _null}::BIGINT AS train_position,
+    {f'count("{c}")' if c in _train else _null} AS train_values, {_validation.index(c) if c in _validation else _null}::BIGINT AS validation_position,
+    {f'count("{c}")' if c in _validation else _null} AS validation_values,
+    {str(c in _train and c in _validation and _train.index(c) == _validation.index(c)).lower()} AS aligned FROM fraud""" for c in FRAUD_COLUMNS))
+sql("numeric_gate", ["fraud"], """
+SELECT applicant_id, coalesce("MonthlyIncome", 0.0::DOUBLE) AS "MonthlyIncome", coalesce("NumberOfDependents", 0.0::DOUBLE) AS "NumberOfDependents",
+  "RiskIndicator" FROM fraud""")
 sql("rejected_applicants", ["credit"], """
 SELECT applicant_id, rejection_reasons FROM (
   SELECT applicant_id, concat_ws(' | ', CASE WHEN age < 18 OR age > 120 THEN 'Invalid age: ' || age || '. Expected range: 18-120.' END,
@@ -298,7 +348,8 @@ SELECT event_id, CASE WHEN label = 1 THEN probability ELSE 0.20::DOUBLE END AS b
 sql("first_value", ["assessed"], """
 SELECT customer_id, credit_probability, round(credit_score, 6) AS credit_score, credit_segment, credit_decision,
   fraud_probability, round(fraud_score, 6) AS fraud_score, fraud_segment, fraud_decision,
-  aml_probability, round(aml_score, 6) AS aml_score, aml_segment, aml_decision FROM assessed""")
+  aml_probability, round(aml_score, 6) AS aml_score, aml_segment, aml_decision,
+  CASE WHEN aml_probability >= 0.5::DOUBLE THEN 'AML_ALERT' ELSE 'NO_ALERT' END AS aml_alert_status FROM assessed""")
 sql("normalize_probability", [], """
 SELECT event_id, round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, CASE WHEN v > 1 THEN v / 100 ELSE v END)), 6) AS probability
 FROM (SELECT event_id, value::DECIMAL(12,2)::DOUBLE AS v FROM events)""")
@@ -375,7 +426,10 @@ SELECT * EXCLUDE ("timestamp", payment_format) REPLACE (is_laundering::BIGINT AS
   {', '.join(f'round({c}, 6) AS {c}' for c in AMOUNTS)}), {ONEHOT} FROM aml""")
 sql("feature_summary", ["fraud"], """
 SELECT 'AgeBand' AS feature, coalesce("AgeBand", '(missing)') AS value, count(*) AS "count" FROM fraud GROUP BY 2
-UNION ALL SELECT 'RiskIndicator', "RiskIndicator"::VARCHAR, count(*) FROM fraud GROUP BY 2""")
+UNION ALL SELECT 'RiskIndicator', "RiskIndicator"::VARCHAR, count(*) FROM fraud GROUP BY 2
+UNION ALL SELECT 'SeriousDlqin2yrs', "SeriousDlqin2yrs"::VARCHAR, count(*) FROM fraud GROUP BY 2""" + "".join(
+    f"""
+UNION ALL SELECT 'missing_values', '{c}', count(*) FROM fraud WHERE "{c}" IS NULL HAVING count(*) > 0""" for c in FRAUD_COLUMNS))
 sql("mask_pii", ["customers", "accounts"], """
 SELECT customer_id, customer_code, gender, sha256('catalog:out:' || sha256('catalog:in:' || pan_number)) AS pan_number, customer_type, risk_category, kyc_status, record_status,
   '****' || right(account_number, 4) AS account_number FROM customers JOIN accounts USING (customer_id)""")
@@ -574,6 +628,36 @@ sql("aml_alerts", ["aml_transfers"], f"""
 SELECT 'AML-' || record_key AS alert_id, round(probability, 8) AS aml_probability, {BUSINESS} AS risk_segment,
   {at_least(0.01, "'AML_ALERT'", "'NO_ALERT'")} AS alert_status, {aml3('AML_ALERT', 'REVIEW', 'LOW_RISK')} AS aml_decision,
   probability >= 0.01::DOUBLE AS requires_review FROM {SCORED_TRANSFERS}""")
+AML_FLAGS = ["cross_border_transaction", "currency_conversion", "same_bank", "amount_mismatch_flag", "cross_border_currency_flag"]
+
+
+def gaps(source: str, label: str, columns: list[str]) -> str:
+    """Per flag the distance of its shares on both sides of the label."""
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, abs(coalesce(sum("{c}") FILTER (WHERE {label})::DOUBLE / nullif(count(*) FILTER (WHERE {label}), 0), 0)
+        - coalesce(sum("{c}") FILTER (WHERE NOT {label})::DOUBLE / nullif(count(*) FILTER (WHERE NOT {label}), 0), 0)) AS importance FROM {source}"""
+        for c in columns)
+
+
+RANKED = """SELECT row_number() OVER (ORDER BY importance DESC, feature) AS rank, feature, importance,
+  CASE WHEN sum(importance) OVER () > 0 THEN importance / sum(importance) OVER () ELSE 0.0::DOUBLE END AS share"""
+sql("aml_report_features", ["aml"], f"""
+SELECT feature, round(importance, 6) AS importance FROM ({gaps('aml', 'is_laundering', AML_FLAGS)}) ORDER BY importance DESC, feature LIMIT 3""")
+sql("rank_importance", ["aml"], f"""
+SELECT rank, feature, round(importance, 9) AS importance, round(share, 9) AS importance_normalized, round(share * 100, 9) AS importance_percentage
+FROM ({RANKED} FROM ({gaps('aml', 'is_laundering', AML_FLAGS)}))""")
+APPLICANT_FLAGS = ["HasDelinquency", "HasSevereDelinquency", "HighCreditUtilization", "HighDebtRatio", "NumberOfOpenCreditLinesAndLoans", "RiskIndicator"]
+_gaps = gaps("fraud", '"SeriousDlqin2yrs" = 1', APPLICANT_FLAGS)
+sql("explain_applicant_flags", ["fraud"], f"""
+SELECT applicant_id, feature, 'numeric__' || feature AS model_feature, CASE feature {" ".join(f"WHEN '{c}' THEN {chr(34)}{c}{chr(34)}::VARCHAR" for c in APPLICANT_FLAGS)} END AS row_value,
+  round(importance, 6) AS importance, rank FROM fraud, (SELECT * FROM ({RANKED} FROM ({_gaps})) WHERE rank <= 4)""")
+CARD = """ -2.0::DOUBLE + 0.75 * "HasDelinquency" + 1.5 * "HasSevereDelinquency" + 0.5 * "HighCreditUtilization" + 0.25 * "HighDebtRatio" + 0.125 * "RiskIndicator" """
+sql("scorecard_score", ["credit"], f"""
+SELECT applicant_id, round(p, 6) AS default_probability,
+  CASE WHEN p < 0.18::DOUBLE THEN 'Low Risk' WHEN p < 0.24::DOUBLE THEN 'Moderate Risk' WHEN p < 0.50::DOUBLE THEN 'High Risk' ELSE 'Very High Risk' END AS risk_segment,
+  CASE WHEN p >= 0.18::DOUBLE THEN 'REVIEW' ELSE 'LOW_RISK' END AS credit_decision
+FROM (SELECT applicant_id, round(1 / (1 + exp(-({CARD}))), 10) AS p FROM credit
+  WHERE age BETWEEN 18 AND 120 AND "MonthlyIncome" >= 0 AND "DebtRatio" >= 0 AND "RevolvingUtilizationOfUnsecuredLines" >= 0)""")
 sql("aml_dashboard", ["aml_transfers"], """
 SELECT count(*) AS dataset_rows, 14::BIGINT AS dataset_columns, count(*) FILTER (WHERE NOT is_laundering) AS legitimate_transactions,
   count(*) FILTER (WHERE is_laundering) AS laundering_transactions, round(count(*) FILTER (WHERE is_laundering) / count(*)::DOUBLE * 100, 6) AS laundering_rate_percent,

@@ -82,6 +82,19 @@ VIEWS = {
           CASE device_id % 5 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'Laptop' WHEN 2 THEN 'Desktop' WHEN 3 THEN 'ATM' ELSE 'POS' END AS device_type,
           device_id % 3 <> 0 AS trusted_device
         FROM transactions WHERE device_id IS NOT NULL"""),
+    "credit_scores": (
+        [], """
+        SELECT c_custkey AS credit_score_id, c_custkey AS customer_id,
+          CASE WHEN c_custkey % 50 <> 7 THEN CASE c_custkey % 4 WHEN 0 THEN 'CIBIL' WHEN 1 THEN 'Experian' WHEN 2 THEN 'Equifax' ELSE 'CRIF' END END AS bureau_name,
+          floor(floor(c_acctbal * 100 + 0.5) / 1500) + 300 AS bureau_score,
+          CASE WHEN c_custkey % 40 <> 3 THEN DATE '2024-06-30' END AS score_date
+        FROM customer"""),
+    "counterparty_rules": (
+        [], """
+        SELECT s_suppkey AS rule_id, 'SUP' || (s_suppkey % 97) AS rule_code, CASE WHEN s_suppkey % 30 <> 4 THEN s_name END AS rule_name,
+          CASE s_suppkey % 5 WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' WHEN 2 THEN 'High' WHEN 3 THEN 'Critical' ELSE 'Severe' END AS severity,
+          CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey % 2 = 0 END AS is_active
+        FROM supplier"""),
     "orphan_transactions": (
         ["transactions"], """
         SELECT * REPLACE (CASE WHEN transaction_id % 500 = 0 THEN account_id + 1000000000 ELSE account_id END AS account_id)
