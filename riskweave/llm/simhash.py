@@ -186,15 +186,21 @@ def keep_one(docs: DataFrame, max_distance: int = 4, shingle: int = 4, parts: in
              cell_rows: int = CELL_ROWS) -> DataFrame:
     """The row with the smallest doc_id of each group of :func:`simhash_groups`, all columns of ``docs``.
 
-    Of rows with this doc_id and its fingerprint one stays, and so it is with groups where no row has a doc_id.
+    Of rows with this doc_id and its fingerprint one stays, and so it is with groups where no row has a doc_id. A
+    doc_id that only one row has is enough to find that row; fingerprints are computed again, and rows shuffled to drop
+    repeated ones, only for doc_ids that are null or stand in several rows.
     """
-    lookup = _lookup(store(fingerprints(docs, shingle), "fingerprints"), max_distance, parts, order, cell_rows)
+    rows = store(fingerprints(docs, shingle), "fingerprints")
+    lookup = _lookup(rows, max_distance, parts, order, cell_rows)
     keepers = lookup.where("fp = keeper").select(F.col("component_id").alias("_id"), F.col("fp").alias("_fp"))
+    several = store(rows.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_several")), "several")
 
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
 
-    marked = docs.withColumn("_own_fp", fp(F.col("text").cast("string")))
+    single = keepers.join(several, keepers["_id"].eqNullSafe(several["_several"]), "left_anti")
+    plain = docs.join(single, docs["doc_id"] == single["_id"], "left_semi")
+    marked = docs.join(several, docs["doc_id"].eqNullSafe(several["_several"]), "left_semi").withColumn("_own_fp", fp(F.col("text").cast("string")))
     found = marked.join(keepers, marked["doc_id"].eqNullSafe(keepers["_id"]) & (marked["_own_fp"] == keepers["_fp"]), "left_semi")
-    return found.dropDuplicates(["doc_id", "_own_fp"]).drop("_own_fp")
+    return plain.unionByName(found.dropDuplicates(["doc_id", "_own_fp"]).drop("_own_fp"))

@@ -91,6 +91,18 @@ def test_one_row_of_each_group_stays(spark, documents):
     assert simhash.keep_one(documents([])).count() == 0 == simhash.simhash_groups(documents([])).count()
 
 
+def test_kept_rows_are_those_of_the_groups(spark, documents):
+    rng = random.Random(9)
+    texts = [" ".join(f"t{n}w{i}" for i in range(40)) for n in range(30)]
+    ids = [*range(100), *[5, 5, 17, 17, 17], None, None]
+    rows = [(i, rng.choice(texts)) for i in ids] + [(40, texts[0]), (40, texts[1])]
+    groups: dict[str, list] = {}
+    for i, text in rows:
+        groups.setdefault(text, []).append(i)
+    want = sorted((min((i for i in own if i is not None), default=None), text) for text, own in groups.items())
+    assert sorted((r["doc_id"], r["text"]) for r in simhash.keep_one(documents(rows)).collect()) == want
+
+
 def test_components_of_chains_stars_and_loops(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5), (1, 2), (2, 1), (None, 3)]
