@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.scratch import small_batches, store
 
-#: Steps sampled per key, keys taken from each walk, walks at most.
-KEY_STEPS, KEYS_PER_WALK, MAX_WALKS = 2, 8, 24
+#: Steps sampled per key, keys taken from each walk.
+KEY_STEPS, KEYS_PER_WALK = 2, 8
 #: Lengths of the items of a class differ by this factor at most.
 CLASS_FACTOR = 1.12
 #: Items with fewer words are in no class but looked up exactly.
@@ -151,14 +151,14 @@ class Finder:
         return (((left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)) * _MIX) >> self.pair_shift).astype(np.int64)
 
     def _fill(self, own: LengthClass, target: float) -> None:
-        """Add walks until edited copies of up to 200 items of the class share a key with their item often enough."""
+        """Add walks until edited copies of up to 200 items of the class share a key with their item often enough, however many that takes."""
         rng = np.random.default_rng(own.length)
         starts = np.arange(len(own.items)) * self.gap
         codes = self._laid_out([self.items[n] for n in own.items])
         some = rng.choice(len(own.items), 200)
         edited = self._laid_out([self._edited(self.items[own.items[n]], own.edits, rng) for n in some])
         missed = np.ones(len(some), bool)
-        while len(own.walks) < MAX_WALKS and missed.mean() > 1 - target:
+        while missed.mean() > 1 - target:
             own.add_walk(len(own.walks))
             keys = own.keys(codes, starts, len(own.walks) - 1)
             for row, trial in zip(keys, own.keys(edited, np.arange(len(some)) * self.gap, len(own.walks) - 1)):
@@ -297,6 +297,8 @@ class Finder:
 
 def _finders(benchmark: DataFrame, share: float, target: float, short_inside: bool) -> Iterator[tuple[Finder, bool]]:
     """One block of items after the other, and whether it is the last; the driver and the workers hold one at a time."""
+    if not 0 < target < 1:
+        raise ValueError(f"A target recall of {target} is not between 0 and 1.")
     texts = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(F.col("text").isNotNull())
     blocks = max(1, -(-texts.count() // BLOCK_ITEMS))
     for block in range(blocks):
@@ -324,6 +326,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_edit_share: float =
                  short_inside: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text) and item of ``benchmark`` (item_id, text) that it holds.
 
+    ``target_recall`` below 1 is that of the candidate search; each class of item lengths gets as many walks as reach it.
     Columns doc_id, item_id, edits, n_words (of the item), similarity (1 - edits / n_words), end_word (words of
     the document up to the end of the best stretch). Null and wordless texts hold nothing; null and wordless items are in nothing. Items with the same
     words are reported each; repeated documents are reported each. Items with fewer than five words match
