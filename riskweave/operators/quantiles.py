@@ -1,25 +1,30 @@
 """Exact quantiles without gathering a column in one task.
 
-The built-in ``percentile`` keeps every distinct value of a column in one aggregation buffer.
-Here the wanted ranks are located in narrowing passes, each a partial aggregation in which
-equal values collapse before they are shuffled. The first pass counts logarithmic buckets; the
-buckets that hold a rank are counted again in linear slices, until a slice holds one value.
-Between passes only the bounds of the
-hit buckets travel to the driver, at most two per column and quantile, and they return as
-range filters the scan can use. Like every fit, this runs when it is called.
+The built-in ``percentile`` keeps every distinct value of a column in one aggregation buffer. Here two passes do for any
+number of columns. The first merges a quantile sketch per column, of a fixed size, and takes from it bounds between which
+each wanted rank lies almost surely. The second counts all values in one partial aggregation: each stretch outside the
+bounds as one group, each one between them in slices. The counts prove in which group a rank lies, whatever the sketch
+said. Ranks at the ends of their group are its least or greatest value, which ends the search unless a slice holds three
+distinct values or more; such slices are counted again, at most eight times for doubles of any magnitude.
+
+Only the bounds of the groups that hold a rank travel to the driver, at most two per column and quantile, and they return
+as range filters the scan can use. Like every fit, this runs when it is called.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS_PER_E_FOLD = 256  # at most 2 * 256 * ln(1.8e308) = 363,000 buckets per column
 SLICES = 4096
+#: Size of a sketch (about 100 KB a column and task) and the share of rows by which its ranks are taken to be wrong at most;
+#: the published error at 99 % is a third of that. A worse error costs a pass, not the result.
+SKETCH_K, SKETCH_ERROR = 4096, 0.003
 
 
 @dataclass
@@ -29,8 +34,8 @@ class _Range:
     column: str
     low: float
     high: float
-    before: int
-    rows: int
+    before: int = 0
+    rows: int = 0
     ranks: set[int] = field(default_factory=set)
 
 
@@ -66,34 +71,84 @@ def _values(df: DataFrame, columns: list[str], ranges: list[_Range] | None = Non
     return long.withColumn("range", place).where(F.col("range").isNotNull())
 
 
-def _coarse_bucket(value: Column) -> Column:
-    bounded = F.greatest(F.lit(-1.7e308), F.least(F.lit(1.7e308), value))
-    return F.floor(F.signum(bounded) * F.log1p(F.abs(bounded)) * BUCKETS_PER_E_FOLD)
+def _magnitude(value: float) -> float:
+    """Rises with the value: octaves, so that no magnitude takes more slices than another. See `_magnitudes`."""
+    return 0.0 if value == 0 else math.copysign(1100 + (1025.0 if math.isinf(value) else math.log2(abs(value))), value)
 
 
-def _slice(ranges: list[_Range]) -> Column:
-    """Linear position of a value inside its range."""
-    position = F.lit(0).cast("long")
-    for i, r in enumerate(ranges):
-        scale = SLICES / (r.high - r.low)
-        place = F.least(F.floor((F.col("value") - r.low) * scale), F.lit(SLICES - 1))
-        position = F.when(F.col("range") == i, place).otherwise(position)
-    return position
+def _magnitudes(value: Column) -> Column:
+    return F.when(value == 0, F.lit(0.0)).otherwise(F.signum(value) * (F.least(F.log2(F.abs(value)), F.lit(1025.0)) + 1100))
+
 
+def _place(r: _Range) -> Column:
+    """Slice of a value inside its range: even steps within an octave, else even steps of magnitude."""
+    if r.low == r.high:
+        return F.lit(0).cast("long")
+    if 0 < r.low and r.high <= 2 * r.low < math.inf or r.high < 0 and -math.inf < 2 * r.high <= r.low:
+        share = (F.col("value") - r.low) / (r.high - r.low)
+    else:
+        low, high = _magnitude(r.low), _magnitude(r.high)
+        share = (_magnitudes(F.col("value")) - low) / (high - low)
+    return F.greatest(F.lit(0), F.least(F.floor(share * SLICES), F.lit(SLICES - 1)))
 
-def _earlier(keys: list[str], order: str) -> Column:
+
+def _earlier(keys: list[str], order: list[str]) -> Column:
     """Rows in earlier groups; the window runs over group counts, not over rows."""
-    window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum("n").over(window), F.lit(0))
 
 
-def _narrow(df: DataFrame, columns: list[str], ranges: list[_Range]) -> list[_Range]:
+def _counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+
+
+def _sketched(df: DataFrame, columns: list[str], probabilities: list[float]) -> tuple[dict[str, int], list[_Range]]:
+    """Number of known values per column that has some, and disjoint ranges, ascending per column, that should hold the ranks."""
+    shares = [min(max(p + error, 0.0), 1.0) for p in probabilities for error in (-SKETCH_ERROR, SKETCH_ERROR)]
+    values = [F.when(_known(df, c), F.col(f"`{c}`").cast("double")) for c in columns]
+    sketches = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)]).agg(
+        *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(columns))],
+        *[F.kll_sketch_agg_double(f"v{i}", F.lit(SKETCH_K)).alias(f"s{i}") for i in range(len(columns))])
+    row = sketches.select(*[f"n{i}" for i in range(len(columns))], *[
+        F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", F.array(*[F.lit(s) for s in shares]))).alias(f"q{i}")
+        for i in range(len(columns))]).first()
+    totals = {c: row[f"n{i}"] for i, c in enumerate(columns) if row[f"n{i}"]}
+    ranges: list[_Range] = []
+    for i, c in enumerate(columns):
+        bounds = row[f"q{i}"] or []
+        for low, high in sorted(zip(bounds[::2], bounds[1::2])):
+            if ranges and ranges[-1].column == c and low <= ranges[-1].high:
+                ranges[-1].high = max(ranges[-1].high, high)
+            else:
+                ranges.append(_Range(c, low, high))
+    return totals, ranges
+
+
+def _located(df: DataFrame, ranges: list[_Range], ranks: dict[str, set[int]]) -> list[_Range]:
+    """The groups that hold the wanted ranks, of all values: the slices of the ranges, and the stretches beside them."""
+    value, segment, place = F.col("value"), F.lit(0), F.lit(0).cast("long")
+    for c in ranks:
+        own = [r for r in ranges if r.column == c]
+        of_column = F.lit(2 * len(own))
+        for i, r in reversed(list(enumerate(own))):
+            of_column = F.when(value < r.low, 2 * i).when(value <= r.high, 2 * i + 1).otherwise(of_column)
+            place = F.when((F.col("column") == c) & (F.col("segment") == 2 * i + 1), _place(r)).otherwise(place)
+        segment = F.when(F.col("column") == c, of_column).otherwise(segment)
+    rows = _values(df, list(ranks)).withColumn("segment", segment).withColumn("group", place)
+    counted = _counted(rows, ["column", "segment", "group"]).withColumn("before", _earlier(["column"], ["segment", "group"]))
+    holds = [(F.col("column") == c) & (F.col("before") <= k) & (F.col("before") + F.col("n") > k) for c, own in ranks.items() for k in own]
+    return [
+        _Range(r["column"], r["low"], r["high"], r["before"], r["n"], {k for k in ranks[r["column"]] if r["before"] <= k < r["before"] + r["n"]})
+        for r in counted.where(reduce(lambda a, b: a | b, holds)).collect()]
+
+
+def _narrow(df: DataFrame, ranges: list[_Range]) -> list[_Range]:
     """Replace every range by the slices that hold its wanted ranks."""
-    counted = (
-        _values(df, columns, ranges).withColumn("group", _slice(ranges)).groupBy("range", "group")
-        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .withColumn("before", _earlier(["range"], "group"))
-    )
+    group = F.lit(0).cast("long")
+    for i, r in enumerate(ranges):
+        group = F.when(F.col("range") == i, _place(r)).otherwise(group)
+    rows = _values(df, sorted({r.column for r in ranges}), ranges).withColumn("group", group)
+    counted = _counted(rows, ["range", "group"]).withColumn("before", _earlier(["range"], ["group"]))
     holds = F.lit(False)
     for i, r in enumerate(ranges):
         for rank in r.ranks:
@@ -109,40 +164,39 @@ def _narrow(df: DataFrame, columns: list[str], ranges: list[_Range]) -> list[_Ra
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, dict[float, float | None]]:
-    """Quantiles per column with linear interpolation between ranks; missing values are skipped."""
+    """Quantiles per column with linear interpolation between ranks; missing values are skipped, infinite ones are values.
+
+    ``df`` is read twice or more, and must give the same rows each time.
+    """
     columns = list(columns)
-    coarse = (
-        _values(df, columns).groupBy("column", _coarse_bucket(F.col("value")).alias("bucket"))
-        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .withColumns({
-            "before": _earlier(["column"], "bucket"),
-            "total": F.sum("n").over(Window.partitionBy("column")),
-        })
-    )
-    sides = [side(F.lit(float(p)) * (F.col("total") - 1)) for p in probabilities for side in (F.floor, F.ceil)]
-    inside = [(F.col("before") <= k) & (F.col("before") + F.col("n") > k) for k in sides]
-    ranks = F.array_compact(F.array(*[F.when(hit, k) for hit, k in zip(inside, sides)]))
-    hits = coarse.withColumn("ranks", ranks).where(F.size("ranks") > 0)
-    ranges, totals = [], {}
-    for row in hits.select("column", "low", "high", "before", "n", "total", "ranks").collect():
-        totals[row["column"]] = row["total"]
-        ranges.append(_Range(row["column"], row["low"], row["high"], row["before"], row["n"], set(row["ranks"])))
+    if not columns or not probabilities:
+        return {c: {} for c in columns}
+    totals, ranges = _sketched(df, columns, probabilities)
+
+    def around(column: str, probability: float) -> tuple[int, int, float]:
+        position = probability * (totals[column] - 1)
+        return int(position // 1), int(-(-position // 1)), position - position // 1
 
+    ranks = {c: {k for p in probabilities for k in around(c, p)[:2]} for c in totals}
     found: dict[tuple[str, int], float] = {}
+    ranges = _located(df, ranges, ranks) if ranks else []
     while ranges:
         for r in ranges:
-            if r.low == r.high:
-                found.update({(r.column, k): r.low for k in r.ranks})
-        ranges = [r for r in ranges if r.low != r.high]
+            for k in r.ranks:
+                if r.low == r.high or k == r.before:
+                    found[r.column, k] = r.low
+                elif k == r.before + r.rows - 1:
+                    found[r.column, k] = r.high
+        ranges = [replace(r, ranks=rest) for r in ranges if (rest := {k for k in r.ranks if (r.column, k) not in found})]
         if ranges:
-            ranges = _narrow(df, columns, ranges)
+            ranges = _narrow(df, ranges)
 
     def interpolated(column: str, probability: float) -> float | None:
         if column not in totals:
             return None
-        position = probability * (totals[column] - 1)
-        low, high = found[column, int(position // 1)], found[column, int(-(-position // 1))]
-        return low if low == high else low + (high - low) * (position - position // 1)
+        low, high, share = around(column, probability)
+        low, high = found[column, low], found[column, high]
+        return low if low == high else low + (high - low) * share
 
     return {c: {p: interpolated(c, p) for p in probabilities} for c in columns}
 

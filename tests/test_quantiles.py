@@ -55,3 +55,51 @@ def test_several_columns(spark):
 def test_integer_column(spark):
     df = spark.range(1, 102).selectExpr("cast(id as int) as v")
     assert exact_quantiles(df, ["v"], [0.5])["v"][0.5] == 51.0
+
+
+def test_magnitudes_signs_and_infinities(spark):
+    rng = np.random.default_rng(5)
+    sizes = (10.0 ** rng.uniform(-308, 308, 3000)).tolist()
+    values = sizes + [-v for v in sizes[:1000]] + [0.0, -0.0, 5e-324, 1e-323, 1.7976931348623157e308] * 3
+    check(spark, values)
+    infinite = spark.createDataFrame([(v,) for v in [*values, math.inf, math.inf, -math.inf]], "v double")
+    found = exact_quantiles(infinite, ["v"], [0.0, 0.5, 1.0])["v"]
+    assert found[0.0] == -math.inf and found[1.0] == math.inf
+    assert found[0.5] == pytest.approx(float(np.quantile([*values, math.inf, math.inf, -math.inf], 0.5, method="midpoint")), rel=1e-9)
+
+
+def passes(spark, df, columns, probabilities):
+    """Result and number of scans of the rows: sketch, count, and what follows."""
+    calls = []
+    narrow = quantiles._narrow
+    try:
+        quantiles._narrow = lambda *a: calls.append(1) or narrow(*a)
+        return exact_quantiles(df, columns, probabilities), 2 + len(calls)
+    finally:
+        quantiles._narrow = narrow
+
+
+def test_two_passes_for_many_columns_with_heavy_ties(spark):
+    rng = np.random.default_rng(11)
+    columns = {f"c{i}": np.where(rng.random(20000) < 0.4, 7.0, np.round(rng.exponential(10.0 ** i, 20000), 2)) for i in range(8)}
+    df = spark.createDataFrame([tuple(map(float, row)) for row in zip(*columns.values())], ", ".join(f"{c} double" for c in columns)).repartition(6)
+    found, scans = passes(spark, df, list(columns), [0.25, 0.5, 0.95])
+    for c, values in columns.items():
+        for p in (0.25, 0.5, 0.95):
+            assert found[c][p] == pytest.approx(np.quantile(values, p), rel=1e-12)
+    assert scans <= 3
+
+
+def test_ranks_are_proven_by_counts_when_the_sketch_is_wrong(spark, monkeypatch):
+    """Bounds beside every wanted rank cost passes, not the result."""
+    rng = np.random.default_rng(13)
+    values = rng.normal(size=3000)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    monkeypatch.setattr(quantiles, "_sketched", lambda df, columns, probabilities: ({"v": 3000}, [quantiles._Range("v", 50.0, 60.0)]))
+    for p, found in exact_quantiles(df, ["v"], PROBABILITIES)["v"].items():
+        assert found == pytest.approx(np.quantile(values, p), rel=1e-12)
+
+
+def test_no_columns_and_empty_table(spark):
+    assert exact_quantiles(spark.range(3), [], [0.5]) == {}
+    assert exact_quantiles(spark.createDataFrame([], "v double"), ["v"], [0.5]) == {"v": {0.5: None}}
