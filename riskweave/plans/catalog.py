@@ -6,9 +6,12 @@ fixes the output types: integers as long, decimals as double, dates as text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +21,9 @@ from riskweave.functions import bands, normalise, privacy
 from riskweave.operators import (
     aml_rules, explain, features, integrated, joins, lineage, metrics, preprocess, quality, reports, rules, seeds, training,
 )
+from riskweave.operators.stages import ColumnEncoder
 from riskweave.plans import domains, inference
+from riskweave.session import ensure_checkpoint_dir
 from riskweave.sources import files, schemas, sinks
 from riskweave.sources.views import Views
 
@@ -338,6 +343,14 @@ def _(v):
     return v.alerts
 
 
+@query("report_lines")
+def _(v):
+    """The lines of a report of all alerts and all accounts."""
+    return files.document_lines({
+        "alerts": (v.alerts.select("transaction_id", "risk_level", "alert_status", "investigation_notes"), ["transaction_id"]),
+        "accounts": (v.accounts.select("account_id", "account_status", "currency_code"), ["account_id"])})
+
+
 @query("alert_summary")
 def _(v):
     return rules.alert_summary(v.alerts, v.existing_alerts)
@@ -612,6 +625,17 @@ def _(v):
     return fitted.transform(split, ["applicant_id", "split", V.APPLICANT_TARGET])
 
 
+@query("encode_stage", digits=5)
+def _(v):
+    """The encoder as a stage of a pipeline that was fitted, saved and loaded; one row per value of the feature vector."""
+    split = _fraud_split(v)
+    stages = Pipeline(stages=[ColumnEncoder(numericCols=NUMERIC_FEATURES, categoricalCols=["AgeBand"])])
+    path = f"{ensure_checkpoint_dir(v.spark)}/models/{uuid.uuid4().hex}"
+    stages.fit(split.where("split = 'train'")).write().save(path)
+    encoded = PipelineModel.load(path).transform(split)
+    return encoded.select("applicant_id", "split", F.posexplode(vector_to_array("features")).alias("position", "value"))
+
+
 # --- training ------------------------------------------------------------------------------------------------------
 @query("class_weights", digits=9)
 def _(v):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import json
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.operators.quality import nan_to_null, require_columns
+from riskweave.operators.scan import positions
 
 
 def csv_headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
@@ -111,8 +114,43 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def document_lines(sections: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """(section, place, line): the lines of one JSON document of any size, an array of objects per section.
+
+    A section is its rows and the columns that order them, nulls first; rows equal in these take any order. Each row is
+    a line, numbered over a distributed sort; place 0 opens the section and closes the one before. Null values are
+    written, an empty section is an empty array, and without sections the document is an empty object.
+    """
+    parts, before = [], "{"
+    for n, (name, (df, order)) in enumerate(sections.items()):
+        spark = df.sparkSession
+        parts.append(spark.range(1).select(F.lit(n).alias("section"), F.lit(0).cast("long").alias("place"),
+                                           F.lit(f"{before}{json.dumps(name, ensure_ascii=False)}:[").alias("line")))
+        before = "],"
+        keys = [F.col(f"`{c}`").alias(f"_order{i}") for i, c in enumerate(order)]
+        whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("_line")
+        rows = positions(df.select(*keys, whole), [], [f"_order{i}" for i in range(len(order))], "_place")
+        comma = F.when(F.col("_place") == 0, "").otherwise(",")
+        parts.append(rows.select(F.lit(n).alias("section"), (F.col("_place") + 1).alias("place"), F.concat(comma, "_line").alias("line")))
+    spark = parts[0].sparkSession if parts else SparkSession.active()
+    parts.append(spark.range(1).select(F.lit(len(sections)).alias("section"), F.lit(0).cast("long").alias("place"),
+                                       F.lit("]}" if sections else "{}").alias("line")))
+    return reduce(DataFrame.union, parts)
+
+
+def write_document(sections: dict[str, tuple[DataFrame, list[str]]], path: str, files: int = 1) -> None:
+    """The JSON document of `document_lines` in ``files`` part files, which in the order of their names make it up.
+
+    One task writes a file as its sorted lines come, so memory is bounded by a line; with one file that is the document
+    as it is, with more the writing is spread and readers concatenate.
+    """
+    lines = document_lines(sections)
+    dealt = lines.repartitionByRange(files, "section", "place").sortWithinPartitions("section", "place")
+    dealt.select("line").write.mode("overwrite").text(path)
+
+
 def report_document(sections: dict[str, DataFrame]) -> DataFrame:
-    """One nested document from small report tables: every section becomes an array of structs."""
+    """One nested document, a row, from small report tables; `write_document` takes sections of any size."""
     document = None
     for name, df in sections.items():
         array = df.agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias(name)).scalar()

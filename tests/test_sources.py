@@ -45,6 +45,29 @@ def test_report_document(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "report")).first()["rules"][0]["rule"] == "r"
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_document_is_written_line_by_line(spark, tmp_path, parts):
+    rows = [(n % 997, None if n % 5 == 0 else f'a "b"\n{n} \u00e9', {"x": n}) for n in range(5000)]
+    big = spark.createDataFrame(rows, "n long, s string, m map<string,int>").repartition(7)
+    sections = {"big": (big, ["n", "s"]), 'no "rows"': (big.where("n < 0"), ["n"]), "few": (spark.createDataFrame([(2,), (None,), (1,)], "section int"), ["section"])}
+    files.write_document(sections, str(tmp_path / "document"), parts)
+    written = sorted((tmp_path / "document").glob("part-*"))
+    assert len(written) == parts
+    found = json.loads("".join(p.read_text(encoding="utf-8") for p in written))
+    assert list(found) == ["big", 'no "rows"', "few"]
+    place = [(r["n"], r["s"] or "") for r in found["big"]]
+    assert place == sorted(place)  # rows equal in n and s take any order
+    assert sorted((r["n"], r["s"] or "", r["m"]["x"]) for r in found["big"]) == sorted((n, s or "", m["x"]) for n, s, m in rows)
+    assert found['no "rows"'] == [] and found["few"] == [{"section": None}, {"section": 1}, {"section": 2}]
+    lines = files.document_lines(sections)
+    assert lines.agg(F.max(F.length("line"))).first()[0] < 100
+
+
+def test_a_document_without_sections(spark, tmp_path):
+    files.write_document({}, str(tmp_path / "document"))
+    assert spark.read.text(str(tmp_path / "document")).first()["value"] == "{}"
+
+
 def test_fingerprint_is_that_of_the_rows(spark):
     rows = [(1, "a"), (2, None), (2, None)]
     df = spark.createDataFrame(rows, "n int, s string")

@@ -443,6 +443,15 @@ sql("source_fingerprint", [], " UNION ALL ".join(
         f"coalesce({c}::VARCHAR, chr(92) || 'N')" for c in columns) + f")[1:8])::BIGINT), 0)::BIGINT AS hash_sum FROM {table}"
     for table, columns in FINGERPRINTS.items()))
 
+sql("report_lines", ["alerts", "accounts"], """
+SELECT 0::BIGINT AS section, 0::BIGINT AS place, '{"alerts":[' AS line UNION ALL
+SELECT 0, row_number() OVER (ORDER BY transaction_id), CASE WHEN row_number() OVER (ORDER BY transaction_id) > 1 THEN ',' ELSE '' END || to_json(
+  {'transaction_id': transaction_id, 'risk_level': risk_level, 'alert_status': alert_status, 'investigation_notes': investigation_notes})::VARCHAR FROM alerts UNION ALL
+SELECT 1, 0, '],"accounts":[' UNION ALL
+SELECT 1, row_number() OVER (ORDER BY account_id), CASE WHEN row_number() OVER (ORDER BY account_id) > 1 THEN ',' ELSE '' END || to_json(
+  {'account_id': account_id, 'account_status': account_status, 'currency_code': currency_code})::VARCHAR FROM accounts UNION ALL
+SELECT 2, 0, ']}'""")
+
 # --- split and encode ------------------------------------------------------------------------------------------
 SPLIT = """split AS (SELECT *, CASE WHEN position <= wanted THEN 'validation' ELSE 'train' END AS split FROM (
   SELECT *, least(greatest(round(0.2::DOUBLE * count(*) OVER (PARTITION BY "SeriousDlqin2yrs"))::BIGINT, 1),
@@ -489,6 +498,15 @@ split_sql("onehot_ignore", "fraud", f"SELECT applicant_id, split, {ENCODED} FROM
 split_sql("column_transform", "fraud", 'SELECT applicant_id, split, "SeriousDlqin2yrs", ' + ", ".join(scaled(c) for c in (
     "RevolvingUtilizationOfUnsecuredLines", "age", "DebtRatio", "MonthlyIncome", "NumberOfDependents", "IncomePerDependent"))
     + f", {ENCODED} FROM split")
+def unnamed(column: str) -> str:
+    return column.rsplit(" AS ", 1)[0].replace(", 6)", ", 5)")
+
+
+FEATURES = [unnamed(scaled(c)) for c in (
+    "RevolvingUtilizationOfUnsecuredLines", "age", "DebtRatio", "MonthlyIncome", "NumberOfDependents", "IncomePerDependent")] + [
+    unnamed(c) for c in ENCODED.split(" , ")]
+split_sql("encode_stage", "fraud", f"""SELECT applicant_id, split, unnest(range({len(FEATURES)})) AS position,
+  unnest([{", ".join(FEATURES)}]) AS value FROM split""")
 sql("class_weights", ["applicants"], """
 SELECT "SeriousDlqin2yrs" AS target, count(*) AS "count", round((SELECT count(*) FROM applicants) / (2.0::DOUBLE * count(*)), 9) AS weight
 FROM applicants GROUP BY 1""")
