@@ -27,3 +27,11 @@ def test_rows_of_one_file_are_trained_on_by_several_tasks(spark):
     assert [training.tasks_for(n) for n in (0, 1, 12_000, 480_000, 29_000_000)] == [1, 1, 3, 12, 580]
     dealt = training.spread(spark.range(100).coalesce(1).withColumnRenamed("id", "k"), "k", 3)
     assert dealt.rdd.getNumPartitions() == 3 and dealt.count() == 100
+
+
+def test_forests_keep_the_nodes_of_rows_between_passes(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = VectorAssembler(inputCols=["a"], outputCol="features").transform(
+        spark.range(60).selectExpr("id % 7 * 1.0 AS a", "CAST(id % 7 > 3 AS INT) AS label"))
+    assert training.train_model(FEW[1], rows).getOrDefault("cacheNodeIds")
