@@ -541,8 +541,8 @@ def _(v):
 
 @query("aml_payment_onehot")
 def _(v):
-    return features.payment_onehot(v.aml_transfers).select(
-        "record_key", *[f"payment_format_{name}" for name in features.observed_formats(v.aml_transfers)])
+    formats = features.observed_formats(v.aml_transfers)
+    return features.payment_onehot(v.aml_transfers, formats).select("record_key", *[f"payment_format_{name}" for name in formats])
 
 
 @query("aml_features", digits=6)
