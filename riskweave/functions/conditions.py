@@ -32,8 +32,13 @@ def is_missing(value: Column, dtype: T.DataType) -> Column:
     return value.isNull()
 
 
+def is_finite(value: Column) -> Column:
+    """One comparison, as NaN is above infinity here; unknown for null. Rows of many columns stay small enough to be compiled."""
+    return F.abs(value) < F.lit(float("inf"))
+
+
 def finite_or_null(value: Column) -> Column:
-    return F.when(F.isnan(value) | is_infinite(value), None).otherwise(value)
+    return F.when(is_finite(value), value)
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:

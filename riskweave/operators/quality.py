@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave import fixed_values as V
-from riskweave.functions.conditions import finite_or_null, flag, is_infinite, is_missing, rate
+from riskweave.functions.conditions import flag, is_finite, is_infinite, is_missing, rate
 from riskweave.functions.normalise import to_number
 from riskweave.operators.lineage import materialise
 from riskweave.operators.quantiles import exact_quantiles
@@ -366,7 +366,7 @@ def fill_numeric(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.BooleanType):
             changed[f.name] = flag(value)
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            changed[f.name] = F.coalesce(finite_or_null(value), F.lit(0.0))
+            changed[f.name] = F.when(is_finite(value), value).otherwise(0.0)
         elif isinstance(f.dataType, T.NumericType):
             changed[f.name] = F.coalesce(value, F.lit(0).cast(f.dataType))
     return df.withColumns(changed)
