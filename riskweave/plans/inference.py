@@ -13,8 +13,9 @@ from riskweave.operators.preprocess import FittedColumns
 
 
 def predict(prepared: DataFrame, fitted: FittedColumns, model: Model, keep: list[str]) -> DataFrame:
-    """Kept columns and probability. Missing feature columns raise, extra ones are dropped."""
-    return training.score_batch(model, fitted.vectors(prepared, keep), keep)
+    """Kept columns, the key first, and probability. Missing feature columns raise, extra ones are dropped."""
+    quality.require_columns(prepared, [*keep, *fitted.numeric, *fitted.categorical])
+    return training.score_batch(model, fitted.vectors(training.dealt_out(prepared, keep[0]), keep), keep)
 
 
 def credit_inference(applicants: DataFrame, fitted: FittedColumns, model: Model, key: str = "applicant_id",

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from riskweave.operators import training
-from riskweave.plans import domains
+from riskweave.plans import domains, inference
 from riskweave.sources.views import Views
 
 FEW = [training.ModelSpec("logistic_regression", "logistic", {"maxIter": 5}),
@@ -29,6 +29,20 @@ def test_rows_of_one_file_are_trained_on_by_several_tasks(spark):
     assert dealt.rdd.getNumPartitions() == 3 and dealt.count() == 100
 
 
+def test_rows_of_one_file_are_scored_by_several_tasks(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(training, "score_candidates", lambda fitted, validation, keep, score=training.score_candidates: (
+        seen.append((validation.rdd.getNumPartitions(), validation.count())), score(fitted, validation, keep))[1])
+    monkeypatch.setattr(training, "SCORED_ROWS_WORTH_A_TASK", 40)
+    cards = Views(spark, "/root/testdata/sf0.01").card_transactions.coalesce(1)
+    run = domains.transaction_fraud_run(cards, "vec_id", models=FEW)
+    (tasks, rows), = seen
+    assert tasks == -(-rows // 40) > 1
+    scored = inference.transaction_fraud_inference(cards, run.preprocessing, run.models[run.best_model], "vec_id", run.threshold)
+    assert scored.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert scored.select("vec_id").distinct().count() == scored.count() == cards.count()
+
+
 def test_forests_keep_the_nodes_of_rows_between_passes(spark):
     from pyspark.ml.feature import VectorAssembler
 
