@@ -1,5 +1,7 @@
 """What the passes of a fit cost, and that the cut of the input doesn't matter to them."""
 
+from threading import Event
+
 from pyspark.sql import functions as F
 
 from riskweave.operators import training
@@ -49,3 +51,32 @@ def test_forests_keep_the_nodes_of_rows_between_passes(spark):
     rows = VectorAssembler(inputCols=["a"], outputCol="features").transform(
         spark.range(60).selectExpr("id % 7 * 1.0 AS a", "CAST(id % 7 > 3 AS INT) AS label"))
     assert training.train_model(FEW[1], rows).getOrDefault("cacheNodeIds")
+
+
+def test_candidates_beside_boosting_share_the_usual_tasks(spark, monkeypatch):
+    credit = training.default_models("credit")
+    assert [training.tasks_for_fits(n, credit) for n in (0, 1, 10_500, 63_000, 630_000, 29_000_000)] == [1, 1, 3, 4, 12, 290]
+    assert [training.tasks_for_fits(n, FEW) for n in (63_000, 480_000)] == [training.tasks_for(n) for n in (63_000, 480_000)]
+    seen = []
+    monkeypatch.setattr(training.tasks_for, "__defaults__", (50,))
+    monkeypatch.setattr(training, "train_model", lambda spec, train, target="label", fit=training.train_model: (
+        seen.append(train.rdd.getNumPartitions()), fit(spec, train, target))[1])
+    few = [*FEW, training.ModelSpec("gradient_boosting", "boosting", {"maxIter": 2, "maxDepth": 2}, balanced=False)]
+    run = domains.credit_run(Views(spark, "/root/testdata/sf0.01").applicants, models=few)
+    assert seen == [4, 4, 4] and set(run.models) == {m.name for m in few}
+
+
+def test_a_fitted_candidate_is_scored_while_another_is_still_fitted(spark, monkeypatch):
+    scored, waited = Event(), []
+
+    def fit(spec, train, target="label", fit=training.train_model):
+        if spec.name == "random_forest":
+            waited.append(scored.wait(60))
+        return fit(spec, train, target)
+
+    monkeypatch.setattr(training, "train_model", fit)
+    monkeypatch.setattr(training, "materialise", lambda df, kept=training.materialise: (kept(df), scored.set())[0])
+    cards = Views(spark, "/root/testdata/sf0.001").card_transactions
+    run = domains.transaction_fraud_run(cards, "vec_id", models=FEW)
+    assert waited == [True]
+    assert set(run.models) == {"logistic_regression", "random_forest"} == {r["model"] for r in run.metrics.collect()}
