@@ -2,6 +2,7 @@
 
 from threading import Event
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import training
@@ -53,16 +54,17 @@ def test_forests_keep_the_nodes_of_rows_between_passes(spark):
     assert training.train_model(FEW[1], rows).getOrDefault("cacheNodeIds")
 
 
-def test_candidates_beside_boosting_share_the_usual_tasks(spark, monkeypatch):
-    credit = training.default_models("credit")
-    assert [training.tasks_for_fits(n, credit) for n in (0, 1, 10_500, 63_000, 630_000, 29_000_000)] == [1, 1, 3, 4, 12, 290]
+@pytest.mark.parametrize("domain", ["credit", "fraud"])
+def test_candidates_beside_boosting_share_the_usual_tasks(spark, monkeypatch, domain):
+    published = training.default_models(domain)
+    assert [training.tasks_for_fits(n, published) for n in (0, 1, 10_500, 63_000, 630_000, 29_000_000)] == [1, 1, 3, 4, 12, 290]
     assert [training.tasks_for_fits(n, FEW) for n in (63_000, 480_000)] == [training.tasks_for(n) for n in (63_000, 480_000)]
     seen = []
     monkeypatch.setattr(training.tasks_for, "__defaults__", (50,))
     monkeypatch.setattr(training, "train_model", lambda spec, train, target="label", fit=training.train_model: (
         seen.append(train.rdd.getNumPartitions()), fit(spec, train, target))[1])
     few = [*FEW, training.ModelSpec("gradient_boosting", "boosting", {"maxIter": 2, "maxDepth": 2}, balanced=False)]
-    run = domains.credit_run(Views(spark, "/root/testdata/sf0.01").applicants, models=few)
+    run = getattr(domains, f"{domain}_run")(Views(spark, "/root/testdata/sf0.01").applicants, models=few)
     assert seen == [4, 4, 4] and set(run.models) == {m.name for m in few}
 
 
