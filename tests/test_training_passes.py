@@ -1,5 +1,6 @@
 """What the passes of a fit cost, and that the cut of the input doesn't matter to them."""
 
+import time
 from threading import Event
 
 import pytest
@@ -82,3 +83,20 @@ def test_a_fitted_candidate_is_scored_while_another_is_still_fitted(spark, monke
     run = domains.transaction_fraud_run(cards, "vec_id", models=FEW)
     assert waited == [True]
     assert set(run.models) == {"logistic_regression", "random_forest"} == {r["model"] for r in run.metrics.collect()}
+
+
+def test_no_fit_outlives_a_failed_run(spark, monkeypatch):
+    ended, failed = [], Event()
+
+    def fit(spec, train, target="label"):
+        if spec.name == "logistic_regression":
+            failed.set()
+            raise ValueError("no fit")
+        failed.wait(60)
+        time.sleep(1)
+        ended.append(spec.name)
+
+    monkeypatch.setattr(training, "train_model", fit)
+    with pytest.raises(ValueError, match="no fit"):
+        training.train_and_select(spark.range(2), spark.range(2), "credit", FEW)
+    assert ended == ["random_forest"]
