@@ -86,3 +86,20 @@ def test_weights_balance_the_classes(spark):
     weighted = preprocess.add_class_weights(labelled(spark, 100, 10), "y")
     sums = {r["y"]: r["s"] for r in weighted.groupBy("y").agg(F.sum("weight").alias("s")).collect()}
     assert sums == {0: pytest.approx(50.0), 1: pytest.approx(50.0)}
+
+
+def test_longer_prefixes_are_counted_only_where_many_rows_share_one(spark, monkeypatch):
+    rows = labelled(spark, 3000, 700).localCheckpoint()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+
+    def split(name, few):
+        monkeypatch.setattr(preprocess, "FEW_TO_ORDER", few)
+        spark.sparkContext.setJobGroup(name, name)
+        found = preprocess.stratified_split(rows, "y", "key")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return {r["key"] for r in found.where("split = 'validation'").collect()}, len(jobs(name))
+
+    (few, short), (many, long) = split("split-short", 10_000), split("split-long", 0)
+    assert few == many and short < long
+    ranked = rows.selectExpr("key", "row_number() OVER (PARTITION BY y ORDER BY md5(concat('42:', key))) AS n", "count(*) OVER (PARTITION BY y) AS of")
+    assert few == {r["key"] for r in ranked.where("n <= round(of * 0.2)").collect()}

@@ -1,13 +1,14 @@
 """What the passes of a fit cost, and that the cut of the input doesn't matter to them."""
 
 import time
-from threading import Event
+from threading import Barrier, Event
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators import training
 from riskweave.plans import domains, inference
+from riskweave.session import side_by_side
 from riskweave.sources.views import Views
 
 FEW = [training.ModelSpec("logistic_regression", "logistic", {"maxIter": 5}),
@@ -100,3 +101,56 @@ def test_no_fit_outlives_a_failed_run(spark, monkeypatch):
     with pytest.raises(ValueError, match="no fit"):
         training.train_and_select(spark.range(2), spark.range(2), "credit", FEW)
     assert ended == ["random_forest"]
+
+
+def test_a_candidate_is_compared_while_another_is_still_fitted(spark, monkeypatch):
+    compared, waited = Event(), []
+
+    def fit(spec, train, target="label", fit=training.train_model):
+        if spec.name == "logistic_regression":  # first in the list, last to end
+            waited.append(compared.wait(90))
+        return fit(spec, train, target)
+
+    monkeypatch.setattr(training, "train_model", fit)
+    monkeypatch.setattr(training, "compare_models", lambda *a, compare=training.compare_models, **k: (compare(*a, **k), compared.set())[0])
+    run = domains.transaction_fraud_run(Views(spark, "/root/testdata/sf0.001").card_transactions, "vec_id", models=FEW)
+    assert waited == [True]
+    assert sorted(r["model"] for r in run.metrics.collect()) == ["logistic_regression", "random_forest"]
+    assert run.scored.columns == ["vec_id", "label", "probability"] and run.scored.count() > 0
+
+
+def test_importance_waits_for_no_threshold_and_starts_no_python(spark, monkeypatch):
+    searched = []
+    monkeypatch.setattr(domains.metrics, "threshold_sweep", lambda *a, sweep=domains.metrics.threshold_sweep: (
+        searched.append(1), sweep(*a))[1])
+    run = domains.fraud_run(Views(spark, "/root/testdata/sf0.001").applicants, models=FEW)
+    ranked = run.importance.collect()
+    assert [r["rank"] for r in ranked] == list(range(1, len(run.preprocessing.feature_names) + 1)) and not searched
+    assert "RDD" not in run.importance._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < run.threshold < 1 and {r["operating_threshold"] for r in run.decided.collect()} == {run.threshold}
+    assert searched == [1]
+
+
+def test_the_label_is_checked_while_the_rows_are_split(spark, monkeypatch):
+    met = Barrier(2)
+
+    def meet(*a, do, **k):
+        met.wait(60)
+        return do(*a, **k)
+
+    for module, name in ((domains.quality, "require_binary_target"), (domains.preprocess, "stratified_split")):
+        monkeypatch.setattr(module, name, lambda *a, do=getattr(module, name), **k: meet(*a, do=do, **k))
+    run = domains.transaction_fraud_run(Views(spark, "/root/testdata/sf0.001").card_transactions, "vec_id", models=FEW)
+    assert run.metrics.count() == 2
+
+
+def test_steps_side_by_side_all_end_before_the_first_failure_is_raised(spark):
+    ended = []
+
+    def fail():
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        side_by_side(spark, fail, lambda: (time.sleep(1), ended.append(1)))
+    assert ended == [1]
+    assert side_by_side(spark, lambda: spark.range(3).count(), lambda: "b") == [3, "b"]
