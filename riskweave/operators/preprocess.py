@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import asdict, dataclass, field
+from decimal import ROUND_HALF_UP, Decimal
 from functools import reduce
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
@@ -24,25 +25,32 @@ def stratified_split(df: DataFrame, target: str, key: str, share: float = 0.2, s
     """Adds ``split`` so that ``validation`` holds the exact share of both classes (0 and 1) of ``target``.
 
     Rows are ranked by a hash of their unique key. No task ever orders a class: hash prefixes of three digits are
-    counted, then, if many rows are under the prefix that holds the cut, those of seven digits under it, and only the
-    rows under the last one are ordered. One cut per class reaches the driver, when called; the result is then a plain projection. A class of two
-    rows or more is on both sides. Rows without label or key, or with another label, belong to neither side.
+    counted, then, as long as many rows are under the prefix that holds the cut, those three digits longer under it, and
+    only the rows under the last one are ordered. The counts, at most 4096 per class at a time, and one cut per class
+    reach the driver, when called; the result is then a plain projection. A class of two rows or more is on both sides.
+    Rows without label or key, or with another label, belong to neither side.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     label = F.col(target).cast("int")
     hashed = df.select(label.alias("class"), F.col(key).alias("key"), digest.alias("digest")).where(
         F.col("class").isin(0, 1) & F.col("key").isNotNull())
 
-    def cut(rows: DataFrame, digits: int, wanted: Column) -> dict[int, tuple[str, int, int]]:
+    def cut(rows: DataFrame, digits: int, wanted: dict[int, int] | None = None) -> dict[int, tuple[str, int, int]]:
         """Per class the prefix that holds the wanted row, the row's position under it, and the rows under it."""
-        counts = rows.groupBy("class", F.substring("digest", 1, digits).alias("prefix")).agg(F.count("*").alias("n"))
-        upto = Window.partitionBy("class").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
-        found = (
-            counts.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(Window.partitionBy("class"))})
-            .withColumn("wanted", wanted)
-            .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
-            .select("class", "prefix", (F.col("wanted") - F.col("upto") + F.col("n")).alias("position"), "n"))
-        return {r["class"]: (r["prefix"], r["position"], r["n"]) for r in found.collect()}
+        counted: dict[int, list[tuple[str, int]]] = {}
+        for r in rows.groupBy("class", F.substring("digest", 1, digits).alias("prefix")).agg(F.count("*").alias("n")).collect():
+            counted.setdefault(r["class"], []).append((r["prefix"], r["n"]))
+        found = {}
+        for c, prefixes in counted.items():
+            left = wanted[c] if wanted else share_of_class(sum(n for _, n in prefixes))
+            for prefix, n in sorted(prefixes):
+                if 0 < left <= n:
+                    found[c] = prefix, left, n
+                left -= n
+        return found
+
+    def share_of_class(total: int) -> int:
+        return min(max(int(Decimal(str(total * share)).quantize(Decimal(1), ROUND_HALF_UP)), 1), total - 1)
 
     def under(cuts: dict[int, tuple[str, int, int]]) -> DataFrame:
         return hashed.where(reduce(lambda a, b: a | b, [
@@ -51,11 +59,12 @@ def stratified_split(df: DataFrame, target: str, key: str, share: float = 0.2, s
     def position(cuts: dict[int, tuple[str, int, int]]) -> Column:
         return reduce(lambda a, c: F.when(F.col("class") == c, cuts[c][1]).otherwise(a), cuts, F.lit(None).cast("long"))
 
-    share_of_class = F.least(F.greatest(F.round(F.col("total") * share).cast("long"), F.lit(1)), F.col("total") - 1)
     in_validation = F.lit(False)
-    if cuts := cut(hashed, 3, share_of_class):
-        if max(n for _, _, n in cuts.values()) > FEW_TO_ORDER:
-            cuts = cut(under(cuts), 7, position(cuts))
+    digits = 3
+    if cuts := cut(hashed, digits):
+        while max(n for _, _, n in cuts.values()) > FEW_TO_ORDER and digits < 30:
+            digits += 3
+            cuts = cut(under(cuts), digits, {c: place for c, (_, place, _) in cuts.items()})
         ordered = Window.partitionBy("class").orderBy("digest", "key")
         edges = under(cuts).withColumn("rank", F.row_number().over(ordered)).where(F.col("rank") == position(cuts))
         for edge in edges.select("class", "digest", "key").collect():
